@@ -8,7 +8,7 @@ All pairs within the radius are found without comparing everything:
 
 1. Equal fingerprints are merged first, so a group of exact copies of any size is
    one node afterwards (its smallest doc_id names the node).
-2. The 64 bits are cut into ``PARTS`` equal parts. Two fingerprints at distance
+2. The 64 bits are cut into ``PARTS`` equal parts (``FEWER_PARTS`` beyond ``MANY`` nodes). Two fingerprints at distance
    <= r agree to within r // PARTS bits in one part at least.
 3. For every part a vantage-point tree partitions the nodes by the Hamming
    distance of that part to vantage points. A node lives in one leaf. It is
@@ -46,13 +46,15 @@ from folioflow.llm.common import partitions, written
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
-PARTS = 2
+#: Parts that the bits are cut into. Narrow parts have small radii, so few copies are
+#: made across splits; beyond MANY nodes too many share a narrow part.
+PARTS, FEWER_PARTS, MANY = 4, 2, 10**8
 #: Most fingerprints drawn to build the trees.
 SAMPLE = 200_000
 #: And the largest share of all nodes that is drawn.
 SAMPLE_SHARE = 0.1
 #: Nodes that a leaf should hold, before copies from across splits.
-LEAF_NODES = 4_000
+LEAF_NODES = 6_000
 
 
 def fingerprint(text: bytes | None, size: int = SHINGLE, seed: int = SEED) -> int:
@@ -196,13 +198,14 @@ def _leaf_edges(ids: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarr
     return np.concatenate(a), np.concatenate(b)
 
 
-def links(nodes: DataFrame, count: int, radius: int = RADIUS, parts: int = PARTS, leaf_nodes: int = LEAF_NODES) -> DataFrame:
+def links(nodes: DataFrame, count: int, radius: int = RADIUS, parts: int | None = None, leaf_nodes: int = LEAF_NODES) -> DataFrame:
     """(a, b): edges that join all nodes (node, fp) within ``radius`` bits, b < a.
 
     The edges span the same components as all pairs would; their number is at most
     one per node and leaf.
     """
     spark = nodes.sparkSession
+    parts = parts or (PARTS if count <= MANY else FEWER_PARTS)
     rate = min(SAMPLE_SHARE, 0.9 * SAMPLE / max(1, count))
     drawn = nodes.where(F.pmod(F.xxhash64("fp"), F.lit(1_000_003)) < int(rate * 1_000_003))
     sample = np.array(sorted(r.fp for r in drawn.select("fp").limit(SAMPLE).collect()), dtype=np.int64).view(np.uint64)
@@ -295,7 +298,7 @@ def components(edges: DataFrame) -> DataFrame:
     return root.select("node", F.col("p").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, parts: int = PARTS, leaf_nodes: int = LEAF_NODES) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, parts: int | None = None, leaf_nodes: int = LEAF_NODES) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``."""
     marked = written(fingerprints(docs), "fingerprints")
     nodes = written(marked.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
