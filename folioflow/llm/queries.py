@@ -1,4 +1,7 @@
-"""One thin query per operator, and the SQL that states the same result where SQL can."""
+"""One thin query per operator, and the SQL that states the same result where SQL can.
+
+Each query applies its operator, with production parameters, to the whole table.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +10,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import simhash
-from folioflow.llm.common import table
+from folioflow.llm import decontam, language_id, mixing, quality, simhash, token_binary, toxicity, url_filter
+from folioflow.llm.common import id_bucket, scratch, table, word_count
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predicted(docs, language_id.train(docs))
+    held_out = F.coalesce(id_bucket(F.col("doc_id"), language_id.FOLDS) == language_id.HELD_OUT, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    manifest = token_binary.write_shards(docs, scratch(spark, "token-shards"), tokenizer_path())
+    return token_binary.read_shards(manifest, with_ids=False)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judged(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    drawn = mixing.sampled(sized)
+    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,8 +54,27 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    field = toxicity.train(toxicity.sample(docs, labels))
+    scores = toxicity.scored(docs, field, spans=False)
+    held_out = F.coalesce(id_bucket(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_OUT, F.lit(False))
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
+    "op3_token_binary": op3_token_binary,
+    "op4_quality": op4_quality,
+    "op5_url_filter": op5_url_filter,
+    "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
+    "op8_toxicity": op8_toxicity,
+    "op9_decontam": op9_decontam,
 }
 
 ORACLE_SQL: dict[str, str] = {}
