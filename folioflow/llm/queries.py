@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import decontam, language_id, mixing, quality, simhash, token_binary, toxicity, url_filter
+from folioflow.llm import chat_format, decontam, language_id, mixing, quality, simhash, token_binary, toxicity, url_filter, warc
 from folioflow.llm.common import id_bucket, scratch, table, word_count
 
 
@@ -20,6 +20,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: A conversation of control strings, formatted along with the table's.
+TRICKY = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame(TRICKY, "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.formatted(turns.unionByName(tricky)))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.predicted(docs, language_id.train(docs))
@@ -66,7 +76,19 @@ def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), scratch(spark, "archives"))
+    return warc.captures(manifest, with_payload=False).select(
+        "page_id",
+        warc.payload_bytes().alias("payload_bytes"),
+        F.col("response.digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        F.col("response.refers_to").alias("refers_to"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
     "op3_token_binary": op3_token_binary,
     "op4_quality": op4_quality,
@@ -75,6 +97,142 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash": op7_simhash,
     "op8_toxicity": op8_toxicity,
     "op9_decontam": op9_decontam,
+    "op10_warc": op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_quality": r"""
+        WITH t0 AS (
+            SELECT doc_id, lang, coalesce(text, '') AS text FROM documents
+        ), t1 AS (
+            SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, regexp_replace(text, '[a-z]+', '', 'g') AS s1 FROM t0
+        ), t2 AS (SELECT *, regexp_replace(s1, '[\x20\x09-\x0D]+', '', 'g') AS s2 FROM t1
+        ), t3 AS (SELECT *, regexp_replace(s2, '[.,;:!?''"()\-]+', '', 'g') AS s3 FROM t2
+        ), t4 AS (SELECT *, regexp_replace(s3, '[#*$%&|<>]+', '', 'g') AS s4 FROM t3
+        ), t5 AS (SELECT *, regexp_replace(s4, '[A-Z]+', '', 'g') AS s5 FROM t4
+        ), t6 AS (SELECT *, regexp_replace(s5, '\p{L}+', '', 'g') AS s6 FROM t5
+        ), t7 AS (SELECT *, regexp_replace(s6, '\p{N}+', '', 'g') AS s7 FROM t6
+        ), counted AS (
+            SELECT row_number() OVER () AS rid, doc_id, lang, words, len(words)::BIGINT AS n_words,
+                   length(text) - length(s1) AS c_lower, length(s1) - length(s2) AS c_space, length(s2) - length(s3) AS c_punctuation,
+                   length(s3) - length(s4) AS n_symbols, length(s4) - length(s5) AS c_upper, length(s5) - length(s6) AS c_letter,
+                   length(s6) - length(s7) AS c_digit, length(s3) - length(s4) + length(s7) AS c_symbol,
+                   (length(text) - (length(s1) - length(s2)))::BIGINT AS word_chars,
+                   list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM t7
+        ), grams AS (
+            SELECT rid, unnest(range(1, n_words - 1)) AS i, words FROM counted WHERE n_words >= 3
+        ), hits AS (
+            SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, words[i], words[i + 1], words[i + 2]) AS c FROM grams) WHERE c > 1
+        ), covered AS (
+            SELECT rid, sum(least(3, coalesce(nxt - i, 3)))::BIGINT AS n FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM hits) GROUP BY rid
+        ), sums AS (
+            SELECT lang, sum(n_words) AS total, sum(c_space) AS s, sum(c_lower) AS l, sum(c_upper) AS u, sum(c_letter) AS o, sum(c_digit) AS d,
+                   sum(c_punctuation) AS p, sum(c_symbol) AS y, sum(c_space + c_lower + c_upper + c_letter + c_digit + c_punctuation + c_symbol) AS z
+            FROM counted GROUP BY lang
+        ), pooled AS (
+            SELECT sum(total) AS whole, [sum(s), sum(l), sum(u), sum(o), sum(d), sum(p), sum(y)] AS c, sum(z) AS all_chars FROM sums
+        ), large AS (
+            SELECT lang, total, [s / z, l / z, u / z, o / z, d / z, p / z, y / z] AS r FROM sums, pooled
+            WHERE lang IS NOT NULL AND total > 0 AND total >= 0.001 * whole
+        ), frequent AS (
+            SELECT lang, word, count(*) AS n, any_value(total) AS total FROM (SELECT lang, unnest(words) AS word FROM counted) JOIN large USING (lang)
+            GROUP BY lang, word HAVING count(*) >= 0.004 * any_value(total)
+        ), common AS (
+            SELECT lang, word, n::DOUBLE / total AS q, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS k FROM frequent QUALIFY k <= 12
+        ), found AS (
+            SELECT rid, lang, word, count(*) AS n FROM (SELECT rid, lang, unnest(words) AS word FROM counted) GROUP BY rid, lang, word
+        ), shares AS (
+            SELECT c.rid, k.q, coalesce(f.n, 0)::DOUBLE / greatest(c.n_words, 1) AS p
+            FROM counted c JOIN common k ON c.lang = k.lang LEFT JOIN found f ON f.rid = c.rid AND f.word = k.word
+        ), entries AS (
+            SELECT rid, p, q FROM shares UNION ALL
+            SELECT rid, greatest(0.0, 1 - sum(p)), greatest(0.0, 1 - sum(q)) FROM shares GROUP BY rid
+        ), word_js AS (
+            SELECT rid, sqrt(greatest(0.0, sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2)) AS wd
+            FROM entries GROUP BY rid
+        ), class_entries AS (
+            SELECT c.rid, unnest([c_space, c_lower, c_upper, c_letter, c_digit, c_punctuation, c_symbol]) AS n,
+                   unnest(coalesce(l.r, list_transform(g.c, lambda x: x / g.all_chars))) AS q,
+                   c_space + c_lower + c_upper + c_letter + c_digit + c_punctuation + c_symbol AS chars
+            FROM counted c LEFT JOIN large l USING (lang), pooled g
+        ), class_js AS (
+            SELECT rid, any_value(chars) AS chars,
+                   sqrt(greatest(0.0, sum(CASE WHEN n > 0 THEN n / chars * log2(n / chars / ((n / chars + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((n / chars + q) / 2)) ELSE 0 END) / 2)) AS cd
+            FROM class_entries WHERE chars >= 200 GROUP BY rid
+        ), verdict AS (
+            SELECT c.doc_id, c.n_words, c.word_chars, c.n_symbols::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(v.n, 0) AS n_repeat_words,
+                   c.n_words < 50 OR 100 * coalesce(v.n, 0) > 50 * c.n_words AS base_failed,
+                   coalesce(cd > 0.3, false) OR (c.n_words >= 60 AND coalesce(wd > 0.33, false)) AS far
+            FROM counted c LEFT JOIN covered v USING (rid) LEFT JOIN class_js USING (rid) LEFT JOIN word_js USING (rid)
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept FROM verdict
+    """,
+    "op1_chat_format": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), escaped AS (
+            SELECT *, regexp_replace(regexp_replace(text,
+                '<(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|</?SYS>>)', '<\\\1\2', 'g'), '\[(\\*)(/?INST\])', '[\\\1\2', 'g') AS e FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(12 + length(role) + 1 + length(e) + 11)::BIGINT AS formatted_chars
+        FROM escaped GROUP BY conv_id
+    """,
+    "op6_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+        ), per AS (
+            SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+        ), weighed AS (
+            SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT] AS w,
+                   source_size * 2.0::DOUBLE AS cap FROM per
+        ), level AS (
+            SELECT *, cap / w AS full_at, coalesce(sum(cap) OVER lower, 0.0::DOUBLE) AS below,
+                   sum(w) OVER () - coalesce(sum(w) OVER lower, 0.0::DOUBLE) AS w_from, (sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS wanted
+            FROM weighed
+            WINDOW lower AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), found AS (
+            SELECT *, max(CASE WHEN (wanted - below) / w_from <= full_at THEN (wanted - below) / w_from END) OVER () AS lv FROM level
+        ), goals AS (
+            SELECT source, source_size, CASE WHEN lv IS NULL OR full_at <= lv THEN cap ELSE lv * w END AS target FROM found
+        ), rated AS (
+            SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate,
+                   ('0x' || substr(md5('mix-1:' || coalesce(source, '')), 1, 8))::UBIGINT::DOUBLE / 4294967296.0::DOUBLE AS u0 FROM goals
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY
+                CASE WHEN size < 16 THEN size ELSE floor(log2(size::DOUBLE) * 8)::BIGINT END, md5(coalesce(doc_id::VARCHAR, '')), doc_id, size) - 1 AS pos
+            FROM sized
+        ), placed AS (
+            SELECT r.doc_id, r.size, r.source, g.source_size, g.target, g.rate, g.u0, r.pos FROM ranked r JOIN rated g ON r.source IS NOT DISTINCT FROM g.source
+        ), tried AS (
+            SELECT source, k, sum(size * least(2, floor((pos + 1) * rate + (u0 + k / 16.0::DOUBLE)) - floor(pos * rate + (u0 + k / 16.0::DOUBLE)))) AS taken, any_value(target) AS target
+            FROM placed, (SELECT unnest(range(16)) AS k) GROUP BY source, k
+        ), chosen AS (
+            SELECT source, arg_min(k, (abs(taken - target), k)) AS k FROM tried GROUP BY source
+        )
+        SELECT p.doc_id, p.size, p.source_size, p.target,
+               (p.size * least(2, floor((p.pos + 1) * p.rate + (p.u0 + c.k / 16.0::DOUBLE)) - floor(p.pos * p.rate + (p.u0 + c.k / 16.0::DOUBLE))))::BIGINT AS taken
+        FROM placed p JOIN chosen c ON p.source IS NOT DISTINCT FROM c.source
+    """,
+    "op10_warc": r"""
+        WITH payloads AS (
+            SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+        ), digests AS (
+            SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS sha FROM payloads
+        ), firsts AS (
+            SELECT sha, min(page_id) AS original FROM digests GROUP BY sha
+        )
+        SELECT page_id, payload_bytes,
+               list_aggregate(list_transform(range(32), lambda i:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha, (i // 4) * 5 + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1, 1)), 'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = original OR original IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> original THEN original END AS refers_to
+        FROM digests JOIN firsts USING (sha)
+    """,
+}
