@@ -101,7 +101,7 @@ SECTIONS = rf"""{CHUNKS}, heads0 AS (
         SELECT c.doc_id, c.title, c.h, arg_max(p.title, p.h) AS parent
         FROM heads0 c LEFT JOIN heads0 p ON p.doc_id = c.doc_id AND p.h < c.h AND p.number = nullif(regexp_extract(c.number, '^(.*)\.\d+$', 1), '') GROUP BY c.doc_id, c.title, c.h
     ), walk AS (
-        SELECT doc_id, title, h, title AS path, NULL AS parent_path, 1 AS depth, lpad(h::VARCHAR, 6, '0') AS sort_path FROM heads WHERE parent IS NULL
+        SELECT doc_id, title, h, title AS path, NULL::VARCHAR AS parent_path, 1 AS depth, lpad(h::VARCHAR, 6, '0') AS sort_path FROM heads WHERE parent IS NULL
         UNION ALL SELECT c.doc_id, c.title, c.h, w.path || ' > ' || c.title, w.path, w.depth + 1, w.sort_path || '/' || lpad(c.h::VARCHAR, 6, '0') FROM walk w JOIN heads c ON c.doc_id = w.doc_id AND c.parent = w.title
     ), sections AS (
         SELECT *, doc_id || '-section-' || substr(sha256(doc_id || ':' || path), 1, 12) AS section_id,

@@ -9,9 +9,21 @@ from folioflow.sources.sinks import scratch
 
 
 def ledger_stream(spark: SparkSession, path: str) -> DataFrame:
-    """A ledger (event_id, ts, user_id, event_type, value, props) as a stream of its files."""
+    """A ledger (event_id, ts, user_id, event_type, value, props) as a stream of its files.
+
+    ``path`` is a folder of files or one file, which is then picked out of its folder.
+    """
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
+    folder, _, name = path.rstrip("/").rpartition("/")
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", name if _is_file(spark, path) else "*.parquet")
+    found = stream.parquet(folder if _is_file(spark, path) else path)
+    return found.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _is_file(spark: SparkSession, path: str) -> bool:
+    """Whether Spark reads the path as one file of that very name."""
+    files = spark.read.parquet(path).inputFiles()
+    return len(files) == 1 and files[0].rpartition("/")[2] == path.rstrip("/").rpartition("/")[2]
 
 
 def windowed(stream: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
