@@ -41,6 +41,7 @@ BAD_HOSTS = (
 GOOD_HOSTS = (
     "blog", "news", "wiki", "docs", "library", "museum", "weather", "recipes", "travel", "gardening", "history", "science", "music", "theater", "thenorth", "thereader",
     "therapy", "thermal", "other", "brother", "nation", "station", "there", "hand", "strand", "thanks", "whether", "school", "university", "city", "ensemble", "wheels",
+    "city-library", "town-hall", "open-source", "book-club", "home-garden", "public-school", "bus-times", "local-news", "opening-hours", "river-walks", "art-museum", "science-fair",
 )
 PLACES = (("http://www.", ".example.com", "/en/12"), ("https://", ".example.org", "/de/7/"), ("https://m.", ".example.net", "/fr/301.html"), ("http://blog.", ".example.com", "/es/45"))
 
