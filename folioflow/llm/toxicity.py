@@ -27,10 +27,7 @@ columns are ignored, and kept by ``clean``.
 
 from __future__ import annotations
 
-import math
 import re
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +39,7 @@ from folioflow.llm.common import id_bucket
 
 FOLDS, HELD_OUT = 5, 0
 MOST_DOCS = 1500
-MOST_CHARS = 10_000_000
+MOST_CHARS = 8_000_000
 MOST_PICKED = 500
 LEAST_PRECISION = 0.6
 BANDS = 5
@@ -50,6 +47,8 @@ STEMS = (4, 5, 6)
 #: Tokens whose weights a worker remembers; it starts anew when there are more.
 MEMORY_TOKENS = 400_000
 SEGMENT = 64
+#: Segments that are trained on at a time.
+PART = 2048
 ROUNDS = 40
 TOKEN = re.compile(r"[^\W\d_]+")
 
@@ -63,12 +62,13 @@ def units(word: str) -> list[str]:
     return [word, *[word[:n] + "*" if len(word) > n else "" for n in STEMS]]
 
 
-def sample(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_chars: int = MOST_CHARS) -> list[tuple[str, int]]:
-    """A bounded sample of (text, label), outside the held-out fold."""
+def sample(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_chars: int = MOST_CHARS) -> list[tuple[str, int, float]]:
+    """A bounded sample of (text, label, rows that it stands for), outside the held-out fold."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT).select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
     lengths = docs.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.length("text").alias("n"))
     both = lengths.join(known, "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    there = {r.toxic: r.n for r in both.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen: dict[int, int] = {}
     for label in (1, 0):
         chars = 0
@@ -81,15 +81,26 @@ def sample(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_
     if not chosen:
         return []
     rows = docs.where(F.col("doc_id").isin(list(chosen))).select(F.col("doc_id").cast("long").alias("doc_id"), "text").dropDuplicates(["doc_id"]).collect()
-    return [(r.text or "", chosen[r.doc_id]) for r in sorted(rows, key=lambda r: r.doc_id)]
+    stands = {y: there[y] / sum(1 for v in chosen.values() if v == y) for y in set(chosen.values())}
+    return [(r.text or "", chosen[r.doc_id], stands[chosen[r.doc_id]]) for r in sorted(rows, key=lambda r: r.doc_id)]
 
 
-def families(bags: list[set[str]]) -> list[int]:
+def _spread(ids: np.ndarray, salt: int) -> np.ndarray:
+    """Numbers mixed well, another way for each salt."""
+    x = (ids.astype(np.uint64) + np.uint64(salt + 1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def families(bags: list[np.ndarray], n_units: int) -> list[int]:
     """A family number per text; near copies share one, so that each text counts once.
 
-    Texts of a family agree in a band of three smallest hashes of their rare tokens.
+    Texts, as distinct token numbers, of a family agree in a band of three smallest
+    hashes of their rare tokens.
     """
-    seen = Counter(w for b in bags for w in b)
+    seen = np.zeros(n_units, dtype=np.int32)
+    for bag in bags:
+        seen[bag] += 1
     parent = list(range(len(bags)))
 
     def find(i: int) -> int:
@@ -100,29 +111,37 @@ def families(bags: list[set[str]]) -> list[int]:
 
     first: dict[tuple[int, ...], int] = {}
     for i, bag in enumerate(bags):
-        rare = np.array([zlib.crc32(w.encode()) for w in bag if seen[w] <= 0.01 * len(bags)], dtype=np.uint64)
+        rare = bag[seen[bag] <= 0.01 * len(bags)]
         if not len(rare):
             continue
-        lows = [int(((rare * np.uint64(2 * h + 1) + np.uint64(7919 * h)) * np.uint64(0x9E3779B97F4A7C15)).min()) for h in range(3 * BANDS)]
+        lows = [int(_spread(rare, h).min()) for h in range(3 * BANDS)]
         for band in range(BANDS):
             parent[find(i)] = find(first.setdefault((band, *lows[3 * band : 3 * band + 3]), i))
     return [find(i) for i in range(len(bags))]
 
 
-def toxic_tokens(texts: list[list[str]], labels: list[int]) -> set[str]:
-    """Tokens and stems that mark toxic documents (see above)."""
-    bags = [set(t) for t in texts]
-    groups = families(bags)
-    members = {(u, g, y) for b, g, y in zip(bags, groups, labels) for w in b for u in units(w) if u}
-    toxic, clean = Counter(w for w, _, y in members if y), Counter(w for w, _, y in members if not y)
+def toxic_units(texts: list[np.ndarray], labels: list[int], n_units: int, clean: float = 1.0) -> np.ndarray:
+    """Which units (tokens and stems) mark toxic documents (see above).
 
-    def bound(k: int, n: float, z: float = 2.0) -> float:
-        """Lower end of the Wilson interval of k in n."""
-        p = k / n
-        return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-
-    ranked = sorted(((bound(k, k + clean[w]), w) for w, k in toxic.items()), key=lambda x: (-x[0], x[1]))
-    return {w for b, w in ranked[:MOST_PICKED] if b >= LEAST_PRECISION}
+    ``texts`` are unit numbers of (token, unit); 0 is none. A clean text of the sample
+    stands for ``clean`` times as many as a toxic one.
+    """
+    groups: dict[tuple[int, int], list[np.ndarray]] = {}
+    for family, t, y in zip(families([np.unique(t[:, 0]) for t in texts], n_units), texts, labels):
+        groups.setdefault((family, y), []).append(np.unique(t))
+    seen = np.zeros((2, n_units))
+    for (_, y), members in groups.items():
+        seen[y, np.unique(np.concatenate(members))] += 1
+    # Half a clean text more: not seen in a small part of the clean ones is not rare.
+    k, n, z = seen[1], seen[1] + clean * (seen[0] + 0.5), 2.0
+    p = k / n
+    # Lower end of the Wilson interval of k in n.
+    bound = (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    bound[0] = 0
+    best = np.argsort(-bound, kind="stable")[:MOST_PICKED]
+    picked = np.zeros(n_units, dtype=bool)
+    picked[best] = bound[best] >= LEAST_PRECISION
+    return picked
 
 
 class Field:
@@ -208,17 +227,19 @@ class Field:
                 seen[i, j] = ((tags[:, :-1] == i) & (tags[:, 1:] == j) & mask[:, 1:]).sum()
         speed = {k: 1e-8 for k in ("own", "before", "after", "bias", "start", "step")}
         for _ in range(rounds):
-            p, both = self.marginals(self.emissions(ids, mask), mask, pairs=True)
-            gap = (tags - p) * mask
-            first = np.array([-(gap[:, 0].sum()), gap[:, 0].sum()])
-            grads = {
-                "own": sum(np.bincount(ids[:, :, u].ravel(), gap.ravel(), n) for u in range(ids.shape[2])) - 0.05 * self.own,
-                "before": np.bincount(token[:, :-1].ravel(), gap[:, 1:].ravel(), n) - self.before,
-                "after": np.bincount(token[:, 1:].ravel(), gap[:, :-1].ravel(), n) - self.after,
-                "bias": gap.sum(),
-                "start": first,
-                "step": seen - both,
-            }
+            grads = {"own": -0.05 * self.own, "before": -self.before, "after": -self.after, "bias": 0.0, "start": np.zeros(2), "step": seen.copy()}
+            # In parts, so that the recursion's arrays stay small.
+            for at in range(0, len(ids), PART):
+                i, m, word = ids[at : at + PART], mask[at : at + PART], token[at : at + PART]
+                p, both = self.marginals(self.emissions(i, m), m, pairs=True)
+                gap = (tags[at : at + PART] - p) * m
+                for u in range(i.shape[2]):
+                    grads["own"] += np.bincount(i[:, :, u].ravel(), gap.ravel(), n)
+                grads["before"] += np.bincount(word[:, :-1].ravel(), gap[:, 1:].ravel(), n)
+                grads["after"] += np.bincount(word[:, 1:].ravel(), gap[:, :-1].ravel(), n)
+                grads["bias"] += gap.sum()
+                grads["start"] += [-gap[:, 0].sum(), gap[:, 0].sum()]
+                grads["step"] -= both
             for w in ("own", "before", "after"):
                 grads[w][0] = 0.0
             for k, g in grads.items():
@@ -226,14 +247,14 @@ class Field:
                 setattr(self, k, getattr(self, k) + 0.6 * g / np.sqrt(speed[k]))
         self.trained_on = int(total)
 
-    def calibrate(self, signs: np.ndarray, labels: np.ndarray) -> None:
+    def calibrate(self, signs: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> None:
         """Fits the document score to the signs of texts (see ``_signs``), by Newton steps."""
-        x = _design(signs)
+        x, weight = _design(signs), weight / weight.mean()
         w, ridge = np.zeros(x.shape[1]), np.diag([1e-2, 1e-2, 1e-2, 1e-4])
         for _ in range(100):
             q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            h = (x * np.maximum(q * (1 - q), 1e-6)[:, None]).T @ x + ridge
-            w -= 0.5 * np.linalg.solve(h, x.T @ (q - labels) + ridge @ w)
+            h = (x * (weight * np.maximum(q * (1 - q), 1e-6))[:, None]).T @ x + ridge
+            w -= 0.5 * np.linalg.solve(h, x.T @ (weight * (q - labels)) + ridge @ w)
         self.curve = w
 
     def score(self, signs: np.ndarray) -> np.ndarray:
@@ -272,27 +293,40 @@ class _Weights(dict):
         return self.held[1]
 
 
-def train(rows: list[tuple[str, int]]) -> Field | None:
+def train(rows: list[tuple[str, int, float]]) -> Field | None:
     """The field of a labelled sample; none without both labels."""
-    labels = [int(bool(y)) for _, y in rows]
+    labels = [int(bool(y)) for _, y, _ in rows]
     if len(set(labels)) < 2:
         return None
-    texts = [tokens(t) for t, _ in rows]
-    toxic = toxic_tokens(texts, labels)
-    counts = Counter(u for t in texts for u in {u for w in set(t) for u in units(w) if u})
-    kept = sorted(w for w, n in counts.items() if n >= 3 or w in toxic)
-    field = Field({w: i + 1 for i, w in enumerate(kept)})
+    # Units get numbers at once; strings of all tokens would take too much of the driver.
+    number: dict[str, int] = {"": 0}
+    texts = []
+    for text, _, _ in rows:
+        flat = [number.setdefault(u, len(number)) for w in tokens(text) for u in units(w)]
+        texts.append(np.array(flat, dtype=np.int32).reshape(-1, 1 + len(STEMS)))
+    weight = np.array([w for _, _, w in rows])
+    stands = {y: weight[[x == y for x in labels]].mean() for y in (0, 1)}
+    toxic = toxic_units(texts, labels, len(number), stands[0] / stands[1])
+    counts = np.zeros(len(number), dtype=np.int32)
+    for t in texts:
+        counts[np.unique(t)] += 1
+    kept = (counts >= 3) | toxic
+    kept[0] = False
+    renumber = np.where(kept, np.cumsum(kept), 0).astype(np.int32)
+    field = Field({u: int(renumber[i]) for u, i in number.items() if kept[i]})
+    del number
     ids, masks, tags, doc = [], [], [], []
     for k, (t, y) in enumerate(zip(texts, labels)):
-        i, m = field.segments(field.ids(t))
+        i, m = field.segments(renumber[t])
         g = np.zeros(m.size, dtype=np.int8)
         if y:
-            g[: len(t)] = [any(u in toxic for u in units(w)) for w in t]
+            g[: len(t)] = toxic[t].any(axis=1)
         ids.append(i), masks.append(m), tags.append(g.reshape(m.shape)), doc.append(np.full(len(i), k))
+    del texts
     ids, masks, tags, doc = map(np.concatenate, (ids, masks, tags, doc))
     field.train(ids, masks, tags)
-    p = field.marginals(field.emissions(ids, masks), masks) * masks
-    field.calibrate(_signs(p, masks, doc, len(rows)), np.array(labels, dtype=float))
+    p = np.concatenate([field.marginals(field.emissions(ids[a : a + PART], masks[a : a + PART]), masks[a : a + PART]) for a in range(0, len(ids), PART)]) * masks
+    field.calibrate(_signs(p, masks, doc, len(rows)), np.array(labels, dtype=float), weight)
     return field
 
 
