@@ -303,6 +303,14 @@ ORACLE_SQL: dict[str, str] = {
         d AS (SELECT doc_id, trim(regexp_replace(lower(coalesce(text, '')), '\s+', ' ', 'g')) AS t FROM documents),
         h AS (SELECT item_id, count(*) AS n, min(doc_id) AS f FROM c JOIN d ON contains(d.t, c.t) WHERE len(string_split(c.t, ' ')) >= 8 GROUP BY item_id)
         SELECT item_id AS claim_id, coalesce(n, 0) AS n_docs, f AS first_doc, CASE WHEN n > 0 THEN 'supported' ELSE 'not_found' END AS status FROM benchmark LEFT JOIN h USING (item_id)""",
+    "html_payload": r"""WITH c AS (SELECT page_id, regexp_replace(coalesce(html, ''), '<(?:style|script)[^>]*>(?:.|\n)*?</(?:style|script)>', '', 'g') AS h FROM pages),
+        b AS (
+            SELECT page_id, 'title' AS block_type, unnest(regexp_extract_all(h, '<title(?: [^>]*)?>([^<]*(?:</?(?:a|b|br|em|i)(?: [^>]*)?>[^<]*)*)', 1)) AS raw FROM c
+            UNION ALL SELECT page_id, 'heading', unnest(regexp_extract_all(h, '<h1(?: [^>]*)?>([^<]*(?:</?(?:a|b|br|em|i)(?: [^>]*)?>[^<]*)*)', 1)) FROM c
+            UNION ALL SELECT page_id, 'list_item', unnest(regexp_extract_all(h, '<li(?: [^>]*)?>([^<]*(?:</?(?:a|b|br|em|i)(?: [^>]*)?>[^<]*)*)', 1)) FROM c
+            UNION ALL SELECT page_id, 'paragraph', unnest(regexp_extract_all(h, '<p(?: [^>]*)?>([^<]*(?:</?(?:a|b|br|em|i)(?: [^>]*)?>[^<]*)*)', 1)) FROM c
+        ), t AS (SELECT page_id, block_type, trim(replace(replace(replace(replace(replace(regexp_replace(raw, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), ' ') AS x FROM b)
+        SELECT page_id, block_type, count(*) AS n, sum(length(x))::BIGINT AS chars FROM t WHERE length(x) > 0 GROUP BY page_id, block_type""",
     "upsert_vectors": "SELECT label, CASE WHEN label % 2 = 1 THEN 2 ELSE 1 END AS version, count(*) AS n FROM embeddings GROUP BY label",
     "ledger_summary": f"WITH {ATTEMPTS} SELECT strategy, accepted, count(*) AS n, round(sum(cost), 4) AS cost FROM attempts GROUP BY strategy, accepted",
     "section_json": f"WITH RECURSIVE {SECTIONS} SELECT doc_id, count(*) AS n_sections FROM sections GROUP BY doc_id",

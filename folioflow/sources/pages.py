@@ -38,7 +38,8 @@ def word_boxes(docs: DataFrame) -> DataFrame:
 
 
 def _texts(html: Column, tag: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(rf"(?s)<{tag}(?: [^>]*)?>(.*?)(?:</{tag}>|<(?=p>|/article|/ul|/div))"), F.lit(1))
+    """What follows each opening tag, up to the next tag that is not an inline one."""
+    return F.regexp_extract_all(html, F.lit(rf"<{tag}(?: [^>]*)?>([^<]*(?:</?(?:a|b|br|em|i)(?: [^>]*)?>[^<]*)*)"), F.lit(1))
 
 
 def html_payload(pages: DataFrame) -> DataFrame:
