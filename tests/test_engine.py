@@ -74,7 +74,7 @@ def test_cell_matrix(spark):
 
 
 def test_provider_errors_and_boxes(spark):
-    df = spark.createDataFrame([("Docling is not installed",), ("Timed out",), ("conversion_failed: x",), (None,)], "m string")
+    df = spark.createDataFrame([("The provider is not installed",), ("Timed out",), ("conversion_failed: x",), (None,)], "m string")
     assert [r[0] for r in df.select(extraction.provider_error(F.col("m"))).collect()] == ["layout_provider_not_available", "layout_provider_timeout", "layout_provider_conversion_failed", "layout_provider_error"]
     boxes = spark.createDataFrame([({"l": 1.0, "t": 0.0, "r": 5.0},)], "b map<string,double>")
     assert boxes.select(extraction.box(F.col("b"), (0, 2, 3, 4)).alias("b")).first().b.asDict() == {"x0": 1.0, "y0": 2.0, "x1": 5.0, "y1": 4.0}
