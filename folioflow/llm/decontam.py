@@ -9,8 +9,8 @@ alignment within the budget lies in one band entirely. Bands that meet the bound
 verified by banded alignment, exact copies by plain search.
 
 Documents are only mapped over, so nothing is shuffled, whatever item or passage is
-frequent. Texts are handled in blocks of ``BLOCK`` bytes (a longer text is its own),
-whole. The items are taken in blocks of at most ``ITEM_BYTES`` normalised bytes; each
+frequent. Texts are handled whole, in blocks of ``BLOCK`` bytes; a longer text comes
+in pieces that overlap by more than an item. The items are taken in blocks of at most ``ITEM_BYTES`` normalised bytes; each
 is shipped to the tasks as it is, and all documents are matched against every block.
 
 Defined cases: null and empty texts contain nothing; items without text or shorter
@@ -139,21 +139,25 @@ def banded(item: bytes, text: bytes, diagonal: int, width: int, budget: int) ->
 def matches(items: Items, texts: list[bytes]) -> dict[tuple[int, int], tuple[int, int]]:
     """(text, item) -> (edits, position) of normalised texts."""
     best: dict[tuple[int, int], tuple[int, int]] = {}
+    # Pieces of a long text overlap by more than an item with its edits.
+    more = items.longest + 2 * int(items.k.max()) + 1 if len(items.k) else 0
+    pieces = [(t, x, text[x : x + BLOCK + more]) for t, text in enumerate(texts) for x in range(0, max(1, len(text)), BLOCK)]
     at = 0
-    while at < len(texts):
+    while at < len(pieces):
         upto, size = at, 0
-        while upto < len(texts) and (upto == at or size + len(texts[upto]) < BLOCK):
-            size += len(texts[upto]) + 1
+        while upto < len(pieces) and (upto == at or size + len(pieces[upto][2]) < BLOCK):
+            size += len(pieces[upto][2]) + 1
             upto += 1
-        part = texts[at:upto]
-        starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in part])[:-1]]).astype(np.int64)
-        block = np.frombuffer(b"\x00".join(part), np.uint8)
-        for t, i, diagonal in items.candidates(block, starts):
-            if best.get((at + t, i), (1,))[0] == 0:
+        part = pieces[at:upto]
+        starts = np.concatenate([[0], np.cumsum([len(p) + 1 for _, _, p in part])[:-1]]).astype(np.int64)
+        block = np.frombuffer(b"\x00".join(p for _, _, p in part), np.uint8)
+        for n, i, diagonal in items.candidates(block, starts):
+            t, x, piece = part[n]
+            if best.get((t, i), (1,))[0] == 0:
                 continue
-            got = items.verify(part[t], i, diagonal - int(starts[t]))
-            if got and got < best.get((at + t, i), (1 << 30, 0)):
-                best[at + t, i] = got
+            got = items.verify(piece, i, diagonal - int(starts[n]))
+            if got and (got[0], got[1] + x) < best.get((t, i), (1 << 30, 0)):
+                best[t, i] = got[0], got[1] + x
         at = upto
     return best
 

@@ -306,6 +306,16 @@ def test_leaks_match_brute_force(spark):
     assert decontam.clean(frame, bench.limit(0)).count() == len(docs) and decontam.contaminated(frame.limit(0), bench).count() == 0
 
 
+def test_long_texts_in_pieces(monkeypatch):
+    rng = random.Random(5)
+    items = decontam.Items([(i, bytes(rng.choices(b"abcdefgh ", k=60))) for i in range(5)])
+    text = b"".join(bytes(rng.choices(b"ijklmnop ", k=rng.randrange(150))) + rng.choice(items.texts)[:-2] for _ in range(30))
+    whole = decontam.matches(items, [b"x", text])
+    monkeypatch.setattr(decontam, "BLOCK", 100)
+    pieces = decontam.matches(items, [b"x", text])
+    assert len(whole) == 5 and {k: e for k, (e, _) in pieces.items()} == {k: e for k, (e, _) in whole.items()}
+
+
 def test_items_in_blocks(spark, monkeypatch, small):
     docs, bench = table(spark, small, "documents"), table(spark, small, "benchmark")
     whole = sorted(map(str, decontam.contaminated(docs, bench).collect()))
