@@ -91,13 +91,14 @@ class Items:
         pos = np.repeat(pos, count)
         item = self.item[which]
         text = np.searchsorted(starts, pos, side="right") - 1
-        band = (pos - self.at[which] + self.longest) // (self.k[item] + 1)
+        # Bands count from one, so that key - 1 below stays within the band's bits.
+        band = (pos - self.at[which] + self.longest) // (self.k[item] + 1) + 1
         key = (text << 44) | (item << 24) | band
         key, n = np.unique(np.concatenate([key, key - 1]), return_counts=True)
         good = n >= self.need[(key >> 24) & 0xFFFFF]
         for x in key[good].tolist():
             i = (x >> 24) & 0xFFFFF
-            yield x >> 44, i, (x & 0xFFFFFF) * (int(self.k[i]) + 1) - self.longest
+            yield x >> 44, i, ((x & 0xFFFFFF) - 1) * (int(self.k[i]) + 1) - self.longest
 
     def verify(self, text: bytes, i: int, diagonal: int) -> tuple[int, int] | None:
         """(edits, position) of item i in a band that starts at ``diagonal``, if within the budget."""

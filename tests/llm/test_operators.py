@@ -323,6 +323,13 @@ def test_items_in_blocks(spark, monkeypatch, small):
     assert sorted(map(str, decontam.contaminated(docs, bench).collect())) == whole
 
 
+def test_text_that_starts_with_the_end_of_the_item():
+    item = bytes(random.Random(3).choices(b"abcdefgh ", k=120))
+    items = decontam.Items([(1, item)])
+    assert decontam.matches(items, [item[-10:] + b" and more"]) == {}
+    assert decontam.matches(items, [item[-10:] + b" and " + item])[0, 0] == (0, 15)
+
+
 # WARC
 
 
