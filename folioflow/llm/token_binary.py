@@ -66,7 +66,8 @@ class Encoder:
     """A tokenizer of the tokenizers library, with the ids of words that it has met.
 
     The library encodes whole texts. For byte-level vocabularies a text's ids are
-    its words' ids in a row, so a word needs the library's model once.
+    its words' ids in a row, so a word needs the library's model once. Texts that hold
+    an added token go to the library whole, which gives that token its own id.
     """
 
     def __init__(self, path: str) -> None:
@@ -74,8 +75,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_word = self._cuts_like_us()
         self.alphabet = _byte_alphabet()
         self.known = _Known(self)
@@ -90,7 +91,7 @@ class Encoder:
         )
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.by_word or _OTHER.search(text):
+        if not self.by_word or _OTHER.search(text) or any(t in text for t in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
         if len(self.known) > MEMORY_WORDS:
             self.known.clear()

@@ -124,6 +124,15 @@ def test_words_cut_like_the_library():
         assert list(e.encode(text)) == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_like_the_plain_library():
+    from tokenizers import Tokenizer
+
+    library, e = Tokenizer.from_file(queries.tokenizer_path()), token_binary.encoder(queries.tokenizer_path())
+    for text in ["end <|endoftext|> of text", "<|endoftext|>", "a<|endoftext|><|endoftext|>b", "<|endoftext", "日本<|endoftext|>"]:
+        assert list(e.encode(text)) == library.encode(text, add_special_tokens=False).ids
+    assert 50256 in e.encode("end <|endoftext|> of text")
+
+
 # Quality
 
 
