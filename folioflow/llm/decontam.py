@@ -2,7 +2,8 @@
 
 Texts are compared as UTF-8 with A-Z lower-cased and white space collapsed. An item
 of m bytes may be contained with up to k = BUDGET * m edits. Such a region shares at
-least m - q + 1 - k * q of the item's q-grams (the lemma), and their diagonals
+least m - q + 1 - k * q of the item's q-grams (the lemma; q is ``Q``, and ``SHORT_Q``
+for items under ``SHORT`` bytes, whose budget it would cut), and their diagonals
 (position in the text minus position in the item) drift by at most k. So matching
 q-grams are counted in bands of 2 (k + 1) diagonals that overlap by half; every
 alignment within the budget lies in one band entirely. Bands that meet the bound are
@@ -13,8 +14,10 @@ frequent. Texts are handled whole, in blocks of ``BLOCK`` bytes; a longer text c
 in pieces that overlap by more than an item. The items are taken in blocks of at most ``ITEM_BYTES`` normalised bytes; each
 is shipped to the tasks as it is, and all documents are matched against every block.
 
-Defined cases: null and empty texts contain nothing; items without text or shorter
-than ``LEAST`` bytes are left out, as they say too little; documents with a null id,
+Items under ``TINY`` bytes are found exactly, between word boundaries, in the same scan.
+
+Defined cases: null and empty texts contain nothing; items without text are left out;
+documents with a null id,
 and repeated rows, are judged like others; empty tables give empty results, and
 without items all documents are clean; extra columns are ignored, and kept by
 ``clean``.
@@ -33,7 +36,10 @@ from folioflow.llm.common import written
 
 Q = 8
 BUDGET = 0.1
-LEAST = 24
+#: Items of fewer bytes are indexed by SHORT_Q-grams: from here on Q-grams allow the whole budget.
+SHORT, SHORT_Q = 32, 4
+#: Items of fewer bytes are matched exactly, as words.
+TINY = 8
 BLOCK = 1 << 21
 ITEM_BYTES = 1 << 20
 TABLE_BITS = 20
@@ -44,11 +50,12 @@ def normalised(text: bytes | None) -> bytes:
     return b" ".join((text or b"").lower().split())
 
 
-def _grams(data: np.ndarray) -> np.ndarray:
-    """The q-gram at every position, as one integer."""
-    if len(data) < Q:
+def _grams(data: np.ndarray, q: int) -> np.ndarray:
+    """The q-gram at every position, as one integer; q is 4 or 8."""
+    if len(data) < q:
         return np.empty(0, np.uint64)
-    return np.ascontiguousarray(np.lib.stride_tricks.as_strided(data, (len(data) - Q + 1, Q), (1, 1))).view(np.uint64).ravel()
+    grams = np.ascontiguousarray(np.lib.stride_tricks.as_strided(data, (len(data) - q + 1, q), (1, 1)))
+    return grams.view(f"<u{q}").ravel().astype(np.uint64, copy=False)
 
 
 def _slot(grams: np.ndarray) -> np.ndarray:
@@ -58,16 +65,17 @@ def _slot(grams: np.ndarray) -> np.ndarray:
 class Items:
     """The q-gram index of one block of items."""
 
-    def __init__(self, items: list[tuple[int | None, bytes]]) -> None:
+    def __init__(self, items: list[tuple[int | None, bytes]], q: int = Q) -> None:
+        self.q = q
         self.ids = [i for i, _ in items]
         self.texts = [t for _, t in items]
         m = np.array([len(t) for t in self.texts], dtype=np.int64)
         k = np.floor(BUDGET * m).astype(np.int64)
         # The lemma says something while m - q + 1 > k * q.
-        self.k = np.minimum(k, np.maximum(0, (m - Q) // Q))
-        self.need = m - Q + 1 - self.k * Q
+        self.k = np.minimum(k, np.maximum(0, (m - q) // q))
+        self.need = m - q + 1 - self.k * q
         self.longest = int(m.max()) if len(m) else 0
-        grams = [_grams(np.frombuffer(t, np.uint8)) for t in self.texts]
+        grams = [_grams(np.frombuffer(t, np.uint8), q) for t in self.texts]
         flat = np.concatenate(grams) if grams else np.empty(0, np.uint64)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]) if grams else np.empty(0, np.int64)
         at = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.empty(0, np.int64)
@@ -79,7 +87,7 @@ class Items:
 
     def candidates(self, block: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(text, item, first diagonal of the band) that meet the bound, in a block of texts."""
-        grams = _grams(block)
+        grams = _grams(block, self.q)
         pos = np.flatnonzero(self.table[_slot(grams)])
         if not len(pos) or not len(self.grams):
             return
@@ -163,13 +171,65 @@ def matches(items: Items, texts: list[bytes]) -> dict[tuple[int, int], tuple[int
     return best
 
 
+class Words:
+    """Items of fewer than ``TINY`` bytes, found exactly where no word goes on at either end."""
+
+    INSIDE = np.array([b >= 0x80 or chr(b).isalnum() or b == ord("_") for b in range(256)])
+
+    def __init__(self, items: list[tuple[int | None, bytes]]) -> None:
+        self.ids = [i for i, _ in items]
+        self.at: dict[bytes, list[int]] = {}
+        for n, (_, t) in enumerate(items):
+            self.at.setdefault(t, []).append(n)
+        self.keys = {m: np.unique([int.from_bytes(t, "little") for t in self.at if len(t) == m]).astype(np.uint64) for m in {len(t) for t in self.at}}
+
+    def matches(self, texts: list[bytes]) -> dict[tuple[int, int], tuple[int, int]]:
+        """(text, item) -> (0, first position), as ``matches``."""
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for t, text in enumerate(texts):
+            for x in range(0, len(text), BLOCK):
+                # A piece takes the byte before it and a whole item after it along.
+                low, high = max(0, x - 1), min(len(text), x + BLOCK + TINY)
+                data = np.frombuffer(text[low:high], np.uint8)
+                inside = self.INSIDE[data]
+                cut = np.concatenate([[low == 0], ~(inside[1:] & inside[:-1]), [high == len(text)]])
+                for m, keys in self.keys.items():
+                    if len(data) < m:
+                        continue
+                    starts = np.flatnonzero(cut[: len(cut) - m] & cut[m:])
+                    grams = np.zeros(len(starts), np.uint64)
+                    for i in range(m):
+                        grams |= data[starts + i].astype(np.uint64) << np.uint64(8 * i)
+                    hit = np.isin(grams, keys)
+                    for gram, first in zip(*np.unique(grams[hit], return_index=True)):
+                        for i in self.at[int(gram).to_bytes(m, "little")]:
+                            best.setdefault((t, i), (0, low + int(starts[hit][first])))
+        return best
+
+
+class Index:
+    """All items of one block, each found in the way that its length allows."""
+
+    def __init__(self, block: list[tuple[int | None, bytes]]) -> None:
+        short = lambda low, high: [x for x in block if low <= len(x[1]) < high]
+        self.words = Words(short(1, TINY))
+        self.items = [Items(part, q) for part, q in ((short(TINY, SHORT), SHORT_Q), (short(SHORT, 1 << 62), Q)) if part]
+
+    def matches(self, texts: list[bytes]) -> list[tuple[int, int | None, int, int]]:
+        """(text, item id, edits, position) of normalised texts, in order of the texts."""
+        found = [(items.ids, matches(items, texts)) for items in self.items]
+        if self.words.ids:
+            found.append((self.words.ids, self.words.matches(texts)))
+        return sorted(((t, ids[i], e, p) for ids, got in found for (t, i), (e, p) in got.items()), key=lambda r: r[0])
+
+
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, bytes]]]:
     """The usable items in blocks of bounded size, one at a time."""
     rows = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text"))
     block, size = [], 0
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         text = normalised(bytes(row.text))
-        if len(text) < LEAST:
+        if not text:
             continue
         if block and size + len(text) > ITEM_BYTES:
             yield block
@@ -190,11 +250,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def against(block: list[tuple[int | None, bytes]]) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = Items(block)
+            items = Index(block)
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                got = matches(items, [normalised(x.as_py()) for x in batch.column(1)])
-                rows = [(ids[t], items.ids[i], e, p) for (t, i), (e, p) in sorted(got.items())]
+                rows = [(ids[t], i, e, p) for t, i, e, p in items.matches([normalised(x.as_py()) for x in batch.column(1)])]
                 columns = list(zip(*rows)) or [(), (), (), ()]
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "item_id", "edits", "position"])
@@ -215,10 +274,10 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def without(df: DataFrame, block: list[tuple[int | None, bytes]]) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = Items(block)
+            items = Index(block)
             for batch in batches:
                 texts = [normalised((x.as_py() or "").encode()) for x in batch.column(at)]
-                hit = {t for t, _ in matches(items, texts)}
+                hit = {t for t, *_ in items.matches(texts)}
                 yield batch.filter(pa.array([t not in hit for t in range(batch.num_rows)], pa.bool_()))
 
         return df.mapInArrow(run, schema)

@@ -339,6 +339,31 @@ def test_text_that_starts_with_the_end_of_the_item():
     assert decontam.matches(items, [item[-10:] + b" and " + item])[0, 0] == (0, 15)
 
 
+def test_short_items(spark, monkeypatch):
+    rng = random.Random(7)
+    items = [(m, bytes(rng.choices(b"abcdefgh", k=m)).decode()) for m in range(8, 40)] + [(100, "a b"), (101, "cat"), (102, "cat"), (103, "."), (104, "é"), (105, None), (106, " ")]
+    docs = [(0, "the cat, a b."), (1, "concat cats caté _cat a bc"), (2, ""), (3, None), (4, "CAT"), (5, "x é"), (6, "a  b")]
+    for m, item in items[:32]:
+        for edits in range(m // 10 + 2):
+            body = list(item)
+            for at in rng.sample(range(1, m - 1), edits):
+                body[at] = "z"
+            docs.append((1000 * m + edits, "xyxy yxyx " * 3 + "".join(body) + " yxy"))
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(frame, bench).collect()}
+    assert {(d, i) for d, i in got if i >= 100} == {(0, 100), (0, 101), (0, 102), (0, 103), (4, 101), (4, 102), (5, 104), (6, 100)}
+    for d, body in docs:
+        for m, item in items[:32]:
+            assert ((d, m) in got) == (brute.edit_distance_inside(item.encode(), (body or "").encode()) <= m // 10), (d, m)
+    assert {r.doc_id for r in decontam.clean(frame, bench).collect()} == {d for d, _ in docs} - {d for d, _ in got}
+    words = decontam.Words([(1, b"cat"), (2, b"b")])
+    text = b"concat cats " * 9 + b"a cat b"
+    whole = words.matches([text])
+    for block in range(1, 30):
+        monkeypatch.setattr(decontam, "BLOCK", block)
+        assert words.matches([text]) == whole == {(0, 0): (0, 110), (0, 1): (0, 114)}
+
+
 # WARC
 
 
