@@ -172,6 +172,15 @@ def test_audit(spark):
     assert {r.claim_id: (r.status, r.first_doc) for r in answering.audit(claims, docs).collect()} == {1: ("supported", 7), 2: ("not_found", None), 3: ("not_found", None)}
 
 
+def test_more_queries_than_a_block(spark):
+    vectors = spark.range(1300).select(F.col("id").alias("vec_id"), F.array(F.cos(F.col("id") * 1.7), F.sin(F.col("id") * 1.7), F.lit(0.5)).cast("array<float>").alias("embedding"))
+    queries = vectors.select(F.col("vec_id").alias("request_id"), F.col("embedding").alias("query_vec"))
+    rows = {(r.request_id, r["rank"]): r.vec_id for r in retrieval.nearest(queries, vectors, 2).collect()}
+    assert len(rows) == 2600
+    some = queries.where("request_id % 20 = 0")
+    assert {(r.request_id, r["rank"]): r.vec_id for r in retrieval.nearest(some, vectors, 2).collect()} == {k: x for k, x in rows.items() if k[0] % 20 == 0}
+
+
 def test_html_payload(spark):
     html = '<html><style>p{}</style><title>T &amp; x</title><script>var t="</p>";</script><h1>H</h1><li><a href="x">L</a></li><p>one<br><p>two</p>'
     rows = sp.html_payload(spark.createDataFrame([(1, html), (2, None)], "page_id int, html string")).orderBy("pos").collect()
