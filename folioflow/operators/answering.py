@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,18 +35,24 @@ def results(requests: DataFrame, evidence: DataFrame) -> DataFrame:
 def audit(claims: DataFrame, docs: DataFrame, size: int = 8) -> DataFrame:
     """Which claims (claim_id, text) are backed by documents, word for word.
 
-    Claims and documents meet on the claim's first ``size`` words; a document's word
-    windows are hashed in its row, kept only where a claim has that hash, and verified
-    on the normalised text. The claims' hashes are checked for their number first.
+    Claims and documents meet on the claim's first ``size`` words, on all of them where
+    it has fewer; a document's word windows of those lengths are hashed in its row, kept
+    only where a claim has that hash, and verified on the normalised text. The claims'
+    hashes are checked for their number first. Only claims without text find nothing.
     """
     line = lambda c: F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[\s]+", " "))
-    c = claims.select("claim_id", line(F.col("text")).alias("claim")).withColumn("w", F.split("claim", " ")).where(F.size("w") >= size)
+    c = claims.select("claim_id", line(F.col("text")).alias("claim")).where("claim <> ''").withColumn("w", F.split("claim", " "))
+    lengths = sorted(r.n for r in c.select(F.least(F.size("w"), F.lit(size)).alias("n")).distinct().collect())
     c = c.select("claim_id", "claim", F.xxhash64(F.array_join(F.slice("w", 1, size), " ")).alias("key"))
     keys = c.select("key").distinct()
     few = [r.key for r in keys.limit(10_001).collect()]
     d = docs.select("doc_id", line(F.col("text")).alias("body")).withColumn("w", F.split("body", " "))
-    starts = F.when(F.size("w") >= size, F.sequence(F.lit(1), F.size("w") - (size - 1))).otherwise(F.array().cast("array<int>"))
-    windows = d.select("doc_id", "body", F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice("w", i, F.lit(size)), " ")))).alias("keys"))
+
+    def hashes(n: int) -> Column:
+        starts = F.when(F.size("w") >= n, F.sequence(F.lit(1), F.size("w") - (n - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice("w", i, F.lit(n)), " ")))
+
+    windows = d.select("doc_id", "body", F.array_distinct(F.concat(F.array().cast("array<bigint>"), *map(hashes, lengths))).alias("keys"))
     if len(few) <= 10_000:
         kept = F.array_intersect("keys", F.lit(few)) if few else F.array().cast("array<bigint>")
         windows = windows.withColumn("keys", kept)

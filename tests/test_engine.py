@@ -172,6 +172,12 @@ def test_audit(spark):
     assert {r.claim_id: (r.status, r.first_doc) for r in answering.audit(claims, docs).collect()} == {1: ("supported", 7), 2: ("not_found", None), 3: ("not_found", None)}
 
 
+def test_audit_of_short_claims(spark):
+    claims = spark.createDataFrame([(1, "Seven"), (2, "even"), (3, "six seven eight"), (4, "one two three four five six seven eight nine"), (5, " "), (6, "six eight"), (7, "two three four five six seven eight")], "claim_id int, text string")
+    docs = spark.createDataFrame([(7, "x One  two three four five six seven eight nine y"), (8, "seven"), (9, ""), (10, None)], "doc_id int, text string")
+    assert {r.claim_id: r.n_docs for r in answering.audit(claims, docs).collect()} == {1: 2, 2: 0, 3: 1, 4: 1, 5: 0, 6: 0, 7: 1}
+
+
 def test_more_queries_than_a_block(spark):
     vectors = spark.range(1300).select(F.col("id").alias("vec_id"), F.array(F.cos(F.col("id") * 1.7), F.sin(F.col("id") * 1.7), F.lit(0.5)).cast("array<float>").alias("embedding"))
     queries = vectors.select(F.col("vec_id").alias("request_id"), F.col("embedding").alias("query_vec"))
