@@ -10,13 +10,12 @@ the whole corpus, by Jensen-Shannon distance (base 2, so 0 to 1):
 
 A document fails where a distance exceeds its limit. Distances of short documents
 are noise, so each counts only from a least length on (``LEAST_CHARS``,
-``LEAST_WORDS``); shorter documents pass that comparison. Languages with less than
-``LANGUAGE_SHARE`` of all words, and a null language, are compared with the
-reference of all documents together, for character classes only.
+``LEAST_WORDS``); shorter documents pass that comparison. So do documents of a
+language with fewer than ``LEAST_REFERENCE`` words in all, and of a null language:
+too little is known of what they should look like.
 
-All of it is DataFrame work inside the JVM. References come from all documents;
-they are small by construction: at most 1 / LANGUAGE_SHARE languages of at most
-COMMON_WORDS words.
+All of it is DataFrame work inside the JVM. References come from all documents, one
+row of at most COMMON_WORDS words a language; Spark's size check picks their joins.
 
 Defined cases: null and empty texts count zero everywhere and fail the base rules;
 a null doc_id and repeated rows are judged like any other; an empty table gives an
@@ -34,7 +33,8 @@ from folioflow.llm.common import SPACE_CLASS, WORD_CLASS, words, written
 
 COMMON_SHARE = 0.004
 COMMON_WORDS = 12
-LANGUAGE_SHARE = 0.001
+#: Words that a language needs for a reference: its rarest common word is then seen some eight times.
+LEAST_REFERENCE = 2000
 LEAST_CHARS = 200
 LEAST_WORDS = 60
 MOST_CLASS_DISTANCE = 0.3
@@ -128,23 +128,21 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def references(docs: DataFrame) -> tuple[DataFrame, dict[str, float]]:
-    """(lang, shares r_<class>, common words) of the large languages; the class shares of all documents."""
+def references(docs: DataFrame) -> DataFrame:
+    """(lang, shares r_<class>, common words) of the languages with enough words."""
     plain = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
     sums = _stripped(plain).groupBy("lang").agg(F.sum(F.size("words").cast("long")).alias("total"), *[F.sum(f"c_{c}").alias(f"c_{c}") for c in CLASSES])
     sums = written(sums, "quality-languages")
-    pooled = sums.agg(F.sum("total").alias("total"), *[F.sum(f"c_{c}").alias(c) for c in CLASSES]).first().asDict()
-    whole, chars = pooled.pop("total") or 0, sum(v or 0 for v in pooled.values())
     chars_of = reduce(lambda a, b: a + b, [F.col(f"c_{c}") for c in CLASSES])
-    large = sums.where(F.col("lang").isNotNull() & (F.col("total") >= LANGUAGE_SHARE * whole) & (F.col("total") > 0))
+    large = sums.where(F.col("lang").isNotNull() & (F.col("total") >= LEAST_REFERENCE))
     large = large.select("lang", "total", *[(F.col(f"c_{c}") / chars_of).alias(f"r_{c}") for c in CLASSES])
     tokens = plain.where("lang is not null").select("lang", F.explode(words(F.col("text"))).alias("word"))
     counts = tokens.groupBy("lang", "word").agg(F.count("*").alias("n"))
-    frequent = counts.join(F.broadcast(large.select("lang", "total")), "lang").where(F.col("n") >= COMMON_SHARE * F.col("total"))
+    frequent = counts.join(large.select("lang", "total"), "lang").where(F.col("n") >= COMMON_SHARE * F.col("total"))
     # At most 1 / COMMON_SHARE words a language are left here.
     listed = frequent.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("minus"), "word", (F.col("n") / F.col("total")).alias("share")))).alias("listed"))
     common = listed.select("lang", F.slice("listed", 1, COMMON_WORDS).alias("common"))
-    return written(large.join(common, "lang", "left").drop("total"), "quality-references"), {c: (pooled[c] or 0) / chars if chars else 0.0 for c in CLASSES}
+    return written(large.join(common, "lang", "left").drop("total"), "quality-references")
 
 
 def _distance(pairs: list[tuple[Column, Column]]) -> Column:
@@ -162,14 +160,13 @@ def judged(docs: DataFrame) -> DataFrame:
 
     A distance is null where the document is too short for it or has no reference.
     """
-    refs, pooled = references(docs)
+    refs = references(docs)
     d = counted(docs).withColumn("padded", F.concat(F.lit(" "), F.array_join("words", "  "), F.lit(" "))).drop("text", "words", "lines")
-    # At most 1 / LANGUAGE_SHARE rows of COMMON_WORDS words each.
-    d = d.join(F.broadcast(refs), "lang", "left")
+    d = d.join(refs, "lang", "left")
     chars = reduce(lambda a, b: a + b, [F.col(f"c_{c}") for c in CLASSES])
     d = d.withColumn("chars", chars.cast("double"))
-    classes = [(F.col(f"c_{c}") / F.col("chars"), F.coalesce(F.col(f"r_{c}"), F.lit(float(pooled[c])))) for c in CLASSES]
-    d = d.withColumn("class_distance", F.when(F.col("chars") >= LEAST_CHARS, _distance(classes)))
+    classes = [(F.col(f"c_{c}") / F.col("chars"), F.col(f"r_{c}")) for c in CLASSES]
+    d = d.withColumn("class_distance", F.when((F.col("chars") >= LEAST_CHARS) & F.col("r_space").isNotNull(), _distance(classes)))
 
     def found(i: int) -> Column:
         """How often the i-th common word occurs; words in ``padded`` have a blank on either side."""

@@ -147,6 +147,18 @@ def test_quality_counts(spark, odd_docs, no_docs):
     assert quality.judged(no_docs).count() == 0
 
 
+def test_quality_of_rare_languages(spark):
+    rng = random.Random(4)
+    text = lambda letters, n: " ".join("".join(rng.choices(letters, k=5)) for _ in range(n))
+    rows = [(i, text("abcdefghij", 60000), "en") for i in range(50)]
+    rows += [(100 + i, text("абвгдежзик", 100), "ru") for i in range(24)] + [(200, "#1 " * 30 + text("0123456789#|", 100), "ru")]
+    rows += [(300, text("αβγδεζηθικ", 100), "el"), (301, text("абвгдежзик", 100), None)]
+    got = {r.doc_id: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i].kept for i in (0, 100, 123, 300, 301))
+    assert got[300].class_distance is None and got[301].class_distance is None
+    assert not got[200].kept and not got[200].base_failed
+
+
 # URLs
 
 
