@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioflow.llm import decontam, mixing, queries, simhash, token_binary, toxicity
+from folioflow.llm import decontam, mixing, queries, similar, token_binary, toxicity
 from folioflow.llm.common import scratch, table, written
 
 
@@ -21,8 +21,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: that with the smallest doc_id."""
-    return simhash.deduplicated(docs)
+    """One document of each group of similar texts stays: that with the smallest doc_id.
+
+    The op7 query has parameters of its own; here texts are alike from a similarity
+    of 0.8 of their five-word shingles.
+    """
+    return similar.deduplicated(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

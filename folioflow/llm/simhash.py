@@ -59,19 +59,24 @@ LEAF_NODES = 6_000
 
 def fingerprint(text: bytes | None, size: int = SHINGLE, seed: int = SEED) -> int:
     """The fingerprint of one UTF-8 text, as an unsigned integer."""
+    hashes = shingles(text, size, seed)
+    return _majority(hashes) if len(hashes) else 0
+
+
+def shingles(text: bytes | None, size: int, seed: int) -> np.ndarray:
+    """The hashes of all word shingles of one UTF-8 text, in order."""
     tokens = (text or b"").lower().split()
     if not tokens:
-        return 0
+        return np.empty(0, np.uint64)
     line = b" ".join(tokens)
     n = len(tokens)
     if n <= size:
-        return _majority(np.array([xxhash.xxh64_intdigest(line, seed)], dtype=np.uint64))
+        return np.array([xxhash.xxh64_intdigest(line, seed)], dtype=np.uint64)
     lengths = np.fromiter(map(len, tokens), dtype=np.int64, count=n)
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: n - size + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(line[a:b], seed) for a, b in zip(starts, ends[size - 1 :].tolist())]
-    return _majority(np.array(hashes, dtype=np.uint64))
+    return np.array([digest(line[a:b], seed) for a, b in zip(starts, ends[size - 1 :].tolist())], dtype=np.uint64)
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -316,9 +321,12 @@ def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     Rows with a null doc_id belong to no group and stay. Of rows that repeat a
     doc_id, one stays.
     """
-    spark = docs.sparkSession
+    return one_each(docs, near_duplicates(docs, radius))
+
+
+def one_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The document of each group whose doc_id is the group's component_id, and those without an id."""
     columns = docs.columns
-    groups = near_duplicates(docs, radius)
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
     packed = docs.select(F.col("doc_id").cast("long").alias("_kept_id"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
     known = packed.where("_kept_id is not null").join(kept, "_kept_id", "left_semi")

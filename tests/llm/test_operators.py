@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.llm import chat_format, decontam, language_id, mixing, quality, queries, simhash, token_binary, toxicity, url_filter, warc
+from folioflow.llm import chat_format, decontam, language_id, mixing, quality, queries, similar, simhash, token_binary, toxicity, url_filter, warc
 from folioflow.llm.common import scratch, table, word_count
 from tests.llm import brute
 from tests.oracle import compare
@@ -251,6 +251,43 @@ def test_vantage_trees_find_all_links(spark, parts):
     assert all(found.get(i, i) == want[i] for i in want)
 
 
+def test_similar_texts_match_brute_force_jaccard(spark, odd_docs, no_docs):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(500)]
+    texts = []
+    for family in range(8):
+        base = rng.choices(vocabulary, k=rng.choice([30, 150, 400]))
+        for _ in range(25):
+            words = base if rng.random() < 0.6 or not texts else texts[-1].split()
+            words = list(words)
+            for _ in range(rng.randrange(0, max(2, len(words) // 30))):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            texts.append(" ".join(words))
+    texts += ["a b", "A  b", "a b c", "", None]
+    rows = list(enumerate(texts))
+    sets = []
+    for t in texts:
+        words = brute.WORD.findall(brute.lower(t))
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    parent = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and parent[i] != parent[j]:
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if p == high else p for p in parent]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in similar.groups(docs).collect()}
+    assert got == dict(enumerate(parent)) and 20 < len(set(parent)) < 190
+    assert {r.doc_id for r in similar.deduplicated(docs).collect()} == set(parent)
+    by_bits = {r.doc_id for r in simhash.deduplicated(docs).collect()}
+    assert by_bits - set(parent)
+    kept = similar.deduplicated(odd_docs)
+    assert kept.columns == odd_docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids.count(1) == 1 and 6 not in ids and None in ids
+    assert similar.deduplicated(no_docs).count() == 0
+
+
 # Toxicity
 
 
