@@ -45,16 +45,23 @@ MAGIC = b"FFTOKB1\n"
 TRAILER = struct.Struct("<6Q8s")
 BLOCK_IDS = 8192
 END_ID = 0
-#: Words whose ids a worker remembers; it starts anew when there are more.
+#: Words of a generation whose ids a worker remembers; it remembers two generations.
 MEMORY_WORDS = 400_000
 
 # How the byte-level vocabulary cuts a text into words, for texts of
 # the characters that both regular-expression engines class alike.
-_WORD = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_WORD = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+|'(?:[sdmt]|ll|ve|re)| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
 _OTHER = re.compile("[^\t\n\x0b\x0c\r\x20-\x7eÀ-ɏ‐-‧]")
+_USUAL_ASCII = bytes([9, 10, 11, 12, 13, *range(32, 127)])
 _BYTE_LEVEL_CUT = ("ByteLevel", False, True)
 
 
+def _odd(text: str) -> bool:
+    """Whether a text has a character that the engines may class differently."""
+    return bool(text.encode().translate(None, _USUAL_ASCII)) if text.isascii() else bool(_OTHER.search(text))
+
+
 def _byte_alphabet() -> dict[int, int]:
     """Byte-level vocabularies write each byte as a printable character."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -91,24 +98,36 @@ class Encoder:
         )
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.by_word or _OTHER.search(text) or any(t in text for t in self.added):
+        if not self.by_word or _odd(text) or any(t in text for t in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
         if len(self.known) > MEMORY_WORDS:
-            self.known.clear()
+            self.known.age()
         return np.frombuffer(b"".join(map(self.known.__getitem__, _WORD.findall(text))), dtype="<u4")
 
 
 class _Known(dict):
-    """Ids of a word as bytes; a word that is missing goes through the library's model."""
+    """Ids of a word as bytes; a word that is missing goes through the library's model.
+
+    When a generation is full, it becomes the old one, and words that are met again
+    move on from there; so frequent words stay and rare ones are forgotten.
+    """
 
     def __init__(self, encoder: Encoder) -> None:
         super().__init__()
         self.tokenize = encoder.tokenizer.model.tokenize
         self.alphabet = encoder.alphabet
+        self.old: dict[str, bytes] = {}
+
+    def age(self) -> None:
+        self.old = dict(self)
+        self.clear()
 
     def __missing__(self, word: str) -> bytes:
-        tokens = self.tokenize(word.encode().decode("latin-1").translate(self.alphabet))
-        self[word] = ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        ids = self.old.get(word)
+        if ids is None:
+            tokens = self.tokenize(word.encode().decode("latin-1").translate(self.alphabet))
+            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        self[word] = ids
         return ids
 
 
