@@ -88,7 +88,6 @@ def test_tokens_round_trip(spark, odd_docs, no_docs):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(queries.tokenizer_path())
-    library.encode_special_tokens = True
     manifest = token_binary.write_shards(odd_docs, scratch(spark, "t"), queries.tokenizer_path(), block_ids=64)
     rows = token_binary.read_shards(manifest).orderBy("start").collect()
     assert [r.doc_id for r in rows] == [None, 1, 1, 2, 3, 4, 5, 6, 7, 8]
@@ -124,6 +123,15 @@ def test_words_cut_like_the_library():
         assert list(e.encode(text)) == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_forgotten_words(monkeypatch):
+    monkeypatch.setattr(token_binary, "MEMORY_WORDS", 5)
+    e = token_binary.Encoder(queries.tokenizer_path())
+    for k in range(40):
+        text = f"one two w{k} x{k % 7}, three"
+        assert list(e.encode(text)) == e.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(e.known) + len(e.known.old) < 30
+
+
 def test_added_tokens_like_the_plain_library():
     from tokenizers import Tokenizer
 
@@ -332,65 +340,105 @@ def test_toxicity_odd(spark, odd_docs, no_docs):
 # Decontamination
 
 
+def leaks(items, texts):
+    """{(text, item): edits} by brute force: as many edits as a tenth of the item's characters."""
+    plain = lambda t: " ".join(brute.WORD.findall(brute.lower(t)))
+    found = {}
+    for d, text in texts:
+        for i, item in items:
+            n = plain(item)
+            if len(n) >= 8:
+                edits = brute.edit_distance_inside(n, plain(text))
+                if edits <= len(n) // 10:
+                    found[d, i] = edits
+    return found
+
+
 def test_leaks_match_brute_force(spark):
     rng = random.Random(2)
-    words = ["alpha", "beta", "gamma", "delta", "omega", "kappa", "sigma", "theta"]
+    words = ["alpha", "beta", "gamma", "délta", "omega", "kappa", "σigma", "日本語", "the the", "aaaa"]
     text = lambda n: " ".join(rng.choices(words, k=n))
-    items = [(i, text(rng.randrange(8, 30))) for i in range(12)] + [(50, None), (51, "short"), (52, "")]
+    items = [(i, text(rng.randrange(8, 30))) for i in range(12)] + [(50, None), (52, ""), (53, " \n")]
+    items += [(60, "a" * 90), (61, "-=" * 50), (62, items[3][1]), (62, items[3][1]), (63, "é" * 30), (64, "日本" * 16)]
     docs = []
     for k in range(60):
-        body = bytearray(text(40).encode())
+        body = list(text(40))
         if k % 2:
-            leak = bytearray(rng.choice(items[:12])[1].encode())
+            leak = list(rng.choice(items[:12])[1])
             for _ in range(rng.randrange(0, len(leak) // 8)):
-                leak[rng.randrange(len(leak))] = rng.choice(b"xyz ")
+                at, kind = rng.randrange(len(leak)), rng.randrange(3)
+                leak[at : at + (kind > 0)] = rng.choice("xyzß ") if kind < 2 else ""
             at = rng.randrange(len(body))
-            body[at:at] = b" " + leak + b" "
-        docs.append((k, body.decode()))
-    docs += [(None, items[0][1]), (100, None), (101, "")]
+            body[at:at] = [" ", *leak, " "]
+        docs.append((k, "".join(body)))
+    docs += [(None, items[0][1]), (100, None), (101, ""), (102, "A" * 300), (103, "x" + "=-" * 200), (104, "a" * 40 + "b" + "a" * 44), (105, "É" * 40), (106, "é" * 28 + "xy" + "é" * 9), (107, "日本" * 16)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit(1))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = {(r.doc_id, r.item_id): r.edits for r in decontam.contaminated(frame, bench).collect()}
-    for d, body in docs:
-        for i, item in items[:12]:
-            n, b = decontam.normalised(item.encode()), decontam.normalised((body or "").encode())
-            edits, k = brute.edit_distance_inside(n, b), int(decontam.Items([(i, n)]).k[0])
-            assert ((d, i) in got) == (edits <= k), (d, i, edits, k)
-            if edits <= k:
-                assert got[d, i] >= edits
+    rows = decontam.contaminated(frame, bench).collect()
+    want = leaks([(i, t or "") for i, t in items], [(d, t or "") for d, t in docs])
+    assert len(rows) == len(want) > 30 and {(r.doc_id, r.item_id): r.edits for r in rows} == want
     clean = decontam.clean(frame, bench)
     assert clean.columns == frame.columns
-    assert {r.doc_id for r in clean.collect()} == {d for d, _ in docs} - {d for d, _ in got}
+    assert {r.doc_id for r in clean.collect()} == {d for d, _ in docs} - {d for d, _ in want}
     assert decontam.clean(frame, bench.limit(0)).count() == len(docs) and decontam.contaminated(frame.limit(0), bench).count() == 0
 
 
+def found(items, texts):
+    """{(text, item): (edits, position)} of texts given as bytes."""
+    return decontam.Index(items).matches(pa.array(texts, pa.binary()))
+
+
 def test_long_texts_in_pieces(monkeypatch):
     rng = random.Random(5)
-    items = decontam.Items([(i, bytes(rng.choices(b"abcdefgh ", k=60))) for i in range(5)])
-    text = b"".join(bytes(rng.choices(b"ijklmnop ", k=rng.randrange(150))) + rng.choice(items.texts)[:-2] for _ in range(30))
-    whole = decontam.matches(items, [b"x", text])
-    monkeypatch.setattr(decontam, "BLOCK", 100)
-    pieces = decontam.matches(items, [b"x", text])
-    assert len(whole) == 5 and {k: e for k, (e, _) in pieces.items()} == {k: e for k, (e, _) in whole.items()}
+    items = ["".join(rng.choices("abcdéfgh ", k=60)).encode() for _ in range(5)] + [b"ki", "kä".encode(), b"jj"]
+    text = "".join("".join(rng.choices("ijklmnöp ", k=rng.randrange(150))) + rng.choice(items[:5]).decode()[:-2] for _ in range(30)).encode()
+    whole = found(items, [b"x", text, b"\n", text[:90]])
+    assert len({i for t, i in whole if t == 1 and i < 5}) == 5
+    for size in (50, 100, 333):
+        monkeypatch.setattr(decontam, "BLOCK", size)
+        pieces = found(items, [b"x", text, b"\n", text[:90]])
+        assert {k: e for k, (e, _) in pieces.items()} == {k: e for k, (e, _) in whole.items()}
+        assert all(pieces[k] == whole[k] for k in whole if whole[k][0] == 0)
 
 
 def test_items_in_blocks(spark, monkeypatch, small):
     docs, bench = table(spark, small, "documents"), table(spark, small, "benchmark")
     whole = sorted(map(str, decontam.contaminated(docs, bench).collect()))
-    monkeypatch.setattr(decontam, "ITEM_BYTES", 3000)
+    kept = sorted(r.doc_id for r in decontam.clean(docs, bench).collect())
+    monkeypatch.setattr(decontam, "ITEM_CHARS", 3000)
+    monkeypatch.setattr(decontam, "GROUP", 50_000)
+    assert len(decontam.Benchmark(bench).blocks) > 1
     assert sorted(map(str, decontam.contaminated(docs, bench).collect())) == whole
+    assert sorted(r.doc_id for r in decontam.clean(docs, bench).collect()) == kept
 
 
 def test_text_that_starts_with_the_end_of_the_item():
-    item = bytes(random.Random(3).choices(b"abcdefgh ", k=120))
-    items = decontam.Items([(1, item)])
-    assert decontam.matches(items, [item[-10:] + b" and more"]) == {}
-    assert decontam.matches(items, [item[-10:] + b" and " + item])[0, 0] == (0, 15)
+    item = decontam.normalised(bytes(random.Random(3).choices(b"abcdefgh ", k=120)))
+    assert found([item], [item[-10:] + b" and more"]) == {}
+    assert found([item], [b"x" + item[-9:] + b" and " + item])[0, 0] == (0, 15)
+
+
+def test_repetitive_items_against_long_repetitive_texts(monkeypatch):
+    item, text = b"=" * 1000, b"=" * 20_000 + b"-" * 500 + b"=" * 950
+    got = found([item, b"-" * 560], [text, b"=" * 899, b"=" * 900])
+    assert got[0, 0] == (0, 0) and (1, 0) not in got and got[2, 0][0] == 100 and (0, 1) not in got
+    assert found([b"-" * 550], [text])[0, 0][0] == 50
+
+
+def test_matches_in_parts(monkeypatch):
+    rng = random.Random(8)
+    items = ["".join(rng.choices("ab ", k=80)).encode() for _ in range(6)]
+    texts = ["".join(rng.choices("ab ", k=2000)).encode() + items[k % 6][:-3] for k in range(12)]
+    whole = found(items, texts)
+    parts = decontam._parts
+    monkeypatch.setattr(decontam, "_parts", lambda sizes, most: parts(sizes, 50))
+    monkeypatch.setattr(decontam, "MOST_CELLS", 64)
+    assert found(items, texts) == whole and len(whole) >= 12
 
 
 def test_short_items(spark, monkeypatch):
     rng = random.Random(7)
-    items = [(m, bytes(rng.choices(b"abcdefgh", k=m)).decode()) for m in range(8, 40)] + [(100, "a b"), (101, "cat"), (102, "cat"), (103, "."), (104, "é"), (105, None), (106, " ")]
+    items = [(m, "".join(rng.choices("abcdefgh", k=m))) for m in range(8, 40)] + [(100, "a b"), (101, "cat"), (102, "cat"), (103, "."), (104, "é"), (105, None), (106, " ")]
     docs = [(0, "the cat, a b."), (1, "concat cats caté _cat a bc"), (2, ""), (3, None), (4, "CAT"), (5, "x é"), (6, "a  b")]
     for m, item in items[:32]:
         for edits in range(m // 10 + 2):
@@ -399,18 +447,15 @@ def test_short_items(spark, monkeypatch):
                 body[at] = "z"
             docs.append((1000 * m + edits, "xyxy yxyx " * 3 + "".join(body) + " yxy"))
     frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(frame, bench).collect()}
-    assert {(d, i) for d, i in got if i >= 100} == {(0, 100), (0, 101), (0, 102), (0, 103), (4, 101), (4, 102), (5, 104), (6, 100)}
-    for d, body in docs:
-        for m, item in items[:32]:
-            assert ((d, m) in got) == (brute.edit_distance_inside(item.encode(), (body or "").encode()) <= m // 10), (d, m)
+    got = {(r.doc_id, r.item_id): r.edits for r in decontam.contaminated(frame, bench).collect()}
+    assert {k for k in got if k[1] >= 100} == {(0, 100), (0, 101), (0, 102), (0, 103), (4, 101), (4, 102), (5, 104), (6, 100)}
+    assert {k: e for k, e in got.items() if k[1] < 100} == leaks(items[:32], [(d, t or "") for d, t in docs])
     assert {r.doc_id for r in decontam.clean(frame, bench).collect()} == {d for d, _ in docs} - {d for d, _ in got}
-    words = decontam.Words([(1, b"cat"), (2, b"b")])
     text = b"concat cats " * 9 + b"a cat b"
-    whole = words.matches([text])
+    whole = found([b"cat", b"b"], [text])
     for block in range(1, 30):
         monkeypatch.setattr(decontam, "BLOCK", block)
-        assert words.matches([text]) == whole == {(0, 0): (0, 110), (0, 1): (0, 114)}
+        assert found([b"cat", b"b"], [text]) == whole == {(0, 0): (0, 110), (0, 1): (0, 114)}
 
 
 # WARC
