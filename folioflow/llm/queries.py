@@ -67,9 +67,9 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     field = toxicity.train(toxicity.sample(docs, labels))
-    scores = toxicity.scored(docs, field, spans=False)
+    scores = toxicity.scored(docs, field)
     held_out = F.coalesce(id_bucket(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_OUT, F.lit(False))
-    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
 
 
 def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:

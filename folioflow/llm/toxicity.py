@@ -1,28 +1,31 @@
 """Toxic spans and documents by a linear-chain conditional random field.
 
-Tokens are lower-cased runs of letters. Each is tagged toxic or not; a token's
-features are the token, its stems (its first 4, 5 and 6 letters, where more follow),
-and the previous and the next token. Documents carry labels,
-tokens do not, so tokens of the labelled sample are labelled first: a token or stem is
-picked if the share of toxic documents among those that have it is at least
-``LEAST_PRECISION`` at the low end of its confidence interval, near copies counting
-once. What was picked is toxic in toxic documents; all tokens of other documents are
-not. The field is then trained on these sequences by
-gradient ascent, with forward-backward in numpy, over a bounded sample of labelled
-rows: at most ``MOST_DOCS`` of each label and ``MOST_CHARS`` characters in all,
-drawn by the hash of doc_id, whole texts only.
-
-Every token of every text is scored. Chains run over ``SEGMENT`` tokens, so the
-recursion is one vector operation a step for all segments of a batch. A document's
-score comes from its largest marginal, the sum of its marginals and its length, by
-a logistic curve fitted on the sample's labels. Tokens with a marginal of 0.5 or more give its spans, as
-character offsets.
+Tokens are runs of letters, lower-cased one by one. Each is tagged toxic or not; a
+token's features are the token, its stems (its first 4, 5 and 6 letters, where more
+follow), and the previous and the next token. Documents carry labels, tokens do not,
+so tokens of the labelled sample are labelled first: a token or stem is picked if the
+share of toxic documents among those that have it is at least ``LEAST_PRECISION`` at
+the low end of its confidence interval, and if so many toxic ones are not to be
+expected by chance from all units together; near copies count once. What was picked
+is toxic in toxic documents; all tokens of other documents are not. The field is then
+trained on these sequences by gradient ascent, with forward-backward in numpy, over a
+bounded sample of labelled rows: at most ``MOST_DOCS`` of each label and
+``MOST_CHARS`` characters in all, drawn by the hash of doc_id, whole texts only.
+
+Every token of every text is scored, and a text is one chain. The recursions run over
+stretches of ``SEGMENT`` tokens side by side, one vector operation a step. What enters
+a stretch comes from the stretch before: products of the steps' matrices carry it
+over all stretches of a text, so the marginals are those of the whole chain. A
+document's score comes from its largest marginal, the sum of its marginals and its
+length, by a logistic curve fitted on the sample's labels. Tokens with a marginal of
+0.5 or more give its spans, as character offsets in the text as it is.
 
 Defined cases: null and empty texts, and texts without letters, get the score of a
 document without any toxic token; labels of null or repeated doc_ids: null ones are
-not used, of several the largest counts; without labelled rows of both kinds all
-scores are 0; repeated rows repeat; an empty table gives an empty result; extra
-columns are ignored, and kept by ``clean``.
+not used, of several the largest counts; of texts that share a doc_id the one with the
+smallest hash is learned from; without labelled rows of both kinds all scores are 0;
+repeated rows repeat; an empty table gives an empty result; extra columns are ignored,
+and kept by ``clean``.
 """
 
 from __future__ import annotations
@@ -40,25 +43,32 @@ from folioflow.llm.common import id_bucket
 FOLDS, HELD_OUT = 5, 0
 MOST_DOCS = 1500
 MOST_CHARS = 8_000_000
-MOST_PICKED = 500
 LEAST_PRECISION = 0.6
+#: Standard deviations from a share to the low end of its interval.
+DEVIATIONS = 1.3
+#: Units that chance alone may be expected to pick.
+BY_CHANCE = 2
 BANDS = 5
 STEMS = (4, 5, 6)
 #: Tokens whose weights a worker remembers; it starts anew when there are more.
 MEMORY_TOKENS = 400_000
 SEGMENT = 64
-#: Segments that are trained on at a time.
-PART = 2048
+#: Tokens that are scored, or trained on, at a time; more where one text has more.
+PART = 1 << 17
 ROUNDS = 40
 TOKEN = re.compile(r"[^\W\d_]+")
+_ASCII_TOKEN = re.compile("[A-Za-z]+")
 
 
 def tokens(text: str | None) -> list[str]:
-    return TOKEN.findall((text or "").lower())
+    """The tokens of a text as they stand there."""
+    text = text or ""
+    return (_ASCII_TOKEN if text.isascii() else TOKEN).findall(text)
 
 
 def units(word: str) -> list[str]:
-    """The token itself and its stems."""
+    """The token itself, lower-cased, and its stems."""
+    word = word.lower()
     return [word, *[word[:n] + "*" if len(word) > n else "" for n in STEMS]]
 
 
@@ -80,7 +90,8 @@ def sample(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_
                 chars -= row.n
     if not chosen:
         return []
-    rows = docs.where(F.col("doc_id").isin(list(chosen))).select(F.col("doc_id").cast("long").alias("doc_id"), "text").dropDuplicates(["doc_id"]).collect()
+    some = docs.where(F.col("doc_id").isin(list(chosen)) & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = some.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).collect()
     stands = {y: there[y] / sum(1 for v in chosen.values() if v == y) for y in set(chosen.values())}
     return [(r.text or "", chosen[r.doc_id], stands[chosen[r.doc_id]]) for r in sorted(rows, key=lambda r: r.doc_id)]
 
@@ -130,20 +141,124 @@ def toxic_units(texts: list[np.ndarray], labels: list[int], n_units: int, clean:
     for family, t, y in zip(families([np.unique(t[:, 0]) for t in texts], n_units), texts, labels):
         groups.setdefault((family, y), []).append(np.unique(t))
     seen = np.zeros((2, n_units))
+    size = np.zeros(2)
     for (_, y), members in groups.items():
         seen[y, np.unique(np.concatenate(members))] += 1
+        size[y] += 1
     # Half a clean text more: not seen in a small part of the clean ones is not rare.
-    k, n, z = seen[1], seen[1] + clean * (seen[0] + 0.5), 2.0
+    k, n, z = seen[1], seen[1] + clean * (seen[0] + 0.5), DEVIATIONS
     p = k / n
     # Lower end of the Wilson interval of k in n.
     bound = (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    bound[0] = 0
-    best = np.argsort(-bound, kind="stable")[:MOST_PICKED]
-    picked = np.zeros(n_units, dtype=bool)
-    picked[best] = bound[best] >= LEAST_PRECISION
+    # Chernoff's bound of the chance that a unit which says nothing has so many toxic texts.
+    usual = size[1] / size.sum()
+    q = np.clip(k / np.maximum(1, seen.sum(axis=0)), 1e-12, 1 - 1e-12)
+    apart = np.where(q > usual, q * np.log(q / usual) + (1 - q) * np.log((1 - q) / (1 - usual)), 0.0)
+    total = seen.sum(axis=0).astype(int)
+    # Units with fewer texts could not get that far.
+    rivals = np.cumsum(np.bincount(total)[::-1])[::-1][total]
+    expected = rivals * np.exp(-total * apart)
+    picked = (bound >= LEAST_PRECISION) & (expected <= BY_CHANCE)
+    picked[0] = False
     return picked
 
 
+class Chains:
+    """Texts of some lengths, cut to stretches of ``SEGMENT`` tokens that lie side by side.
+
+    Values of all tokens in a row (``flat``) become arrays of (SEGMENT, stretch).
+    """
+
+    def __init__(self, lengths: np.ndarray) -> None:
+        self.lengths = np.asarray(lengths, dtype=np.int64)
+        self.n = int(self.lengths.sum())
+        per = -(-self.lengths // SEGMENT)
+        #: Text, place within the text, and number of tokens of each stretch.
+        self.text = np.repeat(np.arange(len(per)), per)
+        self.place = np.arange(len(self.text)) - np.repeat(np.cumsum(per) - per, per)
+        self.held = np.minimum(SEGMENT, self.lengths[self.text] - SEGMENT * self.place)
+        start = (np.cumsum(self.lengths) - self.lengths)[self.text] + SEGMENT * self.place
+        self.at = start[None, :] + np.arange(SEGMENT)[:, None]
+        self.on = np.arange(SEGMENT)[:, None] < self.held[None, :]
+        self.of_token = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        #: Whether a token and the next one are of one text.
+        self.joined = self.of_token[1:] == self.of_token[:-1]
+        self.first = self.place == 0
+        self.last = self.place == per[self.text] - 1
+
+    def wide(self, flat: np.ndarray, other: float) -> np.ndarray:
+        out = np.full(self.on.shape, other, dtype=float)
+        out[self.on] = flat[self.at[self.on]]
+        return out
+
+    def flat(self, wide: np.ndarray) -> np.ndarray:
+        out = np.empty(self.n)
+        out[self.at[self.on]] = wide[self.on]
+        return out
+
+    def entering(self, w: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What each stretch gets from the one before and from the one after, as odds; the outermost get none."""
+        fore, back = np.ones(len(self.text)), np.ones(len(self.text))
+        many = np.flatnonzero(~(self.first & self.last))
+        if not len(many):
+            return fore, back
+        # The product of the matrices of all steps of a stretch, scaled: row i is what state i before it becomes.
+        w, on = w[:, many], self.on[:, many]
+        m = np.empty((2, 2, len(many)))
+        m[0], m[1] = [[1.0], [0.0]], [[0.0], [1.0]]
+        for k in range(SEGMENT):
+            new = np.stack([m[:, 0] * a[0, 0] + m[:, 1] * a[1, 0], (m[:, 0] * a[0, 1] + m[:, 1] * a[1, 1]) * w[k]], axis=1)
+            m = np.where(on[k], new / new.sum(axis=(0, 1)), m)
+        place, last = self.place[many], self.last[many]
+        # Stretches of all texts that have so many move on together.
+        for k in range(1, int(place.max()) + 1):
+            here = np.flatnonzero(place == k)
+            before = here - 1
+            # The first stretch begins without a step; its own forward odds are in ``begun``.
+            x = np.where(place[before] == 0, self.begun[many[before]], 0.0)
+            o = fore[many[before]]
+            t = (m[0, 1][before] + o * m[1, 1][before]) / (m[0, 0][before] + o * m[1, 0][before])
+            fore[many[here]] = np.where(place[before] == 0, x, t)
+        for k in range(int(place.max()) - 1, -1, -1):
+            here = np.flatnonzero((place == k) & ~last)
+            after = here + 1
+            o = back[many[after]]
+            back[many[here]] = (m[1, 0][after] + m[1, 1][after] * o) / (m[0, 0][after] + m[0, 1][after] * o)
+        return fore, back
+
+    def odds(self, w: np.ndarray, s: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forward and backward odds of the toxic tag at every token (SEGMENT, stretch).
+
+        Only the odds of the two states matter, so each recursion is one fraction a step.
+        """
+
+        def forward(r: np.ndarray, k: int) -> np.ndarray:
+            return w[k] * (a[0, 1] + r * a[1, 1]) / (a[0, 0] + r * a[1, 0])
+
+        r, q = np.empty(w.shape), np.ones(w.shape)
+        # First stretches of long texts go first: their ends are what second ones begin with.
+        self.begun = np.ones(len(self.text))
+        long = np.flatnonzero(self.first & ~self.last)
+        if len(long):
+            x = s[1] / s[0] * w[0, long]
+            for k in range(1, SEGMENT):
+                x = w[k, long] * (a[0, 1] + x * a[1, 1]) / (a[0, 0] + x * a[1, 0])
+            self.begun[long] = x
+        fore, back = self.entering(w, a)
+        r[0] = np.where(self.first, s[1] / s[0] * w[0], forward(fore, 0))
+        for k in range(1, SEGMENT):
+            r[k] = forward(r[k - 1], k)
+        ends = self.held - 1
+        for k in range(SEGMENT - 1, -1, -1):
+            if k + 1 < SEGMENT:
+                y = w[k + 1] * q[k + 1]
+                inner = (a[1, 0] + a[1, 1] * y) / (a[0, 0] + a[0, 1] * y)
+            else:
+                inner = back
+            q[k] = np.where(ends == k, back, np.where(self.on[k], inner, 1.0))
+        return r, q
+
+
 class Field:
     """The trained field: a vocabulary, emission weights of three positions, transitions."""
 
@@ -161,91 +276,76 @@ class Field:
         get = self.vocabulary.get
         return np.array([[get(u, 0) for u in units(w)] for w in words], dtype=np.int32).reshape(len(words), 1 + len(STEMS))
 
-    def emissions(self, ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
-        """Score of the toxic tag over the other one; ids of (segment, token, unit)."""
-        return self._shifted(self.own[ids].sum(axis=2), self.before[ids[:, :, 0]], self.after[ids[:, :, 0]], mask)
-
-    def _shifted(self, own: np.ndarray, before: np.ndarray, after: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    def emissions(self, own: np.ndarray, before: np.ndarray, after: np.ndarray, chains: Chains) -> np.ndarray:
+        """Score of the toxic tag over the other one of all tokens, from the weights that each brings along."""
         e = own + self.bias
-        e[:, 1:] += before[:, :-1]
-        e[:, :-1] += after[:, 1:]
-        return np.clip(e, -30, 30) * mask
+        e[1:] += before[:-1] * chains.joined
+        e[:-1] += after[1:] * chains.joined
+        return np.clip(e, -30, 30)
+
+    def of_ids(self, ids: np.ndarray, chains: Chains) -> np.ndarray:
+        """The same from ids of (token, unit)."""
+        return self.emissions(self.own[ids].sum(axis=1), self.before[ids[:, 0]], self.after[ids[:, 0]], chains)
 
     def known(self) -> _Weights:
         if not hasattr(self, "_known") or len(self._known) > MEMORY_TOKENS:
             self._known = _Weights(self)
         return self._known
 
-    def marginals(self, e: np.ndarray, mask: np.ndarray, pairs: bool = False):
-        """Probability of the toxic tag of every token, by forward-backward."""
-        n, length = e.shape
+    def marginals(self, e: np.ndarray, chains: Chains) -> np.ndarray:
+        """Probability of the toxic tag of every token, by forward-backward over whole texts."""
+        return self._tagged(e, chains)[0]
+
+    def _tagged(self, e: np.ndarray, chains: Chains, pairs: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
         s, a = np.exp(self.start), np.exp(self.step)
-        w = np.exp(e).T
-        on = mask.T
-        fo, ft = np.empty((length, n)), np.empty((length, n))
-        bo, bt = np.ones((length, n)), np.ones((length, n))
-        o, t = np.full(n, s[0]), s[1] * w[0]
-        for k in range(length):
-            if k:
-                o, t = o * a[0, 0] + t * a[1, 0], (o * a[0, 1] + t * a[1, 1]) * w[k]
-            z = o + t
-            fo[k], ft[k] = o / z, t / z
-            o, t = fo[k], ft[k]
-        for k in range(length - 2, -1, -1):
-            x, y = bo[k + 1], w[k + 1] * bt[k + 1]
-            o, t = a[0, 0] * x + a[0, 1] * y, a[1, 0] * x + a[1, 1] * y
-            z = o + t
-            bo[k], bt[k] = np.where(on[k + 1], o / z, 1.0), np.where(on[k + 1], t / z, 1.0)
-        p = ft * bt / (fo * bo + ft * bt)
+        w = chains.wide(np.exp(e), 1.0)
+        r, q = chains.odds(w, s, a)
+        odds = chains.flat(r * q)
+        p = odds / (1 + odds)
         if not pairs:
-            return p.T
+            return p, None
+        # Expected numbers of the tags of neighbours.
         both = np.empty((2, 2))
-        x, y = bo[1:], w[1:] * bt[1:]
-        cells = [[fo[:-1] * a[0, 0] * x, fo[:-1] * a[0, 1] * y], [ft[:-1] * a[1, 0] * x, ft[:-1] * a[1, 1] * y]]
+        r, y = chains.flat(r)[:-1][chains.joined], chains.flat(w * q)[1:][chains.joined]
+        cells = [[a[0, 0], a[0, 1] * y], [r * a[1, 0], r * a[1, 1] * y]]
         z = cells[0][0] + cells[0][1] + cells[1][0] + cells[1][1]
         for i in (0, 1):
             for j in (0, 1):
-                both[i, j] = ((cells[i][j] / z) * on[1:]).sum()
-        return p.T, both
-
-    def segments(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One text's token ids as (segment, SEGMENT) with a mask."""
-        rows = max(1, -(-len(ids) // SEGMENT))
-        padded = np.zeros((rows * SEGMENT, *ids.shape[1:]), dtype=ids.dtype)
-        padded[: len(ids)] = ids
-        mask = np.arange(rows * SEGMENT) < len(ids)
-        return padded.reshape(rows, SEGMENT, *ids.shape[1:]), mask.reshape(rows, SEGMENT)
-
-    def train(self, ids: np.ndarray, mask: np.ndarray, tags: np.ndarray, rounds: int = ROUNDS) -> None:
-        """Gradient ascent on the log-likelihood with adaptive steps; ids of (segment, token, unit)."""
+                both[i, j] = (cells[i][j] / z).sum()
+        return p, both
+
+    def train(self, texts: list[np.ndarray], tags: list[np.ndarray], rounds: int = ROUNDS) -> None:
+        """Gradient ascent on the log-likelihood with adaptive steps; a text is ids of (token, unit)."""
         n = len(self.own)
-        total = max(1, mask.sum())
-        token = ids[:, :, 0]
-        seen = np.empty((2, 2))
-        for i in (0, 1):
-            for j in (0, 1):
-                seen[i, j] = ((tags[:, :-1] == i) & (tags[:, 1:] == j) & mask[:, 1:]).sum()
+        parts = []
+        for some in _batches([len(t) for t in texts]):
+            chains = Chains(np.array([len(texts[i]) for i in some]))
+            parts.append((chains, np.concatenate([texts[i] for i in some]), np.concatenate([tags[i] for i in some])))
+        seen = np.zeros((2, 2))
+        for chains, _, g in parts:
+            for i in (0, 1):
+                for j in (0, 1):
+                    seen[i, j] += ((g[:-1] == i) & (g[1:] == j) & chains.joined).sum()
         speed = {k: 1e-8 for k in ("own", "before", "after", "bias", "start", "step")}
         for _ in range(rounds):
             grads = {"own": -0.05 * self.own, "before": -self.before, "after": -self.after, "bias": 0.0, "start": np.zeros(2), "step": seen.copy()}
             # In parts, so that the recursion's arrays stay small.
-            for at in range(0, len(ids), PART):
-                i, m, word = ids[at : at + PART], mask[at : at + PART], token[at : at + PART]
-                p, both = self.marginals(self.emissions(i, m), m, pairs=True)
-                gap = (tags[at : at + PART] - p) * m
-                for u in range(i.shape[2]):
-                    grads["own"] += np.bincount(i[:, :, u].ravel(), gap.ravel(), n)
-                grads["before"] += np.bincount(word[:, :-1].ravel(), gap[:, 1:].ravel(), n)
-                grads["after"] += np.bincount(word[:, 1:].ravel(), gap[:, :-1].ravel(), n)
+            for chains, ids, g in parts:
+                p, both = self._tagged(self.of_ids(ids, chains), chains, pairs=True)
+                gap = g - p
+                for u in range(ids.shape[1]):
+                    grads["own"] += np.bincount(ids[:, u], gap, n)
+                grads["before"] += np.bincount(ids[:-1, 0], gap[1:] * chains.joined, n)
+                grads["after"] += np.bincount(ids[1:, 0], gap[:-1] * chains.joined, n)
                 grads["bias"] += gap.sum()
-                grads["start"] += [-gap[:, 0].sum(), gap[:, 0].sum()]
+                begin = gap[np.append(True, ~chains.joined)].sum() if len(gap) else 0.0
+                grads["start"] += [-begin, begin]
                 grads["step"] -= both
             for w in ("own", "before", "after"):
                 grads[w][0] = 0.0
             for k, g in grads.items():
                 speed[k] = speed[k] + g * g
                 setattr(self, k, getattr(self, k) + 0.6 * g / np.sqrt(speed[k]))
-        self.trained_on = int(total)
 
     def calibrate(self, signs: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> None:
         """Fits the document score to the signs of texts (see ``_signs``), by Newton steps."""
@@ -261,11 +361,25 @@ class Field:
         return 1 / (1 + np.exp(-np.clip(_design(signs) @ self.curve, -30, 30)))
 
 
-def _signs(p: np.ndarray, mask: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """Largest marginal, sum of the marginals and number of tokens of each of n texts."""
+def _batches(lengths: list[int]) -> Iterator[list[int]]:
+    """Texts in a row that have about ``PART`` tokens together."""
+    some, size = [], 0
+    for i, n in enumerate(lengths):
+        if some and size + n > PART:
+            yield some
+            some, size = [], 0
+        some.append(i)
+        size += n
+    if some:
+        yield some
+
+
+def _signs(p: np.ndarray, chains: Chains) -> np.ndarray:
+    """Largest marginal, sum of the marginals and number of tokens of each text."""
+    n = len(chains.lengths)
     top = np.zeros(n)
-    np.maximum.at(top, doc, p.max(axis=1))
-    return np.stack([top, np.bincount(doc, p.sum(axis=1), n), np.bincount(doc, mask.sum(axis=1), n)], axis=1)
+    np.maximum.at(top, chains.of_token, p)
+    return np.stack([top, np.bincount(chains.of_token, p, n), chains.lengths], axis=1)
 
 
 def _design(signs: np.ndarray) -> np.ndarray:
@@ -315,49 +429,37 @@ def train(rows: list[tuple[str, int, float]]) -> Field | None:
     renumber = np.where(kept, np.cumsum(kept), 0).astype(np.int32)
     field = Field({u: int(renumber[i]) for u, i in number.items() if kept[i]})
     del number
-    ids, masks, tags, doc = [], [], [], []
-    for k, (t, y) in enumerate(zip(texts, labels)):
-        i, m = field.segments(renumber[t])
-        g = np.zeros(m.size, dtype=np.int8)
-        if y:
-            g[: len(t)] = toxic[t].any(axis=1)
-        ids.append(i), masks.append(m), tags.append(g.reshape(m.shape)), doc.append(np.full(len(i), k))
-    del texts
-    ids, masks, tags, doc = map(np.concatenate, (ids, masks, tags, doc))
-    field.train(ids, masks, tags)
-    p = np.concatenate([field.marginals(field.emissions(ids[a : a + PART], masks[a : a + PART]), masks[a : a + PART]) for a in range(0, len(ids), PART)]) * masks
-    field.calibrate(_signs(p, masks, doc, len(rows)), np.array(labels, dtype=float), weight)
+    tags = [toxic[t].any(axis=1).astype(np.int8) * y for t, y in zip(texts, labels)]
+    texts = [renumber[t] for t in texts]
+    field.train(texts, tags)
+    signs = []
+    for some in _batches([len(t) for t in texts]):
+        chains = Chains(np.array([len(texts[i]) for i in some]))
+        signs.append(_signs(field.marginals(field.of_ids(np.concatenate([texts[i] for i in some]), chains), chains), chains))
+    field.calibrate(np.concatenate(signs), np.array(labels, dtype=float), weight)
     return field
 
 
 def _score_texts(field: Field | None, texts: list[str | None], spans: bool) -> tuple[np.ndarray, list[list[dict]]]:
     """Scores and toxic spans of some texts."""
     found: list[list[dict]] = [[] for _ in texts]
-    if field is None:
+    if field is None or not texts:
         return np.zeros(len(texts)), found
-    ids, masks, doc = [], [], []
     known = field.known()
-    for k, t in enumerate(texts):
-        i, m = field.segments(np.array(list(map(known.__getitem__, tokens(t))), dtype=np.int32))
-        ids.append(i), masks.append(m), doc.append(np.full(len(i), k))
-    if not texts:
-        return np.zeros(0), found
-    table = known.table()
-    ids, masks, doc = map(np.concatenate, (ids, masks, doc))
-    p = np.empty(ids.shape)
-    for a in range(0, len(ids), 4096):
-        part = slice(a, a + 4096)
-        e = field._shifted(table[0][ids[part]], table[1][ids[part]], table[2][ids[part]], masks[part])
-        p[part] = field.marginals(e, masks[part]) * masks[part]
-    if spans:
-        for k in np.unique(doc[(p >= 0.5).any(axis=1)]).tolist():
-            hot = (p[doc == k] >= 0.5).ravel()
-            text = texts[k] or ""
-            lower = text.lower()
-            # Offsets count characters of the lower-cased text where that changes the length.
-            at = [m.span() for m in TOKEN.finditer(lower)]
-            found[k] = [{"start": at[x][0], "end": at[x][1]} for x in np.flatnonzero(hot[: len(at)]).tolist()]
-    return field.score(_signs(p, masks, doc, len(texts))), found
+    rows = [np.array(list(map(known.__getitem__, tokens(t))), dtype=np.int32) for t in texts]
+    table, signs = known.table(), []
+    for some in _batches([len(r) for r in rows]):
+        chains = Chains(np.array([len(rows[i]) for i in some]))
+        ids = np.concatenate([rows[i] for i in some])
+        p = field.marginals(field.emissions(table[0][ids], table[1][ids], table[2][ids], chains), chains)
+        signs.append(_signs(p, chains))
+        hot = np.flatnonzero(p >= 0.5) if spans else ()
+        if len(hot):
+            start = np.cumsum(chains.lengths) - chains.lengths
+            for k in np.unique(chains.of_token[hot]).tolist():
+                at = [m.span() for m in TOKEN.finditer(texts[some[k]] or "")]
+                found[some[k]] = [{"start": at[x][0], "end": at[x][1]} for x in (hot[chains.of_token[hot] == k] - start[k]).tolist()]
+    return field.score(np.concatenate(signs)), found
 
 
 SCORES = "doc_id long, score double, spans array<struct<start:int,end:int>>"

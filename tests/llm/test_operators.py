@@ -307,24 +307,76 @@ def test_toxicity_held_out(spark):
     right = sum((r.score >= 0.5) == bool(r.toxic) for r in held) / len(held)
     caught = [r.score >= 0.5 for r in held if r.toxic]
     assert right > 0.96 and sum(caught) / len(caught) > 0.85
-    text = "you are a Moron and a clown"
-    _, spans = toxicity._score_texts(field, [text], True)
-    assert [text[s["start"] : s["end"]] for s in spans[0]] == ["Moron", "clown"]
+    for text in ("you are a Moron and a clown", "İİİ you Moron, ß clown"):
+        _, spans = toxicity._score_texts(field, [text], True)
+        assert [text[s["start"] : s["end"]] for s in spans[0]] == ["Moron", "clown"]
+    assert any(r.spans for r in rows if r.toxic) and all(0 <= s.start < s.end for r in rows for s in r.spans)
 
 
-def test_forward_backward_matches_enumeration():
+def some_field():
     field = toxicity.Field({"a": 1, "b": 2})
     field.own[:], field.before[:], field.after[:] = [0, 2.0, -1.0], [0, 0.5, 0.1], [0, -0.3, 0.7]
-    ids, mask = field.segments(field.ids(["a", "b", "c", "a"]))
-    e = field.emissions(ids, mask)
-    got = field.marginals(e, mask)[0, :4]
+    return field
+
+
+def test_forward_backward_matches_enumeration():
+    field = some_field()
+    chains = toxicity.Chains(np.array([4]))
+    e = field.of_ids(field.ids(["a", "b", "c", "a"]), chains)
+    got, pairs = field._tagged(e, chains, pairs=True)
     weights = {}
     for k in range(16):
-        tags = [k >> i & 1 for i in range(4)]
-        s = field.start[tags[0]] + sum(e[0, i] * t for i, t in enumerate(tags)) + sum(field.step[x, y] for x, y in zip(tags, tags[1:]))
-        weights[tuple(tags)] = np.exp(s)
+        tags = tuple(k >> i & 1 for i in range(4))
+        s = field.start[tags[0]] + sum(e[i] * t for i, t in enumerate(tags)) + sum(field.step[x, y] for x, y in zip(tags, tags[1:]))
+        weights[tags] = np.exp(s)
     total = sum(weights.values())
     assert np.allclose(got, [sum(w for t, w in weights.items() if t[i]) / total for i in range(4)])
+    want = [[sum(w * sum((x, y) == (i, j) for x, y in zip(t, t[1:])) for t, w in weights.items()) / total for j in (0, 1)] for i in (0, 1)]
+    assert np.allclose(pairs, want)
+
+
+def test_chains_run_over_whole_texts():
+    """Marginals of texts of many lengths against one plain recursion a text, in logarithms."""
+    field, rng = some_field(), np.random.default_rng(3)
+    field.start, field.step = np.array([0.3, -1.0]), np.array([[0.0, -4.0], [-3.0, 0.5]])
+    lengths = [1, 0, 64, 65, 5, 128, 129, 700, 0, 63, 2000]
+    ids = rng.integers(0, 3, (sum(lengths), 4)).astype(np.int32)
+    chains = toxicity.Chains(np.array(lengths))
+    got = np.split(field.marginals(field.of_ids(ids, chains), chains), np.cumsum(lengths)[:-1])
+    for text, p in zip(np.split(ids, np.cumsum(lengths)[:-1]), got):
+        if not len(text):
+            continue
+        e = field.own[text].sum(axis=1) + field.bias
+        e[1:] += field.before[text[:-1, 0]]
+        e[:-1] += field.after[text[1:, 0]]
+        fore, back = [field.start + [0, e[0]]], [np.zeros(2)]
+        for x in e[1:]:
+            fore.append(np.logaddexp(fore[-1][0] + field.step[0], fore[-1][1] + field.step[1]) + [0, x])
+        for x in e[:0:-1]:
+            back.insert(0, np.logaddexp(field.step[:, 0] + back[0][0], field.step[:, 1] + back[0][1] + x))
+        both = np.array(fore) + np.array(back)
+        assert np.allclose(p, 1 / (1 + np.exp(both[:, 0] - both[:, 1])), atol=1e-9)
+
+
+def test_training_climbs_to_the_tags():
+    rng = random.Random(4)
+    rows = []
+    for k in range(300):
+        words = rng.choices(["ab", "cd", "efgh", "ij", "klm"], k=rng.randrange(1, 150))
+        if k % 3 == 0:
+            words[rng.randrange(len(words))] = rng.choice(["vile", "awful"])
+        rows.append((" ".join(words), int(k % 3 == 0), 1.0))
+    field = toxicity.train(rows)
+    score, spans = toxicity._score_texts(field, [t for t, _, _ in rows], True)
+    for (text, y, _), s, found in zip(rows, score, spans):
+        assert (s >= 0.5) == bool(y) and [text[x["start"] : x["end"]] in ("vile", "awful") for x in found] == [True] * y
+
+
+def test_sample_of_repeated_ids(spark):
+    docs = [(i, f"text {i} {k}") for i in range(40) for k in range(3)]
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    one = toxicity.sample(spark.createDataFrame(docs, "doc_id long, text string"), labels)
+    assert one == toxicity.sample(spark.createDataFrame(docs[::-1], "doc_id long, text string").repartition(7), labels) and len(one) == sum(brute.bucket(i, 5) != 0 for i in range(40))
 
 
 def test_toxicity_odd(spark, odd_docs, no_docs):
