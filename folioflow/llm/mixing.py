@@ -10,26 +10,27 @@ A document is expected target / size times. Along a fixed order of a source's
 documents these expected copies are summed up (all documents of a source expect
 the same, so the sum before a document is its rank times the rate), one random
 offset is added, and the document is emitted once for each integer that its
-stretch of the sum crosses. The order goes by size class, then by the hash of
-doc_id: short and long documents are then drawn evenly. Of ``OFFSETS`` evenly spaced
-offsets that start at a random one, a source uses that whose taken words come
-nearest to its target. Offset and order come from hashes, so reruns agree.
+stretch of the sum crosses. The order goes by size class, then by a hash of doc_id
+and text: short and long documents are then drawn evenly, and what a source takes
+differs from its target by no more than about its largest document. Offset and order
+come from hashes, so reruns agree.
 
 Ranks of a large source are not made in one task: documents are ranked within
-buckets of (source, size class, leading hash digits), and a running sum over the
-bucket counts gives each bucket its start. Buckets refine the order, so the result
-does not depend on how many there are.
+buckets of (source, size class, leading hash digits), as many digits as the class
+needs, and a running sum over the bucket counts gives each bucket its start. Buckets
+refine the order, so the result does not depend on how many there are. Documents
+without a doc_id spread by their texts.
 
 Defined cases: null and empty texts have size 0 and are drawn like others, to no
-effect on the sizes; a null source is a source of its own, the last one; a null
-doc_id hashes like an empty one; repeated rows are separate documents; a source
-without words has target 0 and its documents are left out; an empty table gives
-an empty result. Extra columns are kept by ``mixed``.
+effect on the sizes; a null source is a source of its own, the last one; repeated
+rows are separate documents, and as they are equal it does not matter which of them
+is drawn (rows that repeat doc_id and text go by the hash of their other columns in
+``mixed``); a source without words has target 0 and its documents are left out; an
+empty table gives an empty result. Extra columns are kept by ``mixed``.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,7 +42,6 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 SEED = "mix-1"
-OFFSETS = 16
 #: Documents that a bucket should hold at most.
 BUCKET_ROWS = 200_000
 
@@ -71,8 +71,9 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     return rows.withColumn("target", target).withColumn("rate", rate).select("source", "source_size", "n_docs", "target", "rate")
 
 
-def _hash(value: Column) -> Column:
-    return F.md5(F.coalesce(value.cast("string"), F.lit("")))
+def identity(doc_id: Column, text: Column) -> Column:
+    """The hash that orders documents."""
+    return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(text.cast("string"), F.lit("")))))
 
 
 def _offset(source: Column, seed: str) -> Column:
@@ -88,48 +89,46 @@ def _size_class(size: Column) -> Column:
 def sampled(sized: DataFrame, row: str | None = None, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = SEED) -> DataFrame:
     """(doc_id, size, source, source_size, target, copies, and ``row``) for every row.
 
-    ``sized`` has doc_id, source, size and, if named, one more column that is carried along.
+    ``sized`` has doc_id, source, size, h (see ``identity``) and, if named, one more
+    column that is carried along, and ``tie``, which orders rows of the same h.
     """
-    slim = written(sized.select("doc_id", "source", "size"), "sizes")
-    goals = written(targets(slim, weights, share, most), "targets")
-    largest = goals.agg(F.max("n_docs")).first()[0] or 0
-    digits = max(1, math.ceil(math.log(max(1, largest) / BUCKET_ROWS, 16)))
+    slim = written(sized.select("doc_id", "source", "size", "h", _size_class(F.col("size")).alias("class")), "sizes")
+    goals = targets(slim, weights, share, most).withColumn("offset", _offset(F.col("source"), seed))
+    goals = written(goals.select(F.col("source").alias("g_source"), "source_size", "target", "rate", "offset"), "targets")
+    classes = slim.groupBy("source", "class").agg(F.count("*").alias("n"))
+    digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("n") / F.lit(BUCKET_ROWS)))).cast("int")
+    classes = written(classes.select(F.col("source").alias("d_source"), F.col("class").alias("d_class"), digits.alias("digits")), "classes")
 
+    # Nulls are keys like any other in groups and windows, and in joins by <=>.
     def keyed(df: DataFrame) -> DataFrame:
-        hashed = df.withColumn("class", _size_class(F.col("size"))).withColumn("h", _hash(F.col("doc_id")))
-        return hashed.withColumn("bucket", F.substring("h", 1, digits))
+        known = df.join(classes, F.col("source").eqNullSafe(F.col("d_source")) & (F.col("class") == F.col("d_class")))
+        return known.withColumn("bucket", F.substr("h", F.lit(1), F.col("digits"))).drop("d_source", "d_class", "digits")
 
-    # Nulls are keys like any other in groups and windows, and in joins by <=>.
     counts = keyed(slim).groupBy("source", "class", "bucket").agg(F.count("*").alias("n"))
     start = Window.partitionBy("source").orderBy("class", "bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(F.col("source").alias("s_source"), F.col("class").alias("s_class"), F.col("bucket").alias("s_bucket"), F.coalesce(F.sum("n").over(start), F.lit(0)).alias("before"))
     starts = written(starts, "starts")
-    within = Window.partitionBy("source", "class", "bucket").orderBy("h", "doc_id", "size")
-
-    def placed(df: DataFrame, goal: DataFrame) -> DataFrame:
-        """``df`` with each document's position in its source, and the source's goal."""
-        ranked = keyed(df).withColumn("rank", F.row_number().over(within) - 1)
-        at = ranked.join(starts, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("class") == F.col("s_class")) & (F.col("bucket") == F.col("s_bucket")))
-        at = at.withColumn("position", F.col("before") + F.col("rank"))
-        return at.join(goal.withColumnRenamed("source", "g_source"), F.col("source").eqNullSafe(F.col("g_source")))
+    within = Window.partitionBy("source", "class", "bucket").orderBy("h", *(["tie"] if row else []))
+    ranked = keyed(sized.withColumn("class", _size_class(F.col("size"))) if row else slim).withColumn("rank", F.row_number().over(within) - 1)
+    at = ranked.join(starts, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("class") == F.col("s_class")) & (F.col("bucket") == F.col("s_bucket")))
+    drawn = at.join(goals, F.col("source").eqNullSafe(F.col("g_source"))).withColumn("position", F.col("before") + F.col("rank"))
+    crossed = F.floor((F.col("position") + 1) * F.col("rate") + F.col("offset")) - F.floor(F.col("position") * F.col("rate") + F.col("offset"))
+    copies = F.least(crossed, F.lit(most)).cast("int")
+    return drawn.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies"), *([row] if row else []))
 
-    def copies(offset: Column) -> Column:
-        crossed = F.floor((F.col("position") + 1) * F.col("rate") + offset) - F.floor(F.col("position") * F.col("rate") + offset)
-        return F.least(crossed, F.lit(most)).cast("int")
 
-    tried = [(_offset(F.col("source"), seed) + F.lit(k / OFFSETS)).alias(f"u_{k}") for k in range(OFFSETS)]
-    sums = placed(slim, goals.select("source", "rate", *tried)).groupBy("source").agg(*[F.sum(F.col("size") * copies(F.col(f"u_{k}"))).alias(f"t_{k}") for k in range(OFFSETS)])
-    gaps = F.array(*[F.abs(F.col(f"t_{k}") - F.col("target")) for k in range(OFFSETS)])
-    nearest = F.array_position(gaps, F.array_min(gaps)) - 1
-    chosen = goals.join(sums.withColumnRenamed("source", "t_source"), F.col("source").eqNullSafe(F.col("t_source")))
-    goals = written(chosen.select("source", "source_size", "target", "rate", (_offset(F.col("source"), seed) + nearest / F.lit(float(OFFSETS))).alias("offset")), "offsets")
-    drawn = placed(sized if row else slim, goals)
-    return drawn.select("doc_id", "size", "source", "source_size", "target", copies(F.col("offset")).alias("copies"), *([row] if row else []))
+def sized(docs: DataFrame, *more: str) -> DataFrame:
+    """What ``sampled`` needs of documents, and more columns as they are."""
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(doc_id.alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), identity(doc_id, F.col("text")).alias("h"), *more)
 
 
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The documents that the mix takes, repeated as often as it takes them."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    sized = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
-    taken = sampled(sized, "row", weights, share, most, seed).where("copies > 0")
+    # Maps have no hash; JSON writes them.
+    others = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema if f.name != "text"]
+    rows = docs.select(F.struct(*columns).alias("row"), F.xxhash64(*others, F.lit(0)).alias("tie"))
+    plain = sized(rows.select("row", "tie", "row.doc_id", "row.source", "row.text"), "row", "tie")
+    taken = sampled(plain, "row", weights, share, most, seed).where("copies > 0")
     return taken.withColumn("row", F.explode(F.array_repeat("row", F.col("copies")))).select("row.*")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import chat_format, decontam, language_id, mixing, quality, simhash, token_binary, toxicity, url_filter, warc
-from folioflow.llm.common import id_bucket, scratch, table, word_count
+from folioflow.llm.common import id_bucket, scratch, table
 
 
 def tokenizer_path() -> str:
@@ -54,8 +54,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
-    drawn = mixing.sampled(sized)
+    drawn = mixing.sampled(mixing.sized(docs))
     return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
@@ -186,7 +185,8 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "op6_mixing": r"""
         WITH sized AS (
-            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                   md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS h FROM documents
         ), per AS (
             SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
         ), weighed AS (
@@ -206,19 +206,12 @@ ORACLE_SQL: dict[str, str] = {
                    ('0x' || substr(md5('mix-1:' || coalesce(source, '')), 1, 8))::UBIGINT::DOUBLE / 4294967296.0::DOUBLE AS u0 FROM goals
         ), ranked AS (
             SELECT *, row_number() OVER (PARTITION BY source ORDER BY
-                CASE WHEN size < 16 THEN size ELSE floor(log2(size::DOUBLE) * 8)::BIGINT END, md5(coalesce(doc_id::VARCHAR, '')), doc_id, size) - 1 AS pos
+                CASE WHEN size < 16 THEN size ELSE floor(log2(size::DOUBLE) * 8)::BIGINT END, h) - 1 AS pos
             FROM sized
         ), placed AS (
             SELECT r.doc_id, r.size, r.source, g.source_size, g.target, g.rate, g.u0, r.pos FROM ranked r JOIN rated g ON r.source IS NOT DISTINCT FROM g.source
-        ), tried AS (
-            SELECT source, k, sum(size * least(2, floor((pos + 1) * rate + (u0 + k / 16.0::DOUBLE)) - floor(pos * rate + (u0 + k / 16.0::DOUBLE)))) AS taken, any_value(target) AS target
-            FROM placed, (SELECT unnest(range(16)) AS k) GROUP BY source, k
-        ), chosen AS (
-            SELECT source, arg_min(k, (abs(taken - target), k)) AS k FROM tried GROUP BY source
         )
-        SELECT p.doc_id, p.size, p.source_size, p.target,
-               (p.size * least(2, floor((p.pos + 1) * p.rate + (p.u0 + c.k / 16.0::DOUBLE)) - floor(p.pos * p.rate + (p.u0 + c.k / 16.0::DOUBLE))))::BIGINT AS taken
-        FROM placed p JOIN chosen c ON p.source IS NOT DISTINCT FROM c.source
+        SELECT doc_id, size, source_size, target, (size * least(2, floor((pos + 1) * rate + u0) - floor(pos * rate + u0)))::BIGINT AS taken FROM placed
     """,
     "op10_warc": r"""
         WITH payloads AS (
