@@ -50,9 +50,19 @@ def parent_number(number: Column) -> Column:
     return nothing_if_empty(F.regexp_extract(number, r"^(.*)\.\d+$", 1))
 
 
+def lower_terms(text: Column) -> Column:
+    """Lower-case terms of ASCII letters and digits, in order."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
+
+
 def terms(text: Column) -> Column:
     """Distinct lower-case terms of ASCII letters and digits."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0)))
+    return F.array_distinct(lower_terms(text))
+
+
+def number_or(value: Column, other: float) -> Column:
+    """A number, or ``other`` where there is none."""
+    return F.coalesce(value.try_cast("double"), F.lit(float(other)))
 
 
 def letters(text: Column) -> Column:

@@ -19,9 +19,9 @@ LATE = 10_000
 
 def items(blocks: DataFrame, tables: DataFrame, figures: DataFrame, headings: tuple[str, ...] = ("heading",)) -> DataFrame:
     """All structural items in reading order, with their role and number ``ord`` in the document."""
-    text = blocks.select("doc_id", "block_id", "page_number", "y0", "x0", "reading_order", "block_type", "text").withColumn("kind", F.lit(0))
-    place = lambda df, key, kind: df.select("doc_id", F.col(key).alias("block_id"), "page_number", "y0", "x0", F.lit(LATE).alias("reading_order"), "caption", F.lit(kind).alias("kind"))
-    every = text.unionByName(place(tables, "table_id", 1), allowMissingColumns=True).unionByName(place(figures, "figure_id", 2), allowMissingColumns=True)
+    text = blocks.select("doc_id", "block_id", "page_number", "y0", "x0", box(blocks), "reading_order", "block_type", "text").withColumn("kind", F.lit(0))
+    place = lambda df, key, kind, *more: df.select("doc_id", F.col(key).alias("block_id"), "page_number", "y0", "x0", box(df), F.lit(LATE).alias("reading_order"), "caption", F.lit(kind).alias("kind"), *more)
+    every = text.unionByName(place(tables, "table_id", 1), allowMissingColumns=True).unionByName(place(figures, "figure_id", 2, "figure_type"), allowMissingColumns=True)
     order = Window.partitionBy("doc_id").orderBy("page_number", "y0", "x0", "reading_order", "kind", "block_id")
     role = (
         F.when(F.col("kind") == 1, "table")
@@ -33,6 +33,18 @@ def items(blocks: DataFrame, tables: DataFrame, figures: DataFrame, headings: tu
     return every.withColumn("ord", F.row_number().over(order)).withColumn("role", role)
 
 
+def box(df: DataFrame) -> Column:
+    """The bounding box of items, from x0, y0, x1 and y1; sides that are not known end where they begin."""
+    side = lambda c, other: F.col(c if c in df.columns else other).cast("double").alias(c)
+    return F.struct(side("x0", "x0"), side("y0", "y0"), side("x1", "x0"), side("y1", "y0")).alias("box")
+
+
+def box_union(boxes: Column) -> Column:
+    """The smallest box around an array of boxes."""
+    ends = lambda c, f: f(F.transform(boxes, lambda b: b[c])).alias(c)
+    return F.struct(ends("x0", F.array_min), ends("y0", F.array_min), ends("x1", F.array_max), ends("y1", F.array_max))
+
+
 def sections(ordered: DataFrame) -> DataFrame:
     """Adds the active section (the last heading so far; none for headings themselves)."""
     so_far = Window.partitionBy("doc_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
@@ -70,7 +82,7 @@ def packed(run_rows: DataFrame, rules: ChunkRules = ChunkRules()) -> DataFrame:
     """Packs of text and numbered runs: doc_id, run, role, part, parts, first ord, content, pages, tokens."""
     rows = run_rows.where(F.col("role").isin("text", "numbered")).withColumn("tokens", count_tokens(F.col("text")))
     run = rows.groupBy("doc_id", "run").agg(
-        F.first("role").alias("role"), F.first("section").alias("section"), F.first("section_ord").alias("section_ord"), F.array_sort(F.collect_list(F.struct("ord", "tokens", "text", "page_number"))).alias("blocks")
+        F.first("role").alias("role"), F.first("section").alias("section"), F.first("section_ord").alias("section_ord"), F.array_sort(F.collect_list(F.struct("ord", "tokens", "text", "page_number", "box"))).alias("blocks")
     )
     starts = F.when(F.col("role") == "text", packs(F.col("blocks"), rules.chunk_tokens)).otherwise(packs(F.col("blocks"), rules.list_tokens))
     run = run.withColumn("starts", starts).withColumn("parts", F.size("starts"))
@@ -89,6 +101,7 @@ def packed(run_rows: DataFrame, rules: ChunkRules = ChunkRules()) -> DataFrame:
         F.array_join(F.transform("own", lambda b: b["text"]), "\n").alias("content"),
         F.array_sort(F.array_distinct(F.transform("own", lambda b: b["page_number"]))).alias("pages"),
         F.size("own").alias("n_blocks"),
+        box_union(F.transform("own", lambda b: b["box"])).alias("box"),
     )
 
 
@@ -112,10 +125,14 @@ def table_parts(tables: DataFrame, cells: DataFrame, limit: int = 20) -> DataFra
     )
 
 
-def chunks(blocks: DataFrame, tables: DataFrame, cells: DataFrame, figures: DataFrame, rules: ChunkRules = ChunkRules()) -> DataFrame:
-    """All chunks: doc_id, n, chunk_id, chunk_type, content, pages, section, labels, tokens and hash."""
-    ordered = runs(sections(items(blocks, tables, figures, rules.headings)))
-    columns = ["doc_id", "ord", "part", "parts", "chunk_type", "content", "pages", "section", "section_ord"]
+def chunks(blocks: DataFrame, tables: DataFrame, cells: DataFrame, figures: DataFrame, rules: ChunkRules = ChunkRules(), ordered: DataFrame | None = None) -> DataFrame:
+    """All chunks: doc_id, n, chunk_id, chunk_type, content, pages, box, section, labels, tokens and hash.
+
+    The items in order feed four kinds of chunks; hand them over as ``ordered``, with
+    their runs, where they are stored already. Tables without headers and rows are dropped.
+    """
+    ordered = runs(sections(items(blocks, tables, figures, rules.headings))) if ordered is None else ordered
+    columns = ["doc_id", "ord", "part", "parts", "chunk_type", "content", "pages", "box", "section", "section_ord"]
     one = lambda df: df.withColumn("part", F.lit(1)).withColumn("parts", F.lit(1)).withColumn("pages", F.array("page_number"))
     head = one(ordered.where("role = 'heading'")).withColumn("chunk_type", F.lit("section_header")).withColumn("content", F.col("text"))
     head = head.withColumn("label", F.concat(F.lit("Section "), section_number(F.col("text"))))
@@ -124,11 +141,10 @@ def chunks(blocks: DataFrame, tables: DataFrame, cells: DataFrame, figures: Data
     text = text.withColumn("chunk_type", kind).withColumn("list_items", F.when(F.col("role") == "numbered", F.col("n_blocks")))
     nth = Window.partitionBy("doc_id", "role").orderBy("ord")
     placed = ordered.where(F.col("role").isin("table", "figure")).withColumn("nth", F.row_number().over(nth))
-    table = placed.where("role = 'table'").select("doc_id", F.col("block_id").alias("table_id"), "ord", "page_number", "section", "section_ord", "nth")
-    table = table.join(table_parts(tables, cells, rules.table_rows), ["doc_id", "table_id"]).withColumn("pages", F.array("page_number"))
+    table = placed.where("role = 'table'").select("doc_id", F.col("block_id").alias("table_id"), "ord", "page_number", "box", "section", "section_ord", "nth")
+    table = table.join(with_content(table_parts(tables, cells, rules.table_rows)), ["doc_id", "table_id"]).withColumn("pages", F.array("page_number"))
     table = table.withColumn("chunk_type", F.when(F.col("parts") > 1, "table_segment").otherwise("table")).withColumn("label", F.concat(F.lit("Table "), F.col("nth")))
-    kinds = figures.select("doc_id", F.col("figure_id").alias("block_id"), "figure_type")
-    figure = one(placed.where("role = 'figure'").join(kinds, ["doc_id", "block_id"]))
+    figure = one(placed.where("role = 'figure'"))
     caption = F.nullif(F.trim(F.coalesce("caption", F.lit(""))), F.lit(""))
     figure = figure.withColumn("content", F.coalesce(caption, F.concat(F.lit("[Figure: "), F.col("figure_type"), F.lit("]")))).withColumn("chunk_type", F.lit("figure"))
     figure = figure.withColumn("label", F.concat(F.lit("Figure "), F.col("nth")))
@@ -148,6 +164,11 @@ def chunks(blocks: DataFrame, tables: DataFrame, cells: DataFrame, figures: Data
     return made.withColumn("tokens", count_tokens(F.col("content"))).withColumn("content_hash", chunk_hash())
 
 
+def with_content(parts: DataFrame) -> DataFrame:
+    """Parts of tables that have headers or rows."""
+    return parts.where((F.coalesce(F.size("headers"), F.lit(0)) > 0) | (F.col("row_count") > 0))
+
+
 def chunk_hash() -> Column:
     """SHA-256 over collapsed content, type, pages and section, so white space does not matter."""
     pages = F.array_join(F.col("pages").cast("array<string>"), ",")
@@ -166,12 +187,16 @@ def reference_edges(made: DataFrame) -> DataFrame:
     """References in the chunks' text to tables, figures and sections; unknown labels stay unresolved."""
     found = []
     for kind, pattern in REFERENCES.items():
-        hits = F.posexplode(F.regexp_extract_all("content", F.lit(pattern), F.lit(1)))
-        rows = made.select("doc_id", "chunk_id", hits.alias("nth", "number"))
+        # Where a match begins: behind the pieces between matches, and the matches, before it.
+        whole, pieces = F.regexp_extract_all("content", F.lit(pattern), F.lit(0)), F.split("content", pattern)
+        lengths = lambda a, n: F.aggregate(F.slice(a, F.lit(1), n), F.lit(0), lambda s, x: s + F.length(x))
+        numbers = F.regexp_extract_all("content", F.lit(pattern), F.lit(1))
+        hits = F.transform(numbers, lambda x, i: F.struct(x.alias("number"), (lengths(pieces, i + 1) + lengths(whole, i)).alias("offset")))
+        rows = made.where(F.col("content").rlike(pattern)).select("doc_id", "chunk_id", F.explode(hits).alias("hit")).select("doc_id", "chunk_id", "hit.number", "hit.offset")
         found.append(rows.withColumn("edge_type", F.lit(f"references_{kind}")).withColumn("label", F.concat(F.lit(f"{kind.title()} "), F.col("number"))))
     references = found[0].unionByName(found[1]).unionByName(found[2])
     # The first chunk that carries a label is the target.
     labels = made.where("label is not null").groupBy("doc_id", "label").agg(F.min_by("chunk_id", "n").alias("target"))
     edges = references.join(labels, ["doc_id", "label"], "left")
-    edge_id = F.concat(F.lit("rel-"), short_hash(12, F.col("chunk_id"), F.col("edge_type"), F.col("label"), F.col("nth").cast("string")))
+    edge_id = F.concat(F.lit("rel-"), short_hash(12, F.col("chunk_id"), F.col("edge_type"), F.col("label"), F.col("offset").cast("string")))
     return edges.select("doc_id", "chunk_id", "edge_type", "target", "label", F.col("target").isNotNull().alias("resolved"), edge_id.alias("edge_id"))

@@ -117,3 +117,27 @@ def box(raw: Column, fallback: tuple[float, float, float, float]) -> Column:
     """A bounding box from x0/y0/x1/y1 or l/t/r/b of a map; missing and zero sides take the fallback."""
     sides = [F.coalesce(F.nullif(F.coalesce(raw[a], raw[b]), F.lit(0.0)), F.lit(float(f))).alias(a) for a, b, f in zip(("x0", "y0", "x1", "y1"), "ltrb", fallback)]
     return F.struct(*sides)
+
+
+def page_count(payload_count: Column, metadata_count: Column, n_pages: Column) -> Column:
+    """The number of pages as the payload has it, else its metadata, else its pages, else one."""
+    some = lambda c: F.when(c.try_cast("int") > 0, c.try_cast("int"))
+    return F.coalesce(some(payload_count), some(metadata_count), some(n_pages), F.lit(1))
+
+
+def table_serial(headers: Column, rows: Column) -> Column:
+    """A table as the text that its hash is made of."""
+    return F.concat(F.array_join(headers, "|"), F.lit("\n"), F.array_join(F.transform(rows, lambda r: F.array_join(r, "|")), "\n"))
+
+
+def tables_with_content(tables: DataFrame) -> DataFrame:
+    """Tables (headers, rows) that have any, with their hash."""
+    full = tables.where((F.coalesce(F.size("headers"), F.lit(0)) > 0) | (F.coalesce(F.size("rows"), F.lit(0)) > 0))
+    none = lambda c, t: F.coalesce(F.col(c), F.array().cast(t))
+    return full.withColumn("content_hash", F.sha2(table_serial(none("headers", "array<string>"), none("rows", "array<array<string>>")), 256))
+
+
+def needs_ocr_retry(n_blocks: Column, n_tables: Column, n_figures: Column, provider: Column, did_ocr: Column) -> Column:
+    """Whether an empty payload is worth a second try with text recognition."""
+    none = lambda c: F.coalesce(c, F.lit(0)) == 0
+    return none(n_blocks) & none(n_tables) & none(n_figures) & (provider == "docling") & ~F.coalesce(did_ocr, F.lit(False))

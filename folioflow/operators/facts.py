@@ -56,7 +56,9 @@ def _facts(rows: DataFrame, extraction: str) -> DataFrame:
         typed["unit"].alias("unit"),
         typed["numeric_value"].alias("numeric_value"),
         first_match(F.col("content"), DATE).alias("period"),
+        F.col("doc_id").alias("document_name"),
         F.array_min("pages").alias("page_number"),
+        (F.to_json("box") if "box" in rows.columns else F.lit(None).cast("string")).alias("bounding_box_json"),
         F.col("section").alias("section_title"),
         "content_hash",
         F.lit(extraction).alias("extraction"),
@@ -70,3 +72,16 @@ def facts(chunks: DataFrame) -> DataFrame:
     columns = [c for c in every.columns if c != "fact_id"]
     last = every.withColumn("rank", rank).groupBy("fact_id").agg(F.max_by(F.struct(*columns), F.struct("rank", "fact_name")).alias("f"))
     return last.select("fact_id", "f.*")
+
+
+def with_sections(found: DataFrame, sections: DataFrame) -> DataFrame:
+    """Facts with the id of the section that their chunk names."""
+    known = sections.select("doc_id", "key", "section_id")
+    return found.withColumn("key", F.coalesce("section_title", F.lit(""))).join(known, ["doc_id", "key"], "left").drop("key")
+
+
+def typed(rows: DataFrame) -> DataFrame:
+    """Stored facts as they are handed out: the box parsed, a missing score zero."""
+    box = F.from_json("bounding_box_json", "x0 double, y0 double, x1 double, y1 double")
+    score = F.coalesce("score", F.lit(0.0)) if "score" in rows.columns else F.lit(0.0)
+    return rows.withColumn("box", box).withColumn("score", score.cast("double")).drop("bounding_box_json")

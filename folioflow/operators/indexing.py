@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioflow.config import IndexRules
 from folioflow.functions.text import parent_number, section_number, short_hash
+from folioflow.sources.sinks import written
 
 #: What a chunk type counts as in a section.
 DATA_TYPES = {
@@ -18,6 +19,7 @@ DATA_TYPES = {
     "numbered_list": "lists",
     "list_segment": "lists",
 }
+#: What counts as an entity.
 TITLE_ENTITY = r"\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)+\b"
 IDENTIFIER = r"\b[A-Z]{2,}[A-Z0-9\-]{1,}\b"
 
@@ -39,42 +41,51 @@ def headers(chunks: DataFrame) -> DataFrame:
     return known.groupBy("doc_id", "title").agg(F.min("h").alias("h"), F.max_by("parent", "h").alias("parent"), F.max_by("number", "h").alias("number"))
 
 
-def tree(heads: DataFrame) -> DataFrame:
-    """One row per section: path, depth and id; documents without headers have one root.
+#: Title of the one section of a document without headers. Fixed value.
+WHOLE = "Document"
 
-    One recursion walks down all documents' trees at once, a level a step.
+
+def tree(heads: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
+    """One row per section: path, depth, id and ``key``; documents of ``chunks`` without headers have one root.
+
+    The trees of all documents grow a level a step, as deep as the section numbers can
+    be. Levels are written, so a step only joins the level before. ``key`` is what the
+    section's chunks name: its title, or nothing for the root of a document without headers.
     """
-    spark = heads.sparkSession
-    walked = spark.sql(
-        """
-        WITH RECURSIVE walk(doc_id, title, h, number, parent, path, parent_path, sort_path, depth) AS (
-            SELECT doc_id, title, h, number, cast(NULL AS string), title, cast(NULL AS string), lpad(cast(h AS string), 6, '0'), 1
-            FROM {heads} WHERE parent IS NULL
-            UNION ALL
-            SELECT c.doc_id, c.title, c.h, c.number, w.title, concat(w.path, ' > ', c.title), w.path, concat(w.sort_path, '/', lpad(cast(c.h AS string), 6, '0')), w.depth + 1
-            FROM walk w JOIN {heads} c ON c.doc_id = w.doc_id AND c.parent = w.title
+    heads = written(heads, "heads")
+    place = F.lpad(F.col("h").cast("string"), 9, "0")
+    level = heads.where("parent is null").select("doc_id", "title", "h", "number", F.lit(None).cast("string").alias("parent"), F.col("title").alias("path"), F.lit(None).cast("string").alias("parent_path"), place.alias("sort_path"), F.lit(1).alias("depth"), F.col("title").alias("key"))
+    if chunks is not None:
+        bare = chunks.select("doc_id").distinct().join(heads.select("doc_id").distinct(), "doc_id", "left_anti")
+        whole, none = F.lit(WHOLE), F.lit(None).cast("string")
+        level = level.unionByName(bare.select("doc_id", whole.alias("title"), F.lit(1).alias("h"), none.alias("number"), none.alias("parent"), whole.alias("path"), none.alias("parent_path"), F.lpad(F.lit("1"), 9, "0").alias("sort_path"), F.lit(1).alias("depth"), F.lit("").alias("key")))
+    every = level = written(level, "sections")
+    children = heads.where("parent is not null")
+    for _ in range((children.agg(F.max(F.size(F.split("number", r"\.")))).first()[0] or 1) - 1):
+        c, w = children.alias("c"), level.alias("w")
+        below = c.join(w, (F.col("c.doc_id") == F.col("w.doc_id")) & (F.col("c.parent") == F.col("w.title"))).select(
+            "c.doc_id", "c.title", "c.h", "c.number", F.col("w.title").alias("parent"), F.concat("w.path", F.lit(" > "), "c.title").alias("path"), F.col("w.path").alias("parent_path"), F.concat("w.sort_path", F.lit("/"), F.lpad(F.col("c.h").cast("string"), 9, "0")).alias("sort_path"), (F.col("w.depth") + 1).alias("depth"), F.col("c.title").alias("key")
         )
-        SELECT * FROM walk
-        """,
-        heads=heads,
-    )
+        level = written(below, "sections")
+        every = every.unionByName(level)
     own = F.concat("doc_id", F.lit("-section-"), short_hash(12, F.col("doc_id"), F.col("path")))
     above = F.when(F.col("parent_path").isNotNull(), F.concat("doc_id", F.lit("-section-"), short_hash(12, F.col("doc_id"), F.col("parent_path"))))
-    return walked.withColumn("section_id", own).withColumn("parent_id", above)
+    return every.withColumn("section_id", own).withColumn("parent_id", above)
 
 
 def members(sections: DataFrame, chunks: DataFrame) -> DataFrame:
     """(doc_id, section_id, chunk columns, direct): every section's chunks, and those of sections below it.
 
-    A chunk belongs to the section of its title; chunks without a known section drop out.
+    A chunk belongs to the section of its title, all chunks of a document without headers
+    to its root; other chunks without a known section drop out.
     """
-    title = F.when(F.col("chunk_type") == "section_header", F.trim("content")).otherwise(F.col("section"))
-    own = chunks.withColumn("title", title).join(sections.select("doc_id", "title", "path", "sort_path"), ["doc_id", "title"])
+    key = F.when(F.col("chunk_type") == "section_header", F.trim("content")).otherwise(F.coalesce("section", F.lit("")))
+    own = chunks.withColumn("key", key).join(sections.select("doc_id", "key", "sort_path"), ["doc_id", "key"])
     # A section holds what lies at or under its path: as many rows as a path has parts.
     parts = F.split("sort_path", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
-    spread = own.withColumn("at", F.explode(above)).withColumn("direct", F.col("at") == F.col("sort_path")).drop("title", "path")
-    target = sections.select("doc_id", F.col("sort_path").alias("at"), "section_id")
+    spread = own.withColumn("at", F.explode(above)).withColumn("direct", F.col("at") == F.col("sort_path")).drop("key")
+    target = sections.select("doc_id", F.col("sort_path").alias("at"), "section_id", F.col("title").alias("section_title"))
     return spread.join(target, ["doc_id", "at"])
 
 

@@ -10,6 +10,7 @@ from folioflow.functions.text import terms
 
 #: Words that say nothing about what is asked.
 STOPWORDS = ("a", "about", "an", "and", "are", "does", "for", "from", "how", "in", "is", "of", "show", "tell", "that", "the", "this", "to", "was", "what", "which", "with")
+#: Words that ask for a fact.
 FACTUAL = r"(?i)\b(revenue|amount|total|balance|ratio|margin|date|period|invoice|expense|expenditure|profit|tax|fiscal)\b"
 
 #: Vector queries that are compared in one array.

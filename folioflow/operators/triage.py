@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.config import TriageRules
@@ -30,40 +30,73 @@ def cluster_count(points: Column, threshold: Column | float) -> Column:
     return F.aggregate(F.array_sort(points), start, step)["n"]
 
 
-def page_stats(words: DataFrame, width: float = 612.0, height: float = 792.0) -> DataFrame:
+def boundary_repeat(bins: Column) -> Column:
+    """Share of the different bins that occur more than twice, by one fold over the sorted bins."""
+    start = F.struct(F.lit(None).cast("bigint").alias("bin"), F.lit(0).alias("run"), F.lit(0).alias("kinds"), F.lit(0).alias("often"))
+
+    def step(acc: Column, x: Column) -> Column:
+        new = acc["bin"].isNull() | (acc["bin"] != x)
+        run = F.when(new, 1).otherwise(acc["run"] + 1)
+        return F.struct(x.alias("bin"), run.alias("run"), (acc["kinds"] + new.cast("int")).alias("kinds"), (acc["often"] + (run == 3).cast("int")).alias("often"))
+
+    return F.aggregate(F.array_sort(bins), start, step, lambda acc: acc["often"] / F.greatest(acc["kinds"], F.lit(1)))
+
+
+def page_stats(words: DataFrame, marks: DataFrame | None = None, width: float = 612.0, height: float = 792.0) -> DataFrame:
     """Per page: characters, density, x clusters, column balance and repeated word boundaries.
 
-    ``words`` has doc_id, page_number, x0, x1, top. Images, edges and ruled tables do
-    not occur in text; their scores are columns of zero.
+    ``words`` has doc_id, page_number, x0, x1, top; one group per page gives everything.
+    ``marks`` has what text does not have (see ``page_signals``); pages without get zeros.
     """
     centre = (F.col("x0") + F.col("x1")) / 2
-    base = words.groupBy("doc_id", "page_number").agg(
+    pages = words.groupBy("doc_id", "page_number").agg(
         F.count("*").alias("n_words"),
         F.sum((F.col("x1") - F.col("x0")) / 5).cast("long").alias("chars"),
-        F.collect_list(centre).alias("centres"),
+        F.collect_list(F.struct("x0", "x1")).alias("xs"),
         F.count_if(centre < 0.4 * width).alias("left"),
         F.count_if(centre > 0.6 * width).alias("right"),
     )
-    edges = words.select("doc_id", "page_number", F.explode(F.array("x0", "x1")).alias("x")).groupBy("doc_id", "page_number", F.floor(F.col("x") / 10).alias("bin")).agg(F.count("*").alias("n"))
-    repeats = edges.groupBy("doc_id", "page_number").agg(F.avg(F.when(F.col("n") > 2, 1.0).otherwise(0.0)).alias("boundary_repeat"))
     n = F.col("n_words")
     gutter = (n - F.col("left") - F.col("right")) / n
     balanced = (F.col("left") / n >= 0.25) & (F.col("right") / n >= 0.25)
-    return base.join(repeats, ["doc_id", "page_number"]).select(
+    bins = F.concat(F.transform("xs", lambda w: F.floor(w["x0"] / 10)), F.transform("xs", lambda w: F.floor(w["x1"] / 10)))
+    signals = ("image_ratio", "edge_density", "table_score")
+    if marks is not None:
+        pages = pages.join(page_signals(marks, pages.select("doc_id", "page_number", "n_words")), ["doc_id", "page_number"], "left")
+    return pages.select(
         "doc_id",
         "page_number",
         "n_words",
         "chars",
         (F.col("chars") / F.lit(width * height)).alias("density"),
-        cluster_count(F.col("centres"), 0.12 * width).alias("x_clusters"),
+        cluster_count(F.transform("xs", lambda w: (w["x0"] + w["x1"]) / 2), 0.12 * width).alias("x_clusters"),
         F.when(balanced, F.greatest(F.lit(0.0), 1 - 2 * gutter)).otherwise(0.0).alias("column_balance"),
-        "boundary_repeat",
-        F.lit(0.0).alias("image_ratio"),
-        F.lit(0.0).alias("edge_density"),
-        F.lit(0.0).alias("table_score"),
+        boundary_repeat(bins).alias("boundary_repeat"),
+        *[(F.coalesce(F.col(c), F.lit(0.0)) if marks is not None else F.lit(0.0)).alias(c) for c in signals],
+    )
+
+
+def page_signals(marks: DataFrame, words: DataFrame) -> DataFrame:
+    """(doc_id, page_number, image_ratio, edge_density, table_score) of pages.
+
+    ``marks`` has doc_id, page_number, width, height, images and edges (arrays of boxes)
+    and n_tables; ``words`` has doc_id, page_number, n_words.
+    """
+    known = marks.join(words, ["doc_id", "page_number"], "left")
+    return known.select(
+        "doc_id",
+        "page_number",
+        image_ratio(F.col("images"), F.col("width"), F.col("height")).alias("image_ratio"),
+        edge_density(F.col("edges"), F.coalesce("n_words", F.lit(0))).alias("edge_density"),
+        table_score(F.col("n_tables")).alias("table_score"),
     )
 
 
+def table_score(n_tables: Column) -> Column:
+    """Half a point per ruled table, at most 1."""
+    return F.least(F.lit(1.0), n_tables / 2.0)
+
+
 def image_ratio(images: Column, page_width: Column, page_height: Column) -> Column:
     """Share of a page under images, at most 1; sides of the page are at least 1."""
     area = F.greatest(page_width, F.lit(1.0)) * F.greatest(page_height, F.lit(1.0))
@@ -167,9 +200,3 @@ def profile(stats: DataFrame, rules: TriageRules = TriageRules()) -> DataFrame:
     """Document statistics with origin, layout, cost and the need for advanced processing."""
     d = stats.withColumn("origin", origin(rules)).withColumn("layout", layout(rules))
     return d.withColumn("cost", cost_class(F.col("origin"), F.col("layout"))).withColumn("advanced", needs_advanced(F.col("cost")))
-
-
-def first_rows(df: DataFrame, key: str, order: list, n: int) -> DataFrame:
-    """The first n rows of each key."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

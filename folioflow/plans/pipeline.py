@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.config import Rules
-from folioflow.operators import chunking, facts, indexing, validation
+from folioflow.operators import answering, chunking, facts, indexing, retrieval, validation, vectors
 from folioflow.sources.accounts import HEADERS, Statements
-from folioflow.sources.sinks import scratch
+from folioflow.sources.sinks import written
 
 
 class Corpus:
@@ -39,10 +39,8 @@ class Corpus:
 
     @cached_property
     def chunks(self) -> DataFrame:
-        made = chunking.chunks(self.inputs.blocks, self.tables, self.cells, self.inputs.figures, self.rules.chunking)
-        path = scratch(self.spark, "chunks")
-        made.write.parquet(path)
-        return self.spark.read.schema(made.schema).parquet(path)
+        ordered = written(chunking.runs(self.items), "items")
+        return written(chunking.chunks(self.inputs.blocks, self.tables, self.cells, self.inputs.figures, self.rules.chunking, ordered), "chunks")
 
     @cached_property
     def edges(self) -> DataFrame:
@@ -58,10 +56,7 @@ class Corpus:
 
     @cached_property
     def sections(self) -> DataFrame:
-        heads = indexing.headers(self.chunks)
-        path = scratch(self.spark, "sections")
-        indexing.tree(heads).write.parquet(path)
-        return self.spark.read.parquet(path)
+        return indexing.tree(indexing.headers(self.chunks), self.chunks)
 
     @cached_property
     def members(self) -> DataFrame:
@@ -79,3 +74,28 @@ class Corpus:
     @cached_property
     def facts(self) -> DataFrame:
         return facts.facts(self.chunks)
+
+    @cached_property
+    def located_facts(self) -> DataFrame:
+        """Facts with the sections that they stand in."""
+        return facts.with_sections(self.facts, self.sections)
+
+    @cached_property
+    def vectors(self) -> DataFrame:
+        return vectors.ingested(self.chunks, self.members)
+
+    def answers(self, requests: DataFrame) -> DataFrame:
+        """Questions (request_id, doc_id, query) answered from the documents that they are about.
+
+        Questions for facts look facts up first. The others, and those that find no fact,
+        go to the sections that fit and to the nearest chunks of these.
+        """
+        asked = written(requests.withColumn("preferred", retrieval.preferred_path(F.col("query"))), "requests")
+        rows = written(retrieval.fact_lookup(asked.where("preferred = 'structured_query'"), self.located_facts), "fact-hits")
+        rest = asked.join(rows.select("request_id").distinct(), "request_id", "left_anti")
+        found = written(retrieval.navigate(rest.withColumnRenamed("query", "topic"), self.page_index).withColumn("call", F.lit(1)), "navigations")
+        hits = written(vectors.search(rest, self.vectors, self.chunks, narrow=found.select("request_id", "section_id")), "chunk-hits")
+        used = rest.select("request_id", F.lit(True).alias("read"))
+        steps = F.array_compact(F.array(F.when(F.col("preferred") == "structured_query", F.lit("structured_query")), F.when(F.col("read"), F.lit("pageindex_navigate")), F.when(F.col("read"), F.lit("semantic_search"))))
+        paths = asked.join(used, "request_id", "left").select("request_id", steps.alias("path"))
+        return answering.finalized(asked, paths, found, hits, rows)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folioflow.config import ChunkRules
 from folioflow.functions import text as ft
-from folioflow.operators import answering, chunking, extraction, facts, indexing, retrieval, triage, validation
+from folioflow.operators import answering, chunking, extraction, facts, indexing, retrieval, triage, validation, vectors
 from folioflow.plans.pipeline import Corpus
 from folioflow.sources import pages as sp
 from folioflow.sources import sinks
@@ -216,7 +216,7 @@ def structural_edges(spark, sf_dir):
 
 @query
 def reference_edges(spark, sf_dir):
-    return chunking.reference_edges(Corpus(spark, sf_dir).chunks).select("doc_id", "chunk_id", "edge_type", "target", "label", "resolved")
+    return chunking.reference_edges(Corpus(spark, sf_dir).chunks).select("edge_id", "doc_id", "chunk_id", "edge_type", "target", "label", "resolved")
 
 
 @query
@@ -333,17 +333,17 @@ def structured_query(spark, sf_dir):
 
 @query
 def semantic_topk(spark, sf_dir):
-    vectors = read(spark, sf_dir, "embeddings")
-    queries = vectors.where("vec_id < 3").select(F.col("vec_id").alias("request_id"), F.col("embedding").alias("query_vec"))
-    return retrieval.nearest(queries, vectors, 15).select("request_id", F.col("rank").cast("long").alias("rank"), "vec_id", F.round("score", 6).alias("score"))
+    known = read(spark, sf_dir, "embeddings")
+    queries = known.where("vec_id % 20 = 0").select(F.col("vec_id").alias("request_id"), F.col("embedding").alias("query_vec"))
+    return retrieval.nearest(queries, known, 15).select("request_id", F.col("rank").cast("long").alias("rank"), "vec_id", F.round("score", 6).alias("score"))
 
 
 @query
 def semantic_section_filter(spark, sf_dir):
-    vectors = read(spark, sf_dir, "embeddings").withColumn("section_id", F.col("label"))
-    queries = vectors.where("vec_id < 3").select(F.col("vec_id").alias("request_id"), F.col("embedding").alias("query_vec"))
-    few = vectors.where("label % 2 = 0").select("section_id").distinct()
-    return retrieval.nearest(queries, vectors, 5, few).select("request_id", F.col("rank").cast("long").alias("rank"), "vec_id", F.round("score", 6).alias("score"))
+    known = read(spark, sf_dir, "embeddings").withColumn("section_id", F.col("label"))
+    queries = known.where("vec_id % 20 = 0").select(F.col("vec_id").alias("request_id"), F.col("embedding").alias("query_vec"))
+    few = known.where("label % 2 = 0").select("section_id").distinct()
+    return retrieval.nearest(queries, known, 5, few).select("request_id", F.col("rank").cast("long").alias("rank"), "vec_id", F.round("score", 6).alias("score"))
 
 
 @query
@@ -371,15 +371,150 @@ def audit_claims(spark, sf_dir):
     return answering.audit(claims, read(spark, sf_dir, "documents"))
 
 
+@query
+def answers(spark, sf_dir):
+    c = Corpus(spark, sf_dir)
+    found = c.answers(_requests(c.inputs.accounts, QUESTIONS, "query"))
+    return found.select("request_id", "status", "answer", listed("path"), listed("matched_section_ids"), listed("matched_fact_ids"), F.coalesce(F.size("provenance"), F.lit(0)).cast("long").alias("n_provenance"))
+
+
+@query
+def audit_facts(spark, sf_dir):
+    """A claim per statement: the balance as it is or one off; every fifth asks for what no fact says."""
+    c = Corpus(spark, sf_dir)
+    claim = F.concat(F.lit("The balance is USD "), (F.col("balance") + F.col("k") % 2).cast("string"))
+    claims = c.inputs.accounts.select(F.col("k").alias("request_id"), "doc_id", claim.alias("claim"), F.when(F.col("k") % 5 == 0, "zzz").otherwise("account balance").alias("query"))
+    found = answering.audited(claims, retrieval.fact_lookup(claims.drop("claim"), c.facts, answering.HEAD_AUDIT))
+    return found.select("request_id", "status", "explanation", F.size("citations").cast("long").alias("n_citations"))
+
+
+# Vectors of chunks
+
+
+@query
+def vector_ingest(spark, sf_dir):
+    c = Corpus(spark, sf_dir)
+    rows = vectors.ingested(c.chunks, c.members)
+    return rows.select("vec_id", F.array_join(F.col("embedding").cast("array<int>").cast("array<string>"), ",").alias("embedding"), "section_id", "section_title", "page_number", "page_refs", "bounding_box", "chunk_type", "content_hash")
+
+
+@query
+def chunk_search(spark, sf_dir):
+    c = Corpus(spark, sf_dir)
+    found = vectors.search(_requests(c.inputs.accounts.where("k % 20 = 0"), QUESTIONS, "query"), c.vectors, c.chunks)
+    return found.select("request_id", F.col("rank").cast("long").alias("rank"), "chunk_id", "section_id", F.round("score", 6).alias("score"))
+
+
+@query
+def fact_rows(spark, sf_dir):
+    rows = facts.typed(Corpus(spark, sf_dir).located_facts)
+    return rows.select("fact_id", "document_name", "section_id", vectors.box_text(F.col("box")).alias("bounding_box"), "score")
+
+
+# Payloads, invariants
+
+
+@query
+def page_signals(spark, sf_dir):
+    """Orders as pages, their lines as images and rules."""
+    i = read(spark, sf_dir, "lineitem")
+    box = lambda x0, x1, top, bottom: F.struct(x0.alias("x0"), x1.alias("x1"), top.alias("top"), bottom.alias("bottom"))
+    q, zero = F.col("l_quantity"), F.lit(0.0)
+    image = box(q, q + F.col("l_linenumber") * 20.0, zero, F.col("l_discount") * 1000)
+    edge = F.when(F.col("l_linenumber") % 2 == 0, box(q, q, zero, F.col("l_tax") * 1000)).otherwise(box(zero, q, zero + 5, zero + 5))
+    marks = i.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.collect_list(image).alias("images"), F.collect_list(edge).alias("edges"), F.count_if(F.col("l_returnflag") == "R").alias("n_tables"), F.sum(F.col("l_quantity").cast("long")).alias("n_words"))
+    marks = marks.withColumn("page_number", F.lit(1)).withColumn("width", F.lit(612.0)).withColumn("height", F.lit(792.0))
+    found = triage.page_signals(marks.drop("n_words"), marks.select("doc_id", "page_number", "n_words"))
+    return found.select("doc_id", F.round("image_ratio", 6).alias("image_ratio"), F.round("edge_density", 6).alias("edge_density"), "table_score", F.round(triage.grid_score(F.lit(0.5), F.col("edge_density"), F.col("table_score")), 6).alias("grid"))
+
+
+@query
+def payload_rules(spark, sf_dir):
+    """Orders as provider payloads: page count, tables with content, and whether recognition is tried again."""
+    k = F.col("l_orderkey")
+    lines = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("lines"), F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag"))).alias("rows"))
+    none = F.array().cast("array<array<string>>")
+    d = lines.select(
+        k.alias("doc_id"),
+        extraction.page_count(F.when(k % 3 == 0, "3").when(k % 3 == 2, "0"), F.when(k % 4 == 0, 7), F.when(k % 5 < 3, F.col("lines")).otherwise(0)).alias("page_count"),
+        F.when(k % 5 != 0, F.array(F.lit("flag"), F.lit("line"))).alias("headers"),
+        F.when(k % 7 != 0, F.transform("rows", lambda r: F.array(r["l_returnflag"], r["l_linenumber"].cast("string")))).otherwise(none).alias("rows"),
+        ft.number_or(F.when(k % 2 == 0, k.cast("string")).otherwise("x"), 1.5).alias("number"),
+    )
+    tables = extraction.tables_with_content(d).select("doc_id", "content_hash", F.lit(1).alias("n_tables"))
+    both = d.select("doc_id", "page_count", "number").join(tables, "doc_id", "left")
+    doc = F.col("doc_id")
+    retry = extraction.needs_ocr_retry(doc % 2, F.col("n_tables"), F.lit(0), F.when(doc % 3 == 0, "mineru").otherwise("docling"), F.when(doc % 11 == 0, True))
+    return both.select("doc_id", "page_count", "number", "content_hash", retry.alias("retry"))
+
+
+def _account(doc_id: str = "doc_id") -> Column:
+    return F.regexp_extract(doc_id, r"(\d+)$", 1).cast("long")
+
+
+@query
+def index_invariants(spark, sf_dir):
+    """Rules of the page index and of edges, over one that was damaged on purpose."""
+    c = Corpus(spark, sf_dir)
+    k = _account()
+    s = indexing.ranges(c.sections, c.members).join(indexing.data_types(c.members), ["doc_id", "section_id"])
+    types = F.when(k % 7 == 0, F.concat("data_types", F.slice("data_types", 1, 1))).when(k % 23 == 0, F.array_append("data_types", F.lit("audio"))).otherwise(F.col("data_types"))
+    parent = F.when((k % 29 == 0) & F.col("parent_id").isNotNull(), "none").otherwise(F.col("parent_id"))
+    s = s.select("section_id", "doc_id", parent.alias("parent_id"), F.when(k % 19 == 0, F.col("page_end") + 1).otherwise(F.col("page_start")).alias("page_start"), "page_end", types.alias("data_types"))
+    docs = s.groupBy("doc_id").agg(F.count("*").alias("n")).select("doc_id", (F.col("n") + (k % 31 == 0).cast("long")).alias("section_count"))
+    edges = c.edges.withColumn("target", F.when(k % 37 != 0, F.col("target"))).withColumn("label", F.when(k % 41 != 0, F.col("label")))
+    found = validation.index_violations(s, docs).select("code").unionByName(validation.edge_violations(edges).select("code"))
+    return found.groupBy("code").agg(F.count("*").alias("n"))
+
+
+@query
+def bound_invariants(spark, sf_dir):
+    """Bounds of profiles and attempts, over some that were damaged on purpose."""
+    d = F.col("doc_id")
+    p = triage.language(read(spark, sf_dir, "documents")).select("doc_id", F.when(d % 40 == 0, "x").otherwise(F.col("code")).alias("code"), (F.col("confidence") + F.when(d % 50 == 0, 1.5).otherwise(0.0)).alias("confidence"))
+    a = _attempts(spark, sf_dir).select("doc_id", (F.col("attempt") - F.when(d % 33 == 0, 5).otherwise(0)).alias("attempt"), F.when(d % 21 == 0, "guess").otherwise(F.col("strategy")).alias("strategy"), (F.col("confidence") - F.when(d % 44 == 0, 2.0).otherwise(0.0)).alias("confidence"), (F.col("cost") - F.when(d % 55 == 0, 9.0).otherwise(0.0)).alias("cost"))
+    return validation.bound_violations(p, a).groupBy("code").agg(F.count("*").alias("n"))
+
+
+@query
+def result_invariants(spark, sf_dir):
+    """Rules of results, over answers that were damaged on purpose."""
+    c = Corpus(spark, sf_dir)
+    found = c.answers(_requests(c.inputs.accounts, QUESTIONS, "query"))
+    k = F.col("request_id")
+    path = F.when(k % 14 == 0, F.array().cast("array<string>")).when(k % 9 == 0, F.concat("path", "path")).otherwise(F.col("path"))
+    broken = found.select("request_id", "status", F.when(k % 12 == 0, "").otherwise(F.col("answer")).alias("answer"), path.alias("path"), F.when(k % 10 != 0, F.col("provenance")).alias("provenance"))
+    return validation.result_violations(broken).groupBy("code").agg(F.count("*").alias("n"))
+
+
+@query
+def stage_errors(spark, sf_dir):
+    """What later stages say of documents that lack what they need, or get another's chunks."""
+    c = Corpus(spark, sf_dir)
+    docs, k = c.inputs.accounts.select("doc_id", "k"), F.col("k")
+    chunks = c.chunks.select("doc_id", _account().alias("k")).where(k % 12 != 0).select(F.when(k % 15 == 0, "acct-0").otherwise(F.col("doc_id")).alias("doc_id"), F.col("doc_id").alias("of"))
+    found = validation.missing_stages(docs, docs.where(k % 9 != 0), chunks, docs.where(k % 8 != 0))
+    return found.groupBy("error").agg(F.count("*").alias("n"))
+
+
+@query
+def summary_sources(spark, sf_dir):
+    """Sources that summaries name: those of tables, where a section has any."""
+    lists = indexing.chunk_lists(Corpus(spark, sf_dir).members)
+    used = F.filter("chunk_ids", lambda c: c.contains("-table"))
+    return lists.select("doc_id", "section_id", F.array_join(validation.summary_sources(F.col("chunk_ids"), used), ",").alias("sources"))
+
+
 # Sinks and ledgers
 
 
 @query
 def upsert_vectors(spark, sf_dir):
-    """Vectors of odd labels written anew over those that are there."""
+    """Vectors of odd labels written anew, twice in one batch, along with as many new ones."""
     v = read(spark, sf_dir, "embeddings").select("vec_id", "label", F.lit(1).alias("version"))
-    new = v.where("label % 2 = 1").withColumn("version", F.lit(2)).unionByName(v.limit(0))
-    merged = sinks.upserted(v, new, "vec_id")
+    odd = v.where("label % 2 = 1")
+    new = odd.withColumn("version", F.lit(2)).unionByName(odd.withColumn("version", F.lit(3))).unionByName(odd.select((F.col("vec_id") + 10**9).alias("vec_id"), "label", F.lit(4).alias("version")))
+    merged = sinks.upserted(v, new, "vec_id", "version")
     return merged.groupBy("label", "version").agg(F.count("*").alias("n"))
 
 
@@ -396,17 +531,47 @@ def ledger_summary(spark, sf_dir):
 
 @query
 def fact_store(spark, sf_dir):
-    """Facts stored by document, then stored again: nothing doubles."""
-    path, found = sinks.scratch(spark, "facts"), Corpus(spark, sf_dir).facts
-    sinks.overwrite_documents(found, path)
-    sinks.overwrite_documents(found, path)
+    """Facts stored in two batches of documents, then some documents once more: nothing doubles, nothing is lost."""
+    path, found = sinks.scratch(spark, "facts"), sinks.written(Corpus(spark, sf_dir).facts, "facts")
+    k = F.regexp_extract("doc_id", r"(\d+)$", 1).cast("long")
+    sinks.overwrite_documents(found.where(k % 2 == 0), path)
+    sinks.overwrite_documents(found.where(k % 2 == 1), path)
+    sinks.overwrite_documents(found.where(k % 5 == 0), path, found.where(k % 50 == 1).select("doc_id"))
     return spark.read.parquet(path).groupBy("value_type").agg(F.count("*").alias("n"), F.countDistinct("fact_id").alias("n_ids"))
 
 
 @query
 def section_json(spark, sf_dir):
-    nested = sinks.nested_json(Corpus(spark, sf_dir).sections)
-    return nested.select("doc_id", F.size(F.from_json("tree", "array<struct<section_id string, title string>>")).cast("long").alias("n_sections"))
+    return sinks.nested_json(Corpus(spark, sf_dir).sections)
+
+
+@query
+def chunking_ledger(spark, sf_dir):
+    """One row per document, those that pass and those that fail appended on their own."""
+    c, path = Corpus(spark, sf_dir), sinks.scratch(spark, "chunking-ledger")
+    key = ["doc_id"]
+    counts = c.chunks.groupBy(*key).agg(F.count("*").alias("chunk_count")).join(c.edges.groupBy(*key).agg(F.count("*").alias("relationship_count")), key, "left")
+    rows = c.inputs.accounts.select(*key).join(counts, key, "left").join(c.errors, key, "left").withColumn("status", F.when(F.col("error").isNull(), "validated").otherwise("failed_closed"))
+    rows = sinks.written(rows, "ledger-rows")
+    sinks.append_ledger(rows.where("error is null"), path)
+    sinks.append_ledger(rows.where("error is not null"), path)
+    return spark.read.schema(rows.schema).json(path).groupBy("status", "error").agg(F.count("*").alias("n"), F.sum("chunk_count").alias("chunks"), F.sum("relationship_count").alias("relationships"))
+
+
+@query
+def profile_store(spark, sf_dir):
+    """Profiles of documents stored in two batches, one of them twice, with their evidence in a ledger."""
+    docs = read(spark, sf_dir, "documents")
+    stats = triage.document_stats(_pages(spark, sf_dir)).withColumn("font", F.lit(True)).withColumn("form", F.lit(False))
+    found = triage.profile(stats).join(triage.language(docs), "doc_id").join(triage.domains(docs), "doc_id")
+    found = sinks.written(found.select("doc_id", "origin", "layout", "cost", "advanced", F.col("code").alias("language"), "confidence", "domain", "pages", "chars"), "profiles")
+    path, ledger = sinks.scratch(spark, "profile-store"), sinks.scratch(spark, "profiling-ledger")
+    for part in ("doc_id % 2 = 0", "doc_id % 2 = 1", "doc_id % 3 = 0"):
+        sinks.overwrite_documents(found.where(part), path)
+        sinks.append_ledger(found.where(part), ledger)
+    keys = ["origin", "layout", "cost", "language", "domain"]
+    told = spark.read.schema(found.schema).json(ledger).groupBy(*keys).agg(F.count("*").alias("entries"))
+    return spark.read.parquet(path).groupBy(*keys).agg(F.count("*").alias("profiles"), F.sum("chars").alias("chars")).join(told, keys)
 
 
 @query

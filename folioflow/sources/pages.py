@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A page takes so many lines; a line is LINE_HEIGHT high, a character CHAR_WIDTH wide.
@@ -22,19 +22,23 @@ def word_blocks(docs: DataFrame) -> DataFrame:
     """One block per word; the reading order starts anew on every page (the fast text mode)."""
     lines = line_blocks(docs)
     words = lines.select("doc_id", "page_number", "ord", F.posexplode(F.filter(F.split("text", r"\s+"), lambda w: F.length(w) > 0)).alias("pos", "text"))
-    from pyspark.sql import Window
-
     order = F.row_number().over(Window.partitionBy("doc_id", "page_number").orderBy("ord", "pos"))
     return words.select("doc_id", "page_number", order.alias("reading_order"), "text").withColumn("block_id", F.format_string("tb-%d-%d", "page_number", "reading_order"))
 
 
 def word_boxes(docs: DataFrame) -> DataFrame:
-    """Word boxes as a text layout implies them: doc_id, page_number, x0, x1, top."""
+    """Word boxes as a text layout implies them: doc_id, page_number, x0, x1, top.
+
+    A word begins behind the words before it in its line, a running sum. Rows are dealt
+    by page, so the sum and what groups by page later need one shuffle.
+    """
     lines = line_blocks(docs)
-    words = lines.select("doc_id", "page_number", "line", F.posexplode(F.split("text", " ")).alias("i", "w"), F.split("text", " ").alias("all"))
-    before = F.length(F.array_join(F.slice("all", F.lit(1), F.col("i")), " ")) + F.when(F.col("i") > 0, 1).otherwise(0)
-    x0 = (before * CHAR_WIDTH % PAGE_WIDTH).cast("double")
-    return words.where(F.length("w") > 0).select("doc_id", "page_number", x0.alias("x0"), (x0 + F.length("w") * CHAR_WIDTH).alias("x1"), (F.col("line") * LINE_HEIGHT).cast("double").alias("top"))
+    words = lines.select("doc_id", "page_number", "line", F.posexplode(F.split("text", " ")).alias("i", "w")).repartition("doc_id", "page_number")
+    before = Window.partitionBy("doc_id", "page_number", "line").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.coalesce(F.sum(F.length("w") + 1).over(before), F.lit(0))
+    x0 = (at * CHAR_WIDTH % PAGE_WIDTH).cast("double")
+    boxes = words.select("doc_id", "page_number", x0.alias("x0"), (x0 + F.length("w") * CHAR_WIDTH).alias("x1"), (F.col("line") * LINE_HEIGHT).cast("double").alias("top"))
+    return boxes.where("x1 > x0")
 
 
 def _texts(html: Column, tag: str) -> Column:

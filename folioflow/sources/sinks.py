@@ -1,39 +1,119 @@
-"""Where results go: partition overwrite, ledgers, keyed upsert, nested trees."""
+"""Where results go: scratch tables, document-wise overwrite, ledgers, keyed upsert, nested trees."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+#: Buckets that a store of documents is partitioned into.
+BUCKETS = 64
 
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new path in the folder that driver and executors share."""
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
+
+    A session on one machine may do without; there a temporary folder is set.
+    """
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="folioflow-")
         spark.sparkContext.setCheckpointDir(at)
-    return f"{at.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    return at.rstrip("/")
+
+
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again.
 
+    This cuts the lineage: what was written survives the loss of any executor.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, what)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-def overwrite_documents(df: DataFrame, path: str) -> None:
-    """Replaces the partitions of the documents in ``df`` and no others (buckets of doc_id)."""
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(64)).cast("int")
-    df.withColumn("bucket", bucket).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table of the shared folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What is stored at ``path``; nothing where no table is."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def overwrite_documents(df: DataFrame, path: str, doc_ids: DataFrame | None = None) -> None:
+    """Replaces what is stored of the documents in ``df``, and of those in ``doc_ids`` (doc_id), by ``df``.
+
+    The store is partitioned by a bucket of doc_id. Only the buckets of these documents
+    are written anew, with the rows of their other documents as they were.
+    """
+    spark = df.sparkSession
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")
+    new = df.withColumn("bucket", bucket)
+    ids = df.select("doc_id") if doc_ids is None else df.select("doc_id").unionByName(doc_ids.select("doc_id"))
+    gone = ids.distinct().withColumn("bucket", bucket)
+    touched = [r.bucket for r in gone.select("bucket").distinct().collect()]
+    before = stored(spark, path, new.schema).where(F.col("bucket").isin(touched))
+    # Partitions are only replaced when all rows are written, so reading them meanwhile is safe.
+    rows = before.join(gone.select("doc_id"), "doc_id", "left_anti").select(*new.columns).unionByName(new)
+    empty = set(touched) - {r.bucket for r in rows.select("bucket").distinct().collect()} if doc_ids is not None else ()
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    for b in empty:
+        removed(spark, f"{path}/bucket={b}")
 
 
 def append_ledger(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def upserted(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """``existing`` with the rows of ``new`` inserted, or put in place by key; of new rows that share a key the last wins."""
-    return existing.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+def upserted(existing: DataFrame, new: DataFrame, key: str, order: Column | str | None = None) -> DataFrame:
+    """``existing`` with the rows of ``new`` inserted, or put in place by key.
+
+    Of new rows that share a key the last by ``order`` stays, of equal ones the largest.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in new.columns])
+    by = row if order is None else F.struct(F.col(order) if isinstance(order, str) else order, row)
+    one = new.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, by).alias("_row")).select("_row.*")
+    return existing.join(new.select(key).distinct(), key, "left_anti").unionByName(one.select(*existing.columns))
 
 
 def nested_json(sections: DataFrame) -> DataFrame:
-    """(doc_id, tree): the flat sections of each document as one JSON array in reading order."""
-    node = F.struct("sort_path", "section_id", "parent_id", "title", "path", "depth")
-    return sections.groupBy("doc_id").agg(F.to_json(F.array_sort(F.collect_list(node))).alias("tree"))
+    """(doc_id, tree): the sections of each document as JSON, children inside their parents in reading order.
+
+    Levels are folded from the deepest up, one group a level, so the number of steps is
+    the depth of the deepest tree.
+    """
+    depths = sections.agg(F.max("depth")).first()[0] or 0
+    head = F.regexp_replace(F.to_json(F.struct("section_id", "title", "path")), r"\}$", "")
+    below = None
+    for depth in range(depths, 0, -1):
+        level = sections.where(F.col("depth") == depth).select("doc_id", "section_id", "parent_id", "sort_path", head.alias("head"))
+        if below is not None:
+            level = level.join(below, ["doc_id", "section_id"], "left")
+        else:
+            level = level.withColumn("children", F.lit(None).cast("string"))
+        node = F.concat("head", F.lit(',"child_sections":['), F.coalesce("children", F.lit("")), F.lit("]}"))
+        listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sort_path", node.alias("json")))), lambda x: x["json"]), ",")
+        if depth > 1:
+            below = level.groupBy("doc_id", F.col("parent_id").alias("section_id")).agg(listed.alias("children"))
+        else:
+            return level.groupBy("doc_id").agg(F.concat(F.lit("["), listed, F.lit("]")).alias("tree"))
+    return sections.groupBy("doc_id").agg(F.lit("[]").alias("tree"))

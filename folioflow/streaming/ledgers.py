@@ -36,14 +36,25 @@ def windowed(stream: DataFrame, width: str = "1 hour", late: str = "2 hours") ->
     )
 
 
-def drained(stream: DataFrame) -> DataFrame:
-    """What a stream's result is once all present files are read; each batch replaces the table."""
+def drained(stream: DataFrame, keys: tuple[str, ...] = ("window_start", "event_type")) -> DataFrame:
+    """What a stream's result is once all present files are read.
+
+    Batches bring the rows that they changed, which take the place of those with the same
+    keys. So the watermark bounds the state: closed windows are dropped from it, and rows
+    that come too late for theirs are left out.
+    """
     spark = stream.sparkSession
     out, state = scratch(spark, "stream"), scratch(spark, "stream-state")
     schema = stream.schema
-    spark.createDataFrame([], schema).write.parquet(out)
-    query = (
-        stream.writeStream.outputMode("complete").option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out)).start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(schema).parquet(out)
+    last = f"{out}/begin"
+    spark.createDataFrame([], schema).write.parquet(last)
+
+    def merge(batch: DataFrame, number: int) -> None:
+        nonlocal last
+        before = spark.read.schema(schema).parquet(last).join(batch.select(*keys), list(keys), "left_anti")
+        upto = f"{out}/batch-{number}"
+        before.select(*batch.columns).unionByName(batch).write.mode("overwrite").parquet(upto)
+        last = upto
+
+    stream.writeStream.outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(merge).start().awaitTermination()
+    return spark.read.schema(schema).parquet(last)

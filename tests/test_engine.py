@@ -1,11 +1,13 @@
 """Cases of the stages with known results, on small tables."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from folioflow.config import ChunkRules
 from folioflow.functions import text as ft
-from folioflow.operators import answering, chunking, extraction, facts, indexing, retrieval, triage, validation
+from folioflow.operators import answering, chunking, extraction, facts, indexing, retrieval, triage, validation, vectors
 from folioflow.sources import pages as sp
 from folioflow.sources import sinks
 from folioflow.streaming import ledgers
@@ -196,12 +198,103 @@ def test_html_payload(spark):
 
 def test_sinks(spark, tmp_path):
     path = str(tmp_path / "facts")
-    df = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "doc_id int, v string")
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(200)], "doc_id int, v string")
+    stored = lambda: {r.doc_id: r.v for r in spark.read.parquet(path).collect()}
+    sinks.overwrite_documents(df, path)
+    sinks.overwrite_documents(df.where("doc_id = 3").withColumn("v", F.lit("new")), path)
+    assert stored() == {i: "new" if i == 3 else f"v{i}" for i in range(200)}
+    sinks.overwrite_documents(spark.createDataFrame([(500, "x"), (500, "y")], "doc_id int, v string"), path, df.where("doc_id < 100").select("doc_id"))
+    assert set(stored()) == {*range(100, 200), 500} and spark.read.parquet(path).count() == 102
+
+
+def test_emptied_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "BUCKETS", 10**6)
+    path = str(tmp_path / "facts")
+    df = spark.createDataFrame([(i, "v") for i in range(5)], "doc_id int, v string")
     sinks.overwrite_documents(df, path)
-    sinks.overwrite_documents(df.where("doc_id = 3").withColumn("v", F.lit("new")).unionByName(df.where("doc_id <> 3")), path)
-    assert spark.read.parquet(path).count() == 20 and spark.read.parquet(path).where("v = 'new'").count() == 1
-    merged = sinks.upserted(df, spark.createDataFrame([(1, "x"), (99, "y")], "doc_id int, v string"), "doc_id")
-    assert merged.count() == 21 and merged.where("doc_id = 1").first().v == "x"
+    sinks.overwrite_documents(df.limit(0), path, df.where("doc_id <= 1").select("doc_id"))
+    assert {r.doc_id for r in spark.read.schema("doc_id int, v string").parquet(path).collect()} == {2, 3, 4}
+
+
+def test_upsert(spark):
+    old = spark.createDataFrame([(i, "old", 0) for i in range(20)], "k int, v string, n int")
+    new = spark.createDataFrame([(1, "a", 1), (1, "c", 3), (1, "b", 2), (99, "y", 1), (99, "z", 1)], "k int, v string, n int")
+    merged = {(r.k, r.v) for r in sinks.upserted(old, new, "k", "n").collect()}
+    assert merged == {(i, "old") for i in range(20) if i != 1} | {(1, "c"), (99, "z")}
+    assert sinks.upserted(old, new.limit(0), "k").count() == 20 and sinks.upserted(old.limit(0), new, "k", "n").count() == 2
+
+
+def test_sections_of_documents_without_headers(spark):
+    rows = [("a", 1, "a-1", "section_text", "some text", [2], None), ("a", 2, "a-2", "section_text", "more", [1], None), ("b", 1, "b-1", "section_header", "1 X", [1], None), ("b", 2, "b-2", "section_header", "1.1 Y", [1], None), ("b", 3, "b-3", "section_header", "1.1.1 Z", [2], None), ("b", 4, "b-4", "section_text", "before any", [1], None)]
+    made = spark.createDataFrame(rows, "doc_id string, n int, chunk_id string, chunk_type string, content string, pages array<int>, section string").cache()
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "10")
+    tree = indexing.tree(indexing.headers(made), made).cache()
+    members = indexing.members(tree, made)
+    assert {(r.doc_id, r.path) for r in tree.collect()} == {("a", "Document"), ("b", "1 X"), ("b", "1 X > 1.1 Y"), ("b", "1 X > 1.1 Y > 1.1.1 Z")}
+    assert {(r.doc_id, r.title): (r.page_start, r.page_end, r.n_chunks) for r in indexing.ranges(tree, members).collect()} == {("a", "Document"): (1, 2, 2), ("b", "1 X"): (1, 2, 3), ("b", "1.1 Y"): (1, 2, 2), ("b", "1.1.1 Z"): (2, 2, 1)}
+    nested = {r.doc_id: json.loads(r.tree) for r in sinks.nested_json(tree).collect()}
+    assert nested["b"][0]["child_sections"][0]["child_sections"][0]["title"] == "1.1.1 Z" and nested["a"][0]["child_sections"] == []
+    many = spark.range(40).select(F.concat(F.lit("d"), F.col("id")).alias("doc_id"), F.lit(1).alias("n"), F.col("id").cast("string").alias("chunk_id"), F.lit("section_header").alias("chunk_type"), F.lit("1 A").alias("content"), F.array(F.lit(1)).alias("pages"), F.lit(None).cast("string").alias("section"))
+    assert indexing.tree(indexing.headers(many), many).count() == 40
+    spark.conf.unset("spark.sql.cteRecursionRowLimit")
+
+
+def test_boxes_and_empty_tables(spark):
+    made = {r.chunk_type: r.box for r in report(spark).collect()}
+    assert made["table"].asDict() == {"x0": 0.0, "y0": 46.0, "x1": 0.0, "y1": 46.0}
+    boxes = spark.sql("select array(named_struct('x0', 5D, 'y0', 2D, 'x1', 9D, 'y1', 3D), named_struct('x0', 1D, 'y0', 4D, 'x1', 2D, 'y1', 8D)) as b")
+    assert boxes.select(chunking.box_union(F.col("b")).alias("u")).first().u.asDict() == {"x0": 1.0, "y0": 2.0, "x1": 9.0, "y1": 8.0}
+    parts = spark.createDataFrame([("d", [], 0), ("d", ["h"], 0), ("d", [], 2)], "doc_id string, headers array<string>, row_count int")
+    assert chunking.with_content(parts).count() == 2
+
+
+def test_page_words_and_signals(spark):
+    text = "ab  cde f\n" + "x " * 3000
+    boxes = sp.word_boxes(spark.createDataFrame([(1, text), (2, None)], "doc_id int, text string")).orderBy("top", "x0").collect()
+    assert [(r.x0, r.x1) for r in boxes if r.top == 0] == [(0.0, 10.0), (20.0, 35.0), (40.0, 45.0)] and len(boxes) == 3003
+    row = spark.range(1).select(triage.boundary_repeat(F.expr("array(1L, 1L, 1L, 2L, 3L, 3L)")).alias("b"), triage.table_score(F.lit(3)).alias("t")).first()
+    assert round(row.b, 6) == round(1 / 3, 6) and row.t == 1.0
+
+
+def test_vectors_and_answers(spark):
+    rows = [("d", 1, "c1", "section_text", "Revenue grew.\nA lot", [2], "1 X", "h1"), ("d", 2, "c2", "section_text", "Nothing else", [1], None, "h2")]
+    made = spark.createDataFrame(rows, "doc_id string, n int, chunk_id string, chunk_type string, content string, pages array<int>, section string, content_hash string").withColumn("box", F.expr("named_struct('x0', 0D, 'y0', 1D, 'x1', 2D, 'y1', 3D)"))
+    belonging = spark.createDataFrame([("d", "c1", "s1", "1 X", True), ("d", "c1", "s0", "0", False)], "doc_id string, chunk_id string, section_id string, section_title string, direct boolean")
+    store = vectors.ingested(made, belonging).cache()
+    by_id = {r.vec_id: r for r in store.collect()}
+    assert (by_id["c1"].section_id, by_id["c1"].bounding_box, by_id["c2"].section_id, by_id["c2"].page_refs) == ("s1", "0.0,1.0,2.0,3.0", "", "1")
+    assert vectors.ingest(store, made, belonging).count() == 2
+    requests = spark.createDataFrame([(1, "d", "revenue grew a lot"), (2, "x", "q")], "request_id int, doc_id string, query string")
+    hits = vectors.search(requests, store, made).cache()
+    assert [r.chunk_id for r in hits.orderBy("rank").collect()] == ["c1", "c2"] and hits.first().score > 0.9
+    assert vectors.search(requests, store, made.where("chunk_id = 'c2'"), narrow=belonging.select(F.lit(1).alias("request_id"), "section_id")).count() == 0
+    none = spark.createDataFrame([], "request_id int, fact_id string, fact_name string, fact_value string, page_number int, content_hash string, rank int")
+    paths = spark.createDataFrame([(1, ["semantic_search", "guess", "semantic_search"]), (2, ["guess"])], "request_id int, path array<string>")
+    asked = requests.withColumn("preferred", F.lit("structured_query"))
+    found = {r.request_id: r for r in answering.finalized(asked, paths, spark.createDataFrame([], "request_id int, call int, rank int"), hits, none).collect()}
+    assert (found[1].status, found[1].answer, found[1].path, found[1].matched_section_ids) == ("supported", "Revenue grew.", ["semantic_search"], ["s1"])
+    assert (found[2].status, found[2].answer, found[2].path) == ("not_found", answering.NOTHING_FOUND, ["structured_query"])
+    assert [p.evidence_id for p in found[1].provenance] == ["c1", "c2"] and found[1].provenance[0].document_name == "d"
+
+
+def test_evidence_heads(spark):
+    navigations = spark.createDataFrame([(1, c, r) for c in (1, 2, 3) for r in range(1, 8)], "request_id int, call int, rank int")
+    hits = spark.createDataFrame([(1, r) for r in range(1, 12)], "request_id int, rank int")
+    last, chunks, rows = answering.evidence_heads(navigations, hits, hits)
+    assert {(r.call, r["rank"]) for r in last.collect()} == {(c, r) for c in (2, 3) for r in range(1, 6)} and chunks.count() == rows.count() == 8
+
+
+def test_audit_with_facts(spark):
+    claims = spark.createDataFrame([(1, "Margin is 32%"), (2, "Margin is 3%"), (3, "x")], "request_id int, claim string")
+    hits = spark.createDataFrame([(1, "f", "32%", 1), (2, "f", "32%", 1), (2, "g", "z", 7)], "request_id int, fact_id string, fact_value string, rank int")
+    assert {r.request_id: (r.status, r.citations) for r in answering.audited(claims, hits).collect()} == {1: ("supported", ["f"]), 2: ("unverifiable", []), 3: ("not_found", [])}
+
+
+def test_rules_from_a_file(tmp_path):
+    from folioflow.config import load_rules
+
+    (tmp_path / "rules.yaml").write_text("chunking: {table_rows: 3}\nother: {x: 1}\n")
+    assert load_rules(str(tmp_path / "rules.yaml")).chunking.table_rows == 3 and load_rules().chunking.table_rows == 20
 
 
 def test_stream_over_a_ledger(spark):
