@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import math
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.sources.sinks import removed, scratch, written  # noqa: F401
+
 #: A word is a run of characters other than the six ASCII white-space ones.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
@@ -18,37 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
-
-    Only where the session has none (tests on one machine) a temporary one is set.
-    """
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = spark.sparkContext.getCheckpointDir()
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="folioflow-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again.
-
-    This cuts the lineage: what was written survives the loss of any executor.
-    """
-    spark = df.sparkSession
-    path = scratch(spark, what)
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
@@ -65,7 +32,3 @@ def word_count(text: Column) -> Column:
 def id_bucket(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null ids have no bucket."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)
-
-
-def power_of_two(x: float) -> int:
-    return 1 << max(0, math.ceil(math.log2(max(1.0, x))))

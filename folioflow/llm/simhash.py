@@ -8,7 +8,7 @@ All pairs within the radius are found without comparing everything:
 
 1. Equal fingerprints are merged first, so a group of exact copies of any size is
    one node afterwards (its smallest doc_id names the node).
-2. The 64 bits are cut into ``PARTS`` equal parts (``FEWER_PARTS`` beyond ``MANY`` nodes). Two fingerprints at distance
+2. The 64 bits are cut into ``PARTS`` equal parts. Two fingerprints at distance
    <= r agree to within r // PARTS bits in one part at least.
 3. For every part a vantage-point tree partitions the nodes by the Hamming
    distance of that part to vantage points. A node lives in one leaf. It is
@@ -16,6 +16,9 @@ All pairs within the radius are found without comparing everything:
    says that a partner may be there (its distance to the vantage point lies
    within the part's radius of the split); other branches are pruned. Copying
    goes outwards only, since each pair needs to meet once.
+   Where too many nodes look alike in a part for the tree to tell them apart, the
+   nodes of that leaf go on to trees over each of the other parts, in one of which
+   two of them agree to within r // (PARTS - 1) bits.
 4. Every leaf is one task's work: it finds its exact links on all 64 bits and
    emits one edge per linked node (to the smallest node that it reaches in the
    leaf), never all pairs of a group.
@@ -46,15 +49,16 @@ from folioflow.llm.common import partitions, written
 SHINGLE = 4
 SEED = 42
 RADIUS = 4
-#: Parts that the bits are cut into. Narrow parts have small radii, so few copies are
-#: made across splits; beyond MANY nodes too many share a narrow part.
-PARTS, FEWER_PARTS, MANY = 4, 2, 10**8
+#: Parts that the bits are cut into. Narrow parts have small radii, so few copies are made across splits.
+PARTS = 4
 #: Most fingerprints drawn to build the trees.
-SAMPLE = 200_000
+SAMPLE = 2_000_000
 #: And the largest share of all nodes that is drawn.
 SAMPLE_SHARE = 0.1
 #: Nodes that a leaf should hold, before copies from across splits.
 LEAF_NODES = 6_000
+#: A leaf with so many times more goes on to trees over the other parts.
+TOO_MANY = 8
 
 
 def fingerprint(text: bytes | None, size: int = SHINGLE, seed: int = SEED) -> int:
@@ -90,16 +94,25 @@ def _majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row, its 64 bits as a signed long."""
+    """(doc_id, text_key, fp): the fingerprint of every row, its 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [fingerprint(x.as_py(), size, seed) for x in batch.column(1)]
-            fps = pa.array(np.array(got, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), longs([text_key(x.as_py()) for x in batch.column(1)]), longs(got)], names=["doc_id", "text_key", "fp"])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return plain.mapInArrow(run, "doc_id long, fp long")
+    return plain.mapInArrow(run, "doc_id long, text_key long, fp long")
+
+
+def text_key(text: bytes | None) -> int:
+    """What Spark's xxhash64 makes of a text."""
+    return 42 if text is None else xxhash.xxh64_intdigest(text, 42)
+
+
+def longs(values: list[int]) -> pa.Array:
+    """Unsigned 64-bit integers as signed ones."""
+    return pa.array(np.array(values, np.uint64).view(np.int64))
 
 
 def _part(fps: np.ndarray, part: int, parts: int) -> np.ndarray:
@@ -203,34 +216,57 @@ def _leaf_edges(ids: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarr
     return np.concatenate(a), np.concatenate(b)
 
 
-def links(nodes: DataFrame, count: int, radius: int = RADIUS, parts: int | None = None, leaf_nodes: int = LEAF_NODES) -> DataFrame:
+class Forest:
+    """A tree for every part, and below leaves that hold too many nodes a tree for every other part."""
+
+    def __init__(self, sample: np.ndarray, parts: int, leaf: int, radius: int) -> None:
+        self.parts, self.trees = parts, []
+        self.below: list[dict[int, list[tuple[int, int, VantageTree]]]] = []
+        self.base, self.size = [], 0
+        for p in range(parts):
+            tree = VantageTree(_part(sample, p, parts), leaf, radius // parts, SEED + p)
+            self.trees.append(tree)
+            self.base.append(self.size)
+            self.size += len(tree.splits)
+            self.below.append({})
+            for at, rows in tree.route(_part(sample, p, parts)) if parts > 1 else ():
+                if len(rows) > TOO_MANY * leaf:
+                    below = []
+                    for q in [q for q in range(parts) if q != p]:
+                        inner = VantageTree(_part(sample[rows], q, parts), leaf, radius // (parts - 1), SEED + parts * p + q)
+                        below.append((self.size, q, inner))
+                        self.size += len(inner.splits)
+                    self.below[p][at] = below
+
+    def route(self, fps: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(leaf, indices of the fingerprints that are there), copies included."""
+        for p, tree in enumerate(self.trees):
+            for at, rows in tree.route(_part(fps, p, self.parts)):
+                if at not in self.below[p]:
+                    yield self.base[p] + at, rows
+                for base, q, inner in self.below[p].get(at, ()):
+                    for deeper, some in inner.route(_part(fps[rows], q, self.parts)):
+                        yield base + deeper, rows[some]
+
+
+def links(nodes: DataFrame, count: int, radius: int = RADIUS, parts: int = PARTS, leaf_nodes: int = LEAF_NODES) -> DataFrame:
     """(a, b): edges that join all nodes (node, fp) within ``radius`` bits, b < a.
 
     The edges span the same components as all pairs would; their number is at most
     one per node and leaf.
     """
     spark = nodes.sparkSession
-    parts = parts or (PARTS if count <= MANY else FEWER_PARTS)
     rate = min(SAMPLE_SHARE, 0.9 * SAMPLE / max(1, count))
-    drawn = nodes.where(F.pmod(F.xxhash64("fp"), F.lit(1_000_003)) < int(rate * 1_000_003))
-    sample = np.array(sorted(r.fp for r in drawn.select("fp").limit(SAMPLE).collect()), dtype=np.int64).view(np.uint64)
-    near = radius // parts
-    leaf = max(16, int(leaf_nodes * rate))
-    trees = [VantageTree(np.unique(_part(sample, p, parts)), leaf, near, SEED + p) for p in range(parts)]
-    base = [0]
-    for tree in trees:
-        base.append(base[-1] + len(tree.splits))
+    draw = F.pmod(F.xxhash64("fp"), F.lit(1_000_000_007)) < int(rate * 1_000_000_007)
+    sample = np.sort(nodes.where(draw).select("fp").toArrow()["fp"].to_numpy()).astype(np.int64).view(np.uint64)
+    forest = Forest(sample, parts, max(16, int(leaf_nodes * rate)), radius)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), dtype=np.int64)
             fps = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), dtype=np.int64)
-            for p, tree in enumerate(trees):
-                for at, rows in tree.route(_part(fps.view(np.uint64), p, parts)):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(rows), base[p] + at, dtype=np.int32)), pa.array(ids[rows]), pa.array(fps[rows])],
-                        names=["leaf", "node", "fp"],
-                    )
+            for leaf, rows in forest.route(fps.view(np.uint64)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), leaf, dtype=np.int32)), pa.array(ids[rows]), pa.array(fps[rows])], names=["leaf", "node", "fp"])
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by leaf; a leaf may span batches."""
@@ -260,7 +296,7 @@ def links(nodes: DataFrame, count: int, radius: int = RADIUS, parts: int | None
 
     routed = nodes.select("node", "fp").mapInArrow(route, "leaf int, node long, fp long")
     # Leaves are dealt by number, so that neighbours do not collide in a hash bucket.
-    n = max(1, min(base[-1], 4 * partitions(spark)))
+    n = max(1, min(forest.size, 4 * partitions(spark)))
     dealt = routed.withColumn("leaf_part", F.pmod(F.col("leaf"), F.lit(n)).cast("int")).repartitionById(n, "leaf_part").select("leaf", "node", "fp")
     return dealt.sortWithinPartitions("leaf").mapInArrow(solve, "a long, b long")
 
@@ -303,38 +339,39 @@ def components(edges: DataFrame) -> DataFrame:
     return root.select("node", F.col("p").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, parts: int | None = None, leaf_nodes: int = LEAF_NODES) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``."""
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, parts: int = PARTS, leaf_nodes: int = LEAF_NODES) -> DataFrame:
+    """(doc_id, text_key, fp, component_id) for every row of ``docs``."""
     marked = written(fingerprints(docs), "fingerprints")
     nodes = written(marked.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
     edges = written(links(nodes, nodes.count(), radius, parts, leaf_nodes), "links")
     moved = components(edges).where("node <> root")
     classes = nodes.join(moved, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
     return marked.join(classes, "fp", "left").select(
-        "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
+        "doc_id", "text_key", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
 
 
 def deduplicated(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One document of each group: that with the smallest doc_id, all columns kept.
 
-    Rows with a null doc_id belong to no group and stay. Of rows that repeat a
-    doc_id, one stays.
+    Rows with a null doc_id belong to no group and stay. Of rows that repeat both
+    doc_id and text, one stays.
     """
     return one_each(docs, near_duplicates(docs, radius))
 
 
 def one_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The document of each group whose doc_id is the group's component_id, and those without an id."""
-    columns = docs.columns
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    packed = docs.select(F.col("doc_id").cast("long").alias("_kept_id"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
-    known = packed.where("_kept_id is not null").join(kept, "_kept_id", "left_semi")
-    one = known.groupBy("_kept_id").agg(F.min_by("_row", F.xxhash64("_row.text")).alias("_row")) if _repeats(docs) else known
-    nameless = packed.where("_kept_id is null")
-    return one.select("_row").unionByName(nameless.select("_row")).select("_row.*")
-
+    """The texts of each group whose doc_id is the group's component_id, and all documents without an id.
 
-def _repeats(docs: DataFrame) -> bool:
-    ids = docs.select(F.col("doc_id").cast("long").alias("i")).where("i is not null")
-    return not ids.groupBy("i").count().where("count > 1").limit(1).isEmpty()
+    ``groups`` has doc_id, text_key and component_id. Rows that repeat doc_id and text
+    are known by their counts, so only these are looked at twice.
+    """
+    columns = docs.columns
+    packed = docs.select(F.col("doc_id").cast("long").alias("_kept_id"), F.xxhash64(F.col("text").cast("string")).alias("_kept_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
+    kept = groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).agg(F.count("*").alias("_n"))
+    kept = written(kept, "kept")
+    known = packed.where("_kept_id is not null").join(kept, ["_kept_id", "_kept_key"])
+    if not kept.where("_n > 1").limit(1).isEmpty():
+        many = known.where("_n > 1").groupBy("_kept_id", "_kept_key").agg(F.first("_row").alias("_row"))
+        known = known.where("_n = 1").select("_row").unionByName(many.select("_row"))
+    return known.select("_row").unionByName(packed.where("_kept_id is null").select("_row")).select("_row.*")

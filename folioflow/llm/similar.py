@@ -1,14 +1,18 @@
-"""Near-duplicate groups by exact Jaccard similarity of word shingles.
+"""Near-duplicate groups of texts that are alike from a similarity of 0.8 on.
 
 Two texts are linked where the sets of their ``SIZE``-word shingles have a Jaccard
 similarity of ``SIMILAR`` or more; groups are the connected components of the links.
 
 1. Texts with equal sets are merged first, so a group of copies is one class.
-2. Classes that share one of ``BANDS`` MinHash bands of ``ROWS`` values meet in a
-   bucket. A pair at similarity s shares none with probability
-   (1 - s^ROWS)^BANDS: 3 in 100,000 at 0.8, one in ten billion at 0.9.
-3. Each class is compared with the smallest of its buckets. That joins most of a
-   large group by as many comparisons as it has members and bands.
+2. SimHash fingerprints of the same shingles are linked by the vantage-point trees of
+   ``simhash``, up to ``RADIUS`` bits; links are confirmed on the full sets. That joins
+   most of a large group.
+3. No radius that trees can prune by reaches all pairs at 0.8: these differ in some
+   ten bits of 64, as many as chance pairs of a large corpus may. So classes that
+   share one of ``BANDS`` MinHash bands of ``ROWS`` values meet in a bucket, too. A pair
+   at similarity s shares none with probability (1 - s^ROWS)^BANDS: 3 in 100,000 at
+   0.8, one in ten billion at 0.9. Classes are compared with the smallest of their
+   buckets, if that is not in their component yet.
 4. In buckets that still hold several components, classes of different ones are
    compared with each other. Pairs within a component need no comparison.
 
@@ -29,19 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm.common import partitions, written
-from folioflow.llm.simhash import SEED, components, one_each, shingles
+from folioflow.llm.simhash import SEED, _majority, components, links, longs, one_each, shingles, text_key
 
 SIZE = 5
 #: The least similarity of a link, as a fraction.
 SIMILAR = (4, 5)
 BANDS, ROWS = 20, 4
+#: Differing bits up to which trees look for links: as many as cost no wider search than four.
+RADIUS = 7
 _MIX = np.random.default_rng(SEED).integers(0, 2**63, (2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingle_set(text: bytes | None) -> np.ndarray:
-    return np.unique(shingles(text, SIZE, SEED))
-
-
 def _whole(found: np.ndarray) -> int:
     """The name of a set of shingles."""
     return xxhash.xxh64_intdigest(found.tobytes(), SEED)
@@ -63,18 +65,19 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _described(docs: DataFrame, name: str, of) -> DataFrame:
-    """(doc_id, whole, ``name``): the class of each text and what ``of`` makes of its set."""
+    """(doc_id, text_key, whole, fp, ``name``): the class of each text, its fingerprint, and what ``of`` makes of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
-                sets = [shingle_set(x.as_py()) for x in piece.column(1)]
-                whole = pa.array(np.array([_whole(s) for s in sets], np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([piece.column(0), whole, _lists([of(s) for s in sets])], names=["doc_id", "whole", name])
+                hashes = [shingles(x.as_py(), SIZE, SEED) for x in piece.column(1)]
+                sets = [np.unique(h) for h in hashes]
+                keys, fps = longs([text_key(x.as_py()) for x in piece.column(1)]), longs([_majority(h) if len(h) else 0 for h in hashes])
+                yield pa.RecordBatch.from_arrays([piece.column(0), keys, longs([_whole(s) for s in sets]), fps, _lists([of(s) for s in sets])], names=["doc_id", "text_key", "whole", "fp", name])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return plain.mapInArrow(run, f"doc_id long, whole long, {name} array<long>")
+    return plain.mapInArrow(run, f"doc_id long, text_key long, whole long, fp long, {name} array<long>")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -122,26 +125,41 @@ def _across(bands: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _by_fingerprint(nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that the trees link, or whose fingerprints are equal."""
+    points = written(nodes.groupBy("fp").agg(F.min("whole").alias("node")), "points")
+    near = links(points, points.count(), RADIUS).select(F.col("b").alias("a"), F.col("a").alias("b"))
+    equal = nodes.select("fp", "whole").join(points, "fp").where("node <> whole").select(F.col("node").alias("a"), F.col("whole").alias("b"))
+    return written(near.unionByName(equal).distinct(), "pairs")
+
+
 def groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, component_id) for every row of ``docs``: the smallest doc_id of its group."""
+    """(doc_id, text_key, component_id) for every row of ``docs``: the smallest doc_id of its group."""
     marked = written(_described(docs, "keys", band_keys), "bands")
     known = marked.where("doc_id is not null")
-    nodes = written(known.groupBy("whole").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys")), "classes")
+    # Texts of one class have the same set, but may repeat shingles: any of their fingerprints will do.
+    nodes = written(known.groupBy("whole").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp"), F.first("keys").alias("keys")), "classes")
+    edges = written(_verified(_by_fingerprint(nodes), docs, nodes), "similar")
     bands = nodes.select("whole", F.explode("keys").alias("key"))
     full = bands.groupBy("key").agg(F.min("whole").alias("a"), F.max("whole").alias("most")).where("a <> most").select("key", "a")
     bands = written(bands.join(full, "key"), "buckets")
-    first = written(bands.where("a <> whole").select("a", F.col("whole").alias("b")).distinct(), "pairs")
-    edges = written(_verified(first, docs, nodes), "similar")
-    roots = components(edges)
-    placed = bands.select("key", "whole").join(roots.select(F.col("node").alias("whole"), "root"), "whole", "left").select("key", "whole", F.coalesce("root", "whole").alias("root"))
+
+    def rooted(roots: DataFrame) -> DataFrame:
+        return roots.select(F.col("node").alias("whole"), "root")
+
+    roots = rooted(components(edges))
+    first = bands.where("a <> whole").select("a", F.col("whole").alias("b")).distinct()
+    first = first.join(roots.select(F.col("whole").alias("a"), F.col("root").alias("x")), "a", "left").join(roots.select(F.col("whole").alias("b"), F.col("root").alias("y")), "b", "left")
+    first = written(first.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b"), "pairs")
+    edges = written(edges.unionByName(_verified(first, docs, nodes)), "similar")
+    placed = bands.select("key", "whole").join(rooted(components(edges)), "whole", "left").select("key", "whole", F.coalesce("root", "whole").alias("root"))
     open_keys = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
     second = written(_across(placed.join(open_keys, "key", "left_semi")).join(first, ["a", "b"], "left_anti"), "pairs")
     more = written(_verified(second, docs, nodes), "similar")
-    roots = components(edges.unionByName(more)).withColumnRenamed("node", "whole")
-    classes = nodes.select("whole", "node").join(roots, "whole", "left").select("whole", "node", F.coalesce("root", "whole").alias("root"))
+    classes = nodes.select("whole", "node").join(rooted(components(edges.unionByName(more))), "whole", "left").select("whole", "node", F.coalesce("root", "whole").alias("root"))
     least = classes.groupBy("root").agg(F.min("node").alias("component_id"))
     named = written(classes.join(least, "root").select("whole", "component_id"), "classes")
-    return marked.select("doc_id", "whole").join(named, "whole", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    return marked.select("doc_id", "text_key", "whole").join(named, "whole", "left").select("doc_id", "text_key", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

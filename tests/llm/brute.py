@@ -40,6 +40,21 @@ def components(pairs, radius=4):
     return {i: find(i) for i in parent}
 
 
+def similar(pairs):
+    """Smallest id that each (id, text) reaches by links of 0.8 or more of the five-word shingles."""
+    sets = []
+    for _, text in pairs:
+        words = WORD.findall(lower(text))
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    root = {i: i for i, _ in pairs}
+    for k, (i, _) in enumerate(pairs):
+        for n, (j, _) in enumerate(pairs[:k]):
+            if 5 * len(sets[k] & sets[n]) >= 4 * len(sets[k] | sets[n]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = {x: low if r == high else r for x, r in root.items()}
+    return root
+
+
 def bucket(doc_id, modulus):
     return None if doc_id is None else zlib.crc32(str(doc_id).encode()) % modulus
 

@@ -288,6 +288,35 @@ def test_vantage_trees_find_all_links(spark, parts):
     assert all(found.get(i, i) == want[i] for i in want)
 
 
+@pytest.mark.parametrize("parts", [2, 4])
+def test_nodes_that_share_a_part(spark, monkeypatch, parts):
+    """Far more nodes than a leaf should hold agree in one part; trees over the other parts deal them out."""
+    monkeypatch.setattr(simhash, "SAMPLE_SHARE", 1.0)
+    rng = np.random.default_rng(parts)
+    low = np.uint64(64 // parts)
+    points = list(rng.integers(0, 2**63, 1500, dtype=np.uint64) >> low << low | np.uint64(7))
+    for _ in range(500):
+        x = points[rng.integers(len(points))]
+        for b in rng.choice(64, int(rng.integers(0, 6)), replace=False):
+            x ^= np.uint64(1) << np.uint64(b)
+        points.append(x)
+    fps = np.unique(np.array(points, dtype=np.uint64))
+    forest = simhash.Forest(fps, parts, 20, 4)
+    assert forest.below[0] and max(len(rows) for leaf, rows in forest.route(fps) if leaf > forest.base[-1]) < 1000
+    nodes = spark.createDataFrame([(int(i), int(x)) for i, x in enumerate(fps.view(np.int64))], "node long, fp long")
+    found = {r.node: r.root for r in simhash.components(simhash.links(nodes, len(fps), parts=parts, leaf_nodes=20)).collect()}
+    want = brute.components([(i, int(x)) for i, x in enumerate(fps)])
+    assert all(found.get(i, i) == want[i] for i in want) and any(i != w for i, w in want.items())
+
+
+def test_texts_that_share_an_id(spark):
+    one, two, three = ("".join(f"{c}{i} " for i in range(40)) for c in "abc")
+    rows = [(1, one), (5, one), (5, two), (5, two), (5, three), (7, three), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(similar.deduplicated(docs).collect(), key=str) == sorted(([r for r in docs.collect() if (r.doc_id, r.text) in ((1, one), (5, three), (None, one))] + [docs.where("doc_id = 5").collect()[1]]), key=str)
+    assert simhash.text_key("é".encode()) % 2**64 == docs.sparkSession.sql("select xxhash64('é')").first()[0] % 2**64 and docs.sparkSession.sql("select xxhash64(cast(null as string))").first()[0] == simhash.text_key(None)
+
+
 def test_similar_texts_match_brute_force_jaccard(spark, odd_docs, no_docs):
     rng = random.Random(6)
     vocabulary = [f"w{i}" for i in range(500)]

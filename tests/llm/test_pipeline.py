@@ -26,18 +26,19 @@ def test_stages(spark, small):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in first.collect()} - bad
 
     groups, unique = kept["near_duplicates"]
-    want = brute.components([(r.doc_id, brute.fingerprint(r.text)) for r in groups.collect()])
-    assert sorted(r.doc_id for r in unique.collect()) == sorted(set(want.values()))
+    # Alike means 0.8 of the five-word shingles.
+    assert sorted(r.doc_id for r in unique.collect()) == sorted(set(brute.similar([(r.doc_id, r.text) for r in groups.collect()]).values()))
 
     unique, safe = kept["decontamination"]
     items = [decontam.normalised(r.text.encode()) for r in table(spark, small, "benchmark").collect()]
     leaking = {r.doc_id for r in unique.collect() if any(i in decontam.normalised(r.text.encode()) for i in items)}
-    assert not leaking & {r.doc_id for r in safe.collect()} and safe.count() >= unique.count() - len(leaking) - 2
+    near = {r.doc_id for r in decontam.contaminated(unique, table(spark, small, "benchmark")).collect()}
+    assert leaking <= near and {r.doc_id for r in safe.collect()} == {r.doc_id for r in unique.collect()} - near
 
     safe, mixed = kept["mixing"]
-    size = lambda df: {r.source: r.n for r in df.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("n")).collect()}
-    target, taken = brute.targets(size(safe)), size(mixed)
-    assert all(abs(taken.get(s, 0) - t) <= 0.15 * t for s, t in target.items())
+    size = lambda df, f=F.sum: {r.source: r.n for r in df.groupBy("source").agg(f(word_count(F.col("text"))).alias("n")).collect()}
+    target, taken, largest = brute.targets(size(safe)), size(mixed), size(safe, F.max)
+    assert all(abs(taken.get(s, 0) - t) <= 1.1 * largest[s] for s, t in target.items())
 
     mixed, packed = kept["token_binary"]
     rows = packed.orderBy("start").collect()
@@ -51,4 +52,6 @@ def test_odd_and_empty(spark, odd_docs, no_docs, small):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, small)
         assert docs.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
-        docs.collect()
+        rows = docs.collect()
+        # Of texts that are alike the one with the least id is left; what has no id stays.
+        assert {r.doc_id for r in rows} <= {None, 1, 2, 4, 5, 8} and all(r.n_tokens >= 1 for r in rows)
