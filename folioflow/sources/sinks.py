@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,9 +30,26 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+_recorders: list[list[str]] = []
+
+
 def scratch(spark: SparkSession, what: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    for paths in _recorders:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The scratch paths that are made meanwhile, so that they can be removed when nothing reads them any more."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders.remove(paths)
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
