@@ -13,8 +13,11 @@ similarity of ``SIMILAR`` or more; groups are the connected components of the li
    at similarity s shares none with probability (1 - s^ROWS)^BANDS: 3 in 100,000 at
    0.8, one in ten billion at 0.9. Classes are compared with the smallest of their
    buckets, if that is not in their component yet.
-4. In buckets that still hold several components, classes of different ones are
-   compared with each other. Pairs within a component need no comparison.
+4. Buckets that still hold several components get the sets of their classes, and one
+   task compares all classes of different components. It gives out no more links than
+   join them, so nothing grows with the square of a bucket but the comparisons of the
+   task. Buckets of more than ``BUCKET`` classes are dealt to several tasks as pairs of
+   blocks, so a task holds the sets of two blocks at most.
 
 Every comparison takes the full sets, so no link is below the limit.
 
@@ -39,6 +42,8 @@ SIZE = 5
 #: The least similarity of a link, as a fraction.
 SIMILAR = (4, 5)
 BANDS, ROWS = 20, 4
+#: Classes of a bucket that one task compares with each other.
+BUCKET = 2000
 #: Differing bits up to which trees look for links: as many as cost no wider search than four.
 RADIUS = 7
 _MIX = np.random.default_rng(SEED).integers(0, 2**63, (2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,48 +85,80 @@ def _described(docs: DataFrame, name: str, of) -> DataFrame:
     return plain.mapInArrow(run, f"doc_id long, text_key long, whole long, fp long, {name} array<long>")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar enough."""
-    needed = pairs.select(F.col("a").alias("whole")).unionByName(pairs.select(F.col("b").alias("whole"))).distinct()
-    ids = nodes.join(needed, "whole").select("node").distinct()
+def _sets(needed: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(whole, set) of the classes in ``needed``."""
+    ids = nodes.join(needed.distinct(), "whole").select("node").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, F.col("doc_id") == F.col("node"), "left_semi")
     # A doc_id may have several texts, and so name several classes.
-    sets = written(_described(texts, "set", lambda s: s).dropDuplicates(["whole"]).select("whole", "set"), "sets")
+    return written(_described(texts, "set", lambda s: s).dropDuplicates(["whole"]).select("whole", "set"), "sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose sets are similar enough."""
+    sets = _sets(pairs.select(F.col("a").alias("whole")).unionByName(pairs.select(F.col("b").alias("whole"))), docs, nodes)
     both = pairs.join(sets.select(F.col("whole").alias("b"), F.col("set").alias("y")), "b").join(sets.select(F.col("whole").alias("a"), F.col("set").alias("x")), "a")
     common = F.size(F.array_intersect("x", "y"))
     return both.withColumn("n", common).where(SIMILAR[1] * F.col("n") >= SIMILAR[0] * (F.size("x") + F.size("y") - F.col("n"))).select("a", "b")
 
 
-def _across(bands: DataFrame) -> DataFrame:
-    """The pairs (a, b), a < b, of classes that share a bucket but no component; bands has key, root, whole."""
-
-    def pairs(root: np.ndarray, whole: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cuts = [0, *(np.flatnonzero(np.diff(root)) + 1).tolist(), len(root)]
-        for x, y in zip(cuts, cuts[1:]):
-            later = whole[y:]
-            step = max(1, (1 << 20) // max(1, len(later)))
-            for i in range(x, y if len(later) else x, step):
-                a, b = np.repeat(whole[i : min(i + step, y)], len(later)), np.tile(later, min(i + step, y) - i)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+def spanning(block: np.ndarray, root: np.ndarray, sets: list[np.ndarray], both: bool) -> Iterator[tuple[int, int]]:
+    """(i, j) that join what is similar among classes of different roots; across blocks only, where there are two (``both``)."""
+    size = np.array([len(s) for s in sets])
+    order = np.argsort(size, kind="stable")
+    block, root, size = block[order], root[order].copy(), size[order]
+    shingle = np.concatenate([sets[k] for k in order])
+    owner = np.repeat(np.arange(len(sets)), size)
+    start = np.cumsum(size) - size
+    for i in range(len(sets)):
+        # Sizes of similar sets differ by a fifth at most; sets are sorted by size.
+        end = int(np.searchsorted(size, SIMILAR[1] * size[i] // SIMILAR[0], "right"))
+        other = root[i + 1 : end] != root[i]
+        if both:
+            other &= block[i + 1 : end] != block[i]
+        if not other.any():
+            continue
+        upto = start[end - 1] + size[end - 1]
+        mine, rest = shingle[start[i] : start[i] + size[i]], slice(start[i] + size[i], upto)
+        at = np.minimum(np.searchsorted(mine, shingle[rest]), size[i] - 1) if size[i] else np.zeros(0, np.int64)
+        common = np.bincount(owner[rest][mine[at] == shingle[rest]] - i - 1, minlength=end - i - 1) if size[i] else np.zeros(end - i - 1, np.int64)
+        alike = other & (SIMILAR[1] * common >= SIMILAR[0] * (size[i] + size[i + 1 : end] - common))
+        for j in (np.flatnonzero(alike) + i + 1).tolist():
+            if root[j] != root[i]:
+                root[root == root[j]] = root[i]
+                yield int(order[i]), int(order[j])
+
+
+def _across(bands: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join the similar classes of each bucket; bands has key, root, whole."""
+
+    def edges(rows: list[tuple]) -> pa.RecordBatch:
+        lo, hi = rows[0][1], rows[0][2]
+        whole = np.array([r[5] for r in rows], np.int64)
+        found = list(spanning(np.array([r[3] for r in rows]), np.array([r[4] for r in rows], np.int64), [r[6] for r in rows], lo != hi))
+        a, b = whole[[i for i, _ in found]], whole[[j for _, j in found]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by key and root; a key may span batches."""
-        key, held = None, []
+        """Rows come sorted by bucket and pair of blocks; these may span batches."""
+        held: list[tuple] = []
         for batch in batches:
-            keys, roots, wholes = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-            for x, y in zip(cuts, cuts[1:]):
-                if x == y:
-                    continue
-                if held and keys[x] != key:
-                    yield from pairs(*map(np.concatenate, zip(*held)))
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            lists = batch.column(6)
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            for n, row in enumerate(zip(*columns)):
+                if held and held[0][:3] != row[:3]:
+                    yield edges(held)
                     held = []
-                key = keys[x]
-                held.append((roots[x:y].copy(), wholes[x:y].copy()))
+                held.append((*row, values[offsets[n] : offsets[n + 1]].copy()))
         if held:
-            yield from pairs(*map(np.concatenate, zip(*held)))
-
-    dealt = bands.select("key", "root", "whole").repartition(partitions(bands.sparkSession), "key").sortWithinPartitions("key", "root")
+            yield edges(held)
+
+    counts = bands.groupBy("key").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("blocks"))
+    placed = bands.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("whole"), F.col("blocks")).cast("int"))
+    met = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("key", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "root", "whole").join(sets, "whole")
+    met = met.select("key", "lo", "hi", "block", "root", "whole", "set")
+    dealt = met.repartition(partitions(bands.sparkSession), "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "whole")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -154,8 +191,8 @@ def groups(docs: DataFrame) -> DataFrame:
     edges = written(edges.unionByName(_verified(first, docs, nodes)), "similar")
     placed = bands.select("key", "whole").join(rooted(components(edges)), "whole", "left").select("key", "whole", F.coalesce("root", "whole").alias("root"))
     open_keys = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    second = written(_across(placed.join(open_keys, "key", "left_semi")).join(first, ["a", "b"], "left_anti"), "pairs")
-    more = written(_verified(second, docs, nodes), "similar")
+    still = written(placed.join(open_keys, "key", "left_semi"), "open-buckets")
+    more = written(_across(still, _sets(still.select("whole"), docs, nodes)), "similar")
     classes = nodes.select("whole", "node").join(rooted(components(edges.unionByName(more))), "whole", "left").select("whole", "node", F.coalesce("root", "whole").alias("root"))
     least = classes.groupBy("root").agg(F.min("node").alias("component_id"))
     named = written(classes.join(least, "root").select("whole", "component_id"), "classes")
