@@ -6,12 +6,15 @@ Some texts of the labelled sample are landmarks (Nystrom): every text is describ
 by its kernel with the landmarks, whitened by the landmarks' own kernel matrix, and
 one ridge regression per language (one against the rest) maps that description to a
 score. Texts are scored in batches by matrix products: presence matrix times
-landmarks, times coefficients.
+landmarks, times coefficients. All n-grams of a text count for its number, and all
+that a landmark has for what they share.
 
 Only text and non-null lang of rows outside the held-out fold are learned from, and
-only a bounded sample of them: about ``PER_LANGUAGE`` rows of each of at most
-``MOST_LANGUAGES`` languages, drawn by the hash of doc_id. N-grams are extracted on
-the executors; the sample comes to the driver as sets of n-gram numbers. Letters are
+only a bounded sample of them, of every language: about ``PER_LANGUAGE`` rows, fewer
+where ``MOST_ROWS`` rows would be exceeded, drawn by the hash of doc_id (rows that
+share a doc_id by that of their text). There is a landmark of every language at least,
+and ``MOST_LANDMARKS`` of all where that leaves more. N-grams are extracted on the
+executors; the sample comes to the driver as sets of n-gram numbers. Letters are
 lower-cased and folded into 63 classes, everything else is a gap.
 
 Whole texts are read, in blocks of bounded size.
@@ -29,18 +32,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.llm.common import id_bucket
 
 FOLDS, HELD_OUT = 4, 2
 PER_LANGUAGE = 150
+#: Rows of all languages that are learned from.
+MOST_ROWS = 30_000
 LANDMARKS_PER_LANGUAGE = 32
-MOST_LANGUAGES = 200
 MOST_LANDMARKS = 512
 GRAMS = (1, 2, 3)
-FEATURES = 4096
+#: Cells of the presence matrix of a batch.
+CELLS = 1 << 24
 RIDGE = 1e-2
 BLOCK = 1 << 20
 UNKNOWN = "und"
@@ -67,9 +72,9 @@ def blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
     def flush() -> tuple[np.ndarray, np.ndarray]:
         lengths = np.array([len(p) for p in parts])
-        points = np.frombuffer("\n".join(parts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        points = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         c = classes()[points].astype(np.int32)
-        row = np.repeat(np.array(rows, dtype=np.int32), lengths + 1)[: len(c)]
+        row = np.repeat(np.array(rows, dtype=np.int32), lengths)
         # Two gaps in a row are one: an n-gram has at most one, at its ends or inside.
         keep = np.ones(len(c), dtype=bool)
         keep[1:] = (c[1:] > 0) | (c[:-1] > 0) | (row[1:] != row[:-1])
@@ -88,7 +93,8 @@ def blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for k, text in enumerate(texts):
         text = text or ""
         for at in range(0, max(1, len(text)), BLOCK):
-            piece = text[at : at + BLOCK + 2]
+            # A text ends in a gap, whatever comes after it; a piece that is not its last stands alone.
+            piece = text[at : at + BLOCK + 2] + ("\n" if at + BLOCK >= len(text) else "")
             parts.append(piece), rows.append(k)
             size += len(piece)
             if size >= BLOCK:
@@ -100,52 +106,45 @@ def blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 class Model:
     def __init__(self, samples: list[np.ndarray], langs: list[str]) -> None:
+        """``samples`` are the sets of n-grams of texts, as sorted numbers."""
         self.langs = sorted(set(langs))
-        self.lookup = np.full(SPACE, -1, dtype=np.int32)
         if not self.langs:
             return
         per = max(1, min(LANDMARKS_PER_LANGUAGE, MOST_LANDMARKS // len(self.langs)))
         marks = [i for lang in self.langs for i in [k for k, x in enumerate(langs) if x == lang][:per]]
-        counts = np.bincount(np.concatenate([samples[i] for i in marks]), minlength=SPACE)
-        # The n-grams of the landmarks that tell texts apart best: neither rare nor everywhere.
-        share = counts / len(marks)
-        weight = np.where(counts > 1, share * (1 - share), 0)
-        weight[0] = 0
-        chosen = np.argsort(-weight, kind="stable")[: min(FEATURES, int((weight > 0).sum()))]
-        self.lookup[chosen] = np.arange(len(chosen))
-        self.width = len(chosen)
-        x = self._normal(np.stack([self._row(s) for s in samples]))
-        self.landmarks = x[marks].T.copy()
-        inner = (x[marks] @ self.landmarks).astype(np.float64)
-        values, vectors = np.linalg.eigh(inner)
+        has = np.zeros((SPACE, len(marks)), dtype=np.uint8)
+        for c, i in enumerate(marks):
+            has[samples[i], c] = 1
+        has[0] = 0
+        size = np.maximum(1, [np.count_nonzero(s) for s in samples])
+        x = np.stack([has[s].sum(axis=0, dtype=np.int64) for s in samples]) / np.sqrt(size[:, None] * size[marks][None, :])
+        values, vectors = np.linalg.eigh(x[marks].astype(np.float64))
         good = values > 1e-6 * max(values.max(), 1e-12)
         whiten = vectors[:, good] / np.sqrt(values[good])
-        z = (x @ self.landmarks).astype(np.float64) @ whiten
+        z = x @ whiten
         y = np.where(np.array(langs)[:, None] == np.array(self.langs)[None, :], 1.0, -1.0)
         z1 = np.concatenate([z, np.ones((len(z), 1))], axis=1)
         beta = np.linalg.solve(z1.T @ z1 + RIDGE * len(z) * np.eye(z1.shape[1]) * 0.1, z1.T @ y)
-        self.alpha, self.shift = (whiten @ beta[:-1]).astype(np.float32), beta[-1].astype(np.float32)
+        self.alpha, self.shift = whiten @ beta[:-1], beta[-1]
+        #: The n-grams that any landmark has, and the landmarks' kernels' part of each.
+        self.known = np.flatnonzero(has.any(axis=1))
+        self.landmarks, self.sizes = has[self.known].astype(np.float32), size[marks]
 
-    def _row(self, grams: np.ndarray) -> np.ndarray:
-        out = np.zeros(self.width, dtype=np.float32)
-        at = self.lookup[grams]
-        out[at[at >= 0]] = 1
-        return out
-
-    @staticmethod
-    def _normal(x: np.ndarray) -> np.ndarray:
-        return x / np.sqrt(np.maximum(1, x.sum(axis=1, keepdims=True)))
+    def rows(self) -> int:
+        """Texts that are scored at a time."""
+        return max(1, min(128, CELLS // SPACE))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        letters = np.zeros(len(texts), dtype=bool)
-        present = np.zeros((len(texts), getattr(self, "width", 0) + 1), dtype=np.float32)
+        """Language and score of at most ``rows`` texts."""
+        present = np.zeros((len(texts), SPACE), dtype=np.uint8)
         for row, grams in blocks(texts):
-            letters[row[(grams > 0) & (grams < 64)]] = True
-            at = self.lookup[grams]
-            present[row, at] = 1  # column -1 takes what is no feature
-        if not self.langs:
+            present[row, grams] = 1
+        letters = present[:, 1:64].any(axis=1)
+        if not self.langs or not texts:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        kernel = self._normal(present[:, :-1]) @ self.landmarks
+        size = np.maximum(1, present[:, 1:].sum(axis=1, dtype=np.int64))
+        # The products are whole numbers, which single precision holds exactly.
+        kernel = (present[:, self.known].astype(np.float32) @ self.landmarks) / np.sqrt(size[:, None] * self.sizes[None, :])
         decision = kernel @ self.alpha + self.shift
         best = decision.argmax(axis=1)
         score = np.clip((decision[np.arange(len(texts)), best].astype(np.float64) + 1) / 2, 0, 1)
@@ -157,30 +156,31 @@ def learnable(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & fold.isNotNull() & (fold != HELD_OUT))
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    rows = learnable(docs)
-    counts = rows.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most_rows: int = MOST_ROWS) -> Model:
+    lang = F.col("lang").cast("string")
+    rows = learnable(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
         return Model([], [])
+    per = max(1, min(per_language, most_rows // len(counts)))
     modulus = 1 << 40
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit("language")), F.lit(modulus))
-    kept = None
-    for row in counts:
-        most = modulus if row.n <= per_language else int(modulus * per_language / row.n)
-        take = (F.col("lang") == row.lang) & (draw < most)
-        kept = take if kept is None else kept | take
+    # Twice as many are drawn as are needed, so that chance leaves none short.
+    shares = [(r.lang, modulus if r.n <= 2 * per else int(2 * modulus * per / r.n)) for r in counts]
+    shares = docs.sparkSession.createDataFrame(shares, "lang string, most long")
+    rows = rows.withColumn("h", F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(modulus)))
+    drawn = rows.join(shares, "lang").where("h < most").withColumn("t", F.xxhash64("text"))
+    drawn = drawn.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t", "text"))).where(F.col("k") <= per)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 found = [np.unique(g) for _, g in blocks([batch.column(1)[at].as_py()])]
                 grams = np.unique(np.concatenate(found)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 1], batch.column(2)[at : at + 1], pa.array([grams.tolist()], pa.list_(pa.int32()))], names=["h", "lang", "grams"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[at : at + 1], batch.column(2)[at : at + 1], pa.array([grams.tolist()], pa.list_(pa.int32()))], names=["k", "lang", "grams"])
 
-    plain = rows.where(kept).select(draw.alias("h"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    drawn = plain.mapInArrow(run, "h long, lang string, grams array<int>").limit(2 * per_language * len(counts)).collect()
-    drawn = sorted(drawn, key=lambda r: (r.h, r.lang, r.grams))
-    return Model([np.array(r.grams, dtype=np.int64) for r in drawn], [r.lang for r in drawn])
+    sample = drawn.select("k", "text", "lang").mapInArrow(run, "k int, lang string, grams array<int>").collect()
+    sample = sorted(sample, key=lambda r: (r.k, r.lang))
+    return Model([np.array(r.grams, dtype=np.int64) for r in sample], [r.lang for r in sample])
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
@@ -188,8 +188,8 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for at in range(0, batch.num_rows, model.rows()):
+                part = batch.slice(at, model.rows())
                 langs, scores = model.predict(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
