@@ -129,11 +129,8 @@ ORACLE_SQL: dict[str, str] = {
             SELECT lang, sum(n_words) AS total, sum(c_space) AS s, sum(c_lower) AS l, sum(c_upper) AS u, sum(c_letter) AS o, sum(c_digit) AS d,
                    sum(c_punctuation) AS p, sum(c_symbol) AS y, sum(c_space + c_lower + c_upper + c_letter + c_digit + c_punctuation + c_symbol) AS z
             FROM counted GROUP BY lang
-        ), pooled AS (
-            SELECT sum(total) AS whole, [sum(s), sum(l), sum(u), sum(o), sum(d), sum(p), sum(y)] AS c, sum(z) AS all_chars FROM sums
         ), large AS (
-            SELECT lang, total, [s / z, l / z, u / z, o / z, d / z, p / z, y / z] AS r FROM sums, pooled
-            WHERE lang IS NOT NULL AND total > 0 AND total >= 0.001 * whole
+            SELECT lang, total, [s / z, l / z, u / z, o / z, d / z, p / z, y / z] AS r FROM sums WHERE lang IS NOT NULL AND total >= 2000
         ), frequent AS (
             SELECT lang, word, count(*) AS n, any_value(total) AS total FROM (SELECT lang, unnest(words) AS word FROM counted) JOIN large USING (lang)
             GROUP BY lang, word HAVING count(*) >= 0.004 * any_value(total)
@@ -152,9 +149,8 @@ ORACLE_SQL: dict[str, str] = {
             FROM entries GROUP BY rid
         ), class_entries AS (
             SELECT c.rid, unnest([c_space, c_lower, c_upper, c_letter, c_digit, c_punctuation, c_symbol]) AS n,
-                   unnest(coalesce(l.r, list_transform(g.c, lambda x: x / g.all_chars))) AS q,
-                   c_space + c_lower + c_upper + c_letter + c_digit + c_punctuation + c_symbol AS chars
-            FROM counted c LEFT JOIN large l USING (lang), pooled g
+                   unnest(l.r) AS q, c_space + c_lower + c_upper + c_letter + c_digit + c_punctuation + c_symbol AS chars
+            FROM counted c JOIN large l USING (lang)
         ), class_js AS (
             SELECT rid, any_value(chars) AS chars,
                    sqrt(greatest(0.0, sum(CASE WHEN n > 0 THEN n / chars * log2(n / chars / ((n / chars + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((n / chars + q) / 2)) ELSE 0 END) / 2)) AS cd
