@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -73,6 +74,48 @@ def test_language_odd(spark, odd_docs, no_docs):
     assert language_id.predicted(no_docs, model).count() == 0
 
 
+def test_language_matches_plain_kernels(spark):
+    """Predictions against kernels that are counted text by text, with sets of n-grams."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    model = language_id.train(docs)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    langs = {r.doc_id: r.lang for r in docs.collect()}
+
+    def grams(text):
+        return {int(g) for _, found in language_id.blocks([text]) for g in found} - {0}
+
+    order = lambda i: ((lambda h: (h - 2**64 if h >= 2**63 else h) % (1 << 40))(spark_hash[i]), i)
+    spark_hash = {r.doc_id: r.h % 2**64 for r in docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("long"), F.lit("language")).alias("h")).collect()}
+    learned = [i for i in texts if langs[i] is not None and brute.bucket(i, 4) != 2]
+    ranked = {lang: sorted((i for i in learned if langs[i] == lang), key=order) for lang in sorted({langs[i] for i in learned})}
+    rows = sorted(((k, lang, i) for lang, ids in ranked.items() for k, i in enumerate(ids[: language_id.PER_LANGUAGE])))
+    per = language_id.LANDMARKS_PER_LANGUAGE
+    marks = [i for lang in ranked for i in ranked[lang][:per]]
+    sets = {i: grams(texts[i]) for i in texts}
+    kernel = lambda a, b: len(sets[a] & sets[b]) / np.sqrt(max(1, len(sets[a])) * max(1, len(sets[b])))
+    inner = np.array([[kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(inner)
+    good = values > 1e-6 * values.max()
+    whiten = vectors[:, good] / np.sqrt(values[good])
+    z = np.array([[kernel(i, m) for m in marks] for _, _, i in rows]) @ whiten
+    z = np.concatenate([z, np.ones((len(z), 1))], axis=1)
+    y = np.array([[1.0 if lang == l else -1.0 for l in ranked] for _, lang, _ in rows])
+    beta = np.linalg.solve(z.T @ z + 0.1 * language_id.RIDGE * len(z) * np.eye(z.shape[1]), z.T @ y)
+    for r in language_id.predicted(docs, model).collect():
+        if sets[r.doc_id] & set(range(1, 64)):
+            scores = np.array([kernel(r.doc_id, m) for m in marks]) @ whiten @ beta[:-1] + beta[-1]
+            assert list(ranked)[int(scores.argmax())] == r.lang_pred and abs(np.clip((scores.max() + 1) / 2, 0, 1) - r.score) < 1e-3
+
+
+def test_language_learns_every_language(spark):
+    rng = random.Random(2)
+    rows = [(100 * k + i, "".join(rng.choices(chr(97 + k % 26) + chr(97 + k // 26) + " ", k=60)), f"l{k:03d}") for k in range(260) for i in range(6)]
+    rows += [(7, "zz zz", "l000"), (7, "aa aa", "l000")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, two = language_id.train(docs, 4, 600), language_id.train(docs.repartition(5), 4, 600)
+    assert len(one.langs) == 260 and np.array_equal(one.alpha, two.alpha) and np.array_equal(one.landmarks, two.landmarks)
+
+
 def test_language_grams_of_pieces(monkeypatch):
     text = "Abc dé, fgh! " * 40
     whole = np.unique(np.concatenate([g for _, g in language_id.blocks([text])]))
@@ -183,10 +226,41 @@ def test_urls(spark):
     assert url_filter.judged(df.limit(0)).count() == 0
 
 
-def test_url_model_generalises(spark):
-    hosts = ["http://spam-farm.example.com/en/1", "https://www.cheap-pills.example.org/de/2", "http://casino-win.example.com/", "http://thernd.example.com/en/3", "https://blog.tionsh.example.org/es/4", "http://m.library-hours.example.org/x"]
-    found = url_filter.judged(spark.createDataFrame(list(enumerate(hosts)), "page_id int, url string"), rules=()).orderBy("page_id").collect()
-    assert [r.verdict for r in found] == ["block"] * 3 + ["allow"] * 3
+def test_url_model_on_held_out_hosts(spark):
+    right = total = 0
+    for fold in range(url_filter.FOLDS):
+        rest = url_filter.labelled_urls(spark, fold, held_out=True).withColumn("page_id", F.col("label"))
+        for r in url_filter.judged(rest, url_filter.labelled_urls(spark, fold), rules=()).collect():
+            right, total = right + ((r.verdict == "block") == bool(r.page_id)), total + 1
+    assert total == len(url_filter.PLACES) * len(url_filter.BAD_HOSTS + url_filter.GOOD_HOSTS) and right / total > 0.75, right / total
+
+
+def test_url_model_matches_a_plain_regression(spark):
+    """Scores by the same hashed n-grams and a plain loop in numpy."""
+    import xxhash
+
+    def features(url):
+        host, path = brute.host_path(url)
+        line = f"^{host}${re.sub('[0-9]+', '0', path)}$"
+        at = [xxhash.xxh64_intdigest(line[i : i + n].encode(), 42) for n in url_filter.GRAMS for i in range(len(line) - n + 1)]
+        return [(h - 2**64 if h >= 2**63 else h) % url_filter.BUCKETS for h in at]
+
+    labelled = [(r.url, r.label) for r in url_filter.labelled_urls(spark).collect()]
+    x = np.zeros((len(labelled), url_filter.BUCKETS))
+    for i, (url, _) in enumerate(labelled):
+        np.add.at(x[i], features(url), 1.0)
+    x /= np.sqrt(x.sum(axis=1, keepdims=True))
+    y, w, bias = np.array([label for _, label in labelled], dtype=float), np.zeros(url_filter.BUCKETS), 0.0
+    for _ in range(10 * url_filter.ITERATIONS):
+        error = 1 / (1 + np.exp(-(x @ w + bias))) - y
+        w, bias = w - url_filter.RATE * (x.T @ error / len(y) + url_filter.PENALTY * w), bias - url_filter.RATE * error.mean()
+    urls = ["http://spam-farm.example.com/en/1", "https://city-news.example.org/x?q", "http://" + "long." * 3000 + "example.com/" + "9" * 5000, "nothing", None, "http://spam-farm.example.com/en/1"]
+    got = url_filter.judged(spark.createDataFrame(list(enumerate(urls)), "page_id int, url string"), rules=()).orderBy("page_id").collect()
+    assert len(got) == len(urls)
+    for r, url in zip(got, urls):
+        f = features(url)
+        score = 1 / (1 + np.exp(-(w[f].sum() / np.sqrt(max(1, len(f))) + bias)))
+        assert abs(r.score - score) < 1e-6 and r.verdict == ("block" if score >= 0.5 else "allow")
 
 
 # Mixing
@@ -317,7 +391,7 @@ def test_texts_that_share_an_id(spark):
     assert simhash.text_key("é".encode()) % 2**64 == docs.sparkSession.sql("select xxhash64('é')").first()[0] % 2**64 and docs.sparkSession.sql("select xxhash64(cast(null as string))").first()[0] == simhash.text_key(None)
 
 
-def test_similar_texts_match_brute_force_jaccard(spark, odd_docs, no_docs):
+def test_similar_texts_match_brute_force_jaccard(spark, monkeypatch, odd_docs, no_docs):
     rng = random.Random(6)
     vocabulary = [f"w{i}" for i in range(500)]
     texts = []
@@ -344,6 +418,8 @@ def test_similar_texts_match_brute_force_jaccard(spark, odd_docs, no_docs):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in similar.groups(docs).collect()}
     assert got == dict(enumerate(parent)) and 20 < len(set(parent)) < 190
+    monkeypatch.setattr(similar, "BUCKET", 3)
+    assert {r.doc_id: r.component_id for r in similar.groups(docs).collect()} == got
     assert {r.doc_id for r in similar.deduplicated(docs).collect()} == set(parent)
     by_bits = {r.doc_id for r in simhash.deduplicated(docs).collect()}
     assert by_bits - set(parent)
