@@ -165,10 +165,11 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most_rows: int = MO
     per = max(1, min(per_language, most_rows // len(counts)))
     modulus = 1 << 40
     # Twice as many are drawn as are needed, so that chance leaves none short.
-    shares = [(r.lang, modulus if r.n <= 2 * per else int(2 * modulus * per / r.n)) for r in counts]
-    shares = docs.sparkSession.createDataFrame(shares, "lang string, most long")
+    shares = {r.lang: modulus if r.n <= 2 * per else int(2 * modulus * per / r.n) for r in counts}
+    # A literal, one entry a language, so that rows are drawn while they are scanned.
+    most = F.element_at(F.create_map(*[F.lit(x) for share in shares.items() for x in share]), F.col("lang"))
     rows = rows.withColumn("h", F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(modulus)))
-    drawn = rows.join(shares, "lang").where("h < most").withColumn("t", F.xxhash64("text"))
+    drawn = rows.where(F.col("h") < most).withColumn("t", F.xxhash64("text"))
     drawn = drawn.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t", "text"))).where(F.col("k") <= per)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
