@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import chat_format, decontam, language_id, mixing, quality, simhash, token_binary, toxicity, url_filter, warc
+from folioflow.llm import chat_format, decontam, divergence, language_id, mixing, quality, simhash, token_binary, toxicity, url_filter, warc
 from folioflow.llm.common import id_bucket, scratch, table
 
 
@@ -86,6 +86,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontam": op9_decontam,
     "op10_warc": op10_warc,
+    "op12_divergence": op12_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -224,4 +229,37 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN page_id <> original THEN original END AS refers_to
         FROM digests JOIN firsts USING (sha)
     """,
+    "op12_divergence": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+        ), words AS (
+            SELECT rid, lang, source, term, count(*) AS n FROM (SELECT rid, lang, source, unnest(terms) AS term FROM docs) GROUP BY rid, lang, source, term
+        ), vocabulary AS (
+            SELECT lang, term, sum(n)::HUGEINT AS lang_count FROM words GROUP BY lang, term HAVING count(*) >= 30
+        ), sums AS (
+            SELECT lang, source, term, sum(n)::HUGEINT AS c FROM words JOIN vocabulary USING (lang, term) GROUP BY lang, source, term
+        ), kept AS (
+            SELECT lang, count(*)::HUGEINT AS v, sum(lang_count)::HUGEINT AS lang_n FROM vocabulary GROUP BY lang
+        ), totals AS (
+            SELECT lang, source, sum(c)::HUGEINT AS n FROM sums GROUP BY lang, source
+        ), grp AS (
+            SELECT g.lang, g.source, coalesce(t.n, 0)::HUGEINT AS n, coalesce(k.v, 0)::HUGEINT AS v, coalesce(k.lang_n, 0)::HUGEINT AS lang_n
+            FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN totals t USING (lang, source) LEFT JOIN kept k USING (lang)
+        ), grid AS (
+            SELECT g.lang, g.source, w.term, coalesce(s.c, 0)::HUGEINT AS c, 1 + (1000000000 * (coalesce(s.c, 0)::HUGEINT + 5)) // (g.n + 5 * g.v) AS p,
+                   1 + (1000000000 * (w.lang_count + 5)) // (g.lang_n + 5 * g.v) AS q
+            FROM grp g JOIN vocabulary w USING (lang) LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.term = w.term
+        ), apart AS (
+            SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(d.value, 0)::BIGINT AS value
+            FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN apart d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+        ), listed AS (
+            SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM grid WHERE c > 0 AND p > q
+        ), every AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM listed)
+        )
+        SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM every WHERE part = 'pair' OR rank <= 50
+    """,
 }
