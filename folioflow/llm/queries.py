@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import chat_format, decontam, divergence, language_id, mixing, quality, simhash, token_binary, toxicity, url_filter, warc
+from folioflow.llm import chat_format, decontam, divergence, language_id, mixing, quality, simhash, token_binary, toxicity, url_filter, vector_codes, warc
 from folioflow.llm.common import id_bucket, scratch, table
 
 
@@ -86,6 +86,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audited(table(spark, sf_dir, "documents"))
 
@@ -101,10 +105,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontam": op9_decontam,
     "op10_warc": op10_warc,
+    "op11_vector_codes": op11_vector_codes,
     "op12_divergence": op12_divergence,
 }
 
+def _vector_codes_sql() -> str:
+    """Two rounds and a last assignment, each against every entry."""
+    assigned = """, a{k} AS MATERIALIZED (
+            SELECT rid, p, part, any_value(x) AS x, min(d * 64 + e) % 64 AS e, min(d) AS d
+            FROM (SELECT t.rid, t.p, t.x, t.part, c.e, list_sum(list_transform(range(1, len(t.x) + 1), lambda i: (t.x[i] - c.x[i]) * (t.x[i] - c.x[i])))::BIGINT AS d FROM parts t JOIN c{k} c USING (p))
+            GROUP BY rid, p, part
+        )"""
+    moved = """, s{k} AS (
+            SELECT p, e, i, sum(y)::BIGINT AS s, count(*) AS n FROM (SELECT p, e, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{k}) GROUP BY p, e, i
+        ), c{n} AS MATERIALIZED (
+            SELECT c.p, c.e, coalesce(m.x, c.x) AS x
+            FROM c{k} c LEFT JOIN (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM s{k} GROUP BY p, e) m ON m.p = c.p AND m.e = c.e
+        )"""
+    return (
+        """
+        WITH ok AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(embedding) % 16 = 0 AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+        ), kept AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS rid, * FROM ok WHERE len(v) = (SELECT len(v) FROM ok ORDER BY vec_id NULLS LAST, v LIMIT 1)
+        ), parts AS MATERIALIZED (
+            SELECT rid, p, 0 AS part, v[(p * len(v) // 16 + 1)::BIGINT : ((p + 1) * len(v) // 16)::BIGINT] AS x FROM kept, range(16) r(p)
+        ), c0 AS MATERIALIZED (SELECT p, rid - 1 AS e, x FROM parts WHERE rid <= 64)"""
+        + "".join(assigned.format(k=k) + (moved.format(k=k, n=k + 1) if k < 2 else "") for k in range(3))
+        + """, books AS (
+            SELECT sha256(string_agg(list_aggregate(x, 'string_agg', ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2
+        ), coded AS (
+            SELECT rid, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY rid
+        )
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN kept USING (rid), books
+    """
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_vector_codes": _vector_codes_sql(),
     "op4_quality": r"""
         WITH t0 AS (
             SELECT doc_id, lang, coalesce(text, '') AS text FROM documents
