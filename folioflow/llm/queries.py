@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import chat_format, decontam, divergence, language_id, mixing, quality, simhash, token_binary, toxicity, url_filter, vector_codes, warc
+from folioflow.llm import chat_format, decontam, divergence, language_id, language_model, mixing, quality, simhash, token_binary, toxicity, url_filter, vector_codes, warc
 from folioflow.llm.common import id_bucket, scratch, table
 
 
@@ -94,6 +94,10 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audited(table(spark, sf_dir, "documents"))
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_language_id": op2_language_id,
@@ -107,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_vector_codes": op11_vector_codes,
     "op12_divergence": op12_divergence,
+    "op13_language_model": op13_language_model,
 }
 
 def _vector_codes_sql() -> str:

@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from folioflow.llm.common import written
 
@@ -228,7 +229,7 @@ def trained(v: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
 def encoded(v: DataFrame, codebooks: np.ndarray) -> DataFrame:
     """(vec_id, label, code, error) of the kept vectors."""
     parts, _, width = codebooks.shape
-    schema = v.select("vec_id", "label").schema.add("code", "string").add("error", "long")
+    schema = StructType([*v.select("vec_id", "label").schema.fields, StructField("code", StringType()), StructField("error", LongType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, points in _blocks(batches, parts * width):
