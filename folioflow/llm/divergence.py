@@ -15,7 +15,7 @@ through the driver and are sent to the tasks, so their size is kept in bounds: w
 corpus has more than ``MOST_TERMS`` terms, they are dealt by hash to several vectorizers of
 about that size, each over all documents. The result is the same for any number of them.
 
-Group sums are those of the sparse vectors' entries, added up on the map side. Pairs of
+Group sums are those of the sparse vectors' entries, added up in each batch of documents before they are dealt out. Pairs of
 sources meet in blocks of terms and sources: a task holds the present counts of at most
 about 2 * ``SOURCES`` sources and ``TERMS`` terms, puts all of them against each other in
 numpy, and gives out one sum a pair. Terms that neither block holds differ by the two
@@ -30,8 +30,11 @@ Exact for groups of fewer than 9 * 10^15 occurrences.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,7 +45,9 @@ from folioflow.llm.common import scratch, written
 GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_DOCS = 30
-SCALE_STEPS = (1000, 1000, 1000)
+SCALE, SCALE_STEPS = 1_000_000_000, (1000, 1000, 1000)
+#: Smaller counts can be multiplied by SCALE in 64 bits.
+FITS = 9_000_000_000
 PRIOR = 5
 MOST_RANKS = 50
 #: Terms (of any number of documents) that one vectorizer is given.
@@ -68,6 +73,28 @@ def _documents(docs: DataFrame) -> DataFrame:
     return d.select("lang", "source", F.transform("terms", lambda t: F.concat(t, F.lit(" "), F.col("lang"))).alias("words"))
 
 
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The entries of sparse vectors, added up by group within each batch."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lang, source = batch.column("lang").dictionary_encode(), batch.column("source").dictionary_encode()
+        many = len(source.dictionary)
+        group = lang.indices.to_numpy().astype(np.int64) * many + source.indices.to_numpy()
+        keys = np.repeat(group, pa.compute.list_value_length(batch.column("indices")).to_numpy()) << 32 | batch.column("indices").flatten().to_numpy()
+        if not len(keys):
+            continue
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        n = np.add.reduceat(batch.column("values").flatten().to_numpy()[order].astype(np.int64), first)
+        keys = keys[first]
+        group = keys >> 32
+        yield pa.RecordBatch.from_arrays(
+            [lang.dictionary.take(pa.array(group // many)), source.dictionary.take(pa.array(group % many)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], ["lang", "source", "i", "n"]
+        )
+
+
 def group_sums(documents: DataFrame, least_docs: int = LEAST_DOCS, most_terms: int = MOST_TERMS) -> tuple[DataFrame, DataFrame]:
     """The vocabularies (lang, id, term) and the sums (lang, source, id, count) of all documents' vectors."""
     spark = documents.sparkSession
@@ -87,25 +114,24 @@ def group_sums(documents: DataFrame, least_docs: int = LEAST_DOCS, most_terms: i
         words = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("i", "word")).where(F.col("word") != NO_TERM)
         vocabularies.append(words.select(F.substring_index("word", " ", 1).alias("term"), F.expr("substring(word, instr(word, ' ') + 1)").alias("lang"), number.alias("id")))
         vectors = model.transform(own).select("lang", "source", F.unwrap_udt("vector").alias("v"))
-        entries = vectors.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-        entries = entries.select("lang", "source", F.col("e.indices").alias("i"), F.col("e.values").cast("long").alias("n"))
+        entries = vectors.select("lang", "source", "v.indices", "v.values").mapInArrow(_added, "lang string, source string, i int, n long")
         sums.append(entries.groupBy("lang", "source", "i").agg(F.sum("n").alias("count")).select("lang", "source", number.alias("id"), "count"))
     union = lambda dfs: dfs[0] if len(dfs) == 1 else union([dfs[0].unionByName(dfs[1]), *dfs[2:]])
     return written(union(vocabularies), "vocabularies"), written(union(sums), "group-sums")
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(10^9 * (count + 5) / (total + 5 * kept)), by long division in steps that stay in 64 bits."""
+    """1 + floor(10^9 * (count + 5) / (total + 5 * kept)); by long division in steps where the product has over 64 bits."""
     divisor = total + PRIOR * kept
-    quotient, rest = F.lit(0).cast("long"), count + PRIOR
-    whole = F.call_function("div", rest, divisor)
-    rest = rest - whole * divisor
-    quotient = whole
+    div = lambda x: F.call_function("div", x, divisor)
+    rest = count + PRIOR
+    quotient = div(rest)
+    rest = rest - quotient * divisor
     for step in SCALE_STEPS:
-        digits = F.call_function("div", rest * step, divisor)
+        digits = div(rest * step)
         rest = rest * step - digits * divisor
         quotient = quotient * step + digits
-    return 1 + quotient
+    return 1 + F.when(count < FITS, div((count + PRIOR) * SCALE)).otherwise(quotient)
 
 
 def groups(documents: DataFrame, vocabulary: DataFrame, sums: DataFrame) -> DataFrame:
