@@ -52,7 +52,9 @@ from folioflow.llm.common import id_bucket, scratch, written
 FOLDS, HELD_OUT = 5, 1
 CLASSES, SLOTS, ROWS = 32, 64, 2**14
 LOOKUP, LOOKUP_CHARS = 2**18, 64
-ROUNDS, BATCH, RATE = 3, 4096, 0.3
+ROUNDS, BATCH, RATE = 3, 2**16, 1.5
+#: Weights stay within this, so that three of them have an exponential in 32 bits.
+LARGEST = 20.0
 #: Bytes of text that are split at a time, and tokens that are scored at a time.
 PIECE, SCORED = 2**24, 2**15
 #: Weights travel in steps of 2^-16.
@@ -260,15 +262,20 @@ def _with_class(features: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return _rows(_mixed(features ^ (classes.astype(np.uint64) << np.uint64(48)), 7))
 
 
-def _softmax(weights: np.ndarray, rows: np.ndarray, prior: np.ndarray) -> np.ndarray:
+def _exponents(weights: np.ndarray, rows: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exponents, their sums) of a softmax by token; weights are kept so small that none overflows."""
     x = weights[rows[0]]
     for r in rows[1:]:
         x += weights[r]
     x += prior
-    x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
-    return x
+    return x, x.sum(1)
+
+
+def _classes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The class of every token, and which tokens have a word of a class of its own."""
+    codes = codes.astype(np.int64)
+    return np.minimum(codes // SLOTS, CLASSES - 1), np.flatnonzero(codes < MODELLED)
 
 
 def token_scores(model: Model, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -276,14 +283,13 @@ def token_scores(model: Model, codes: np.ndarray, starts: np.ndarray) -> np.ndar
     out = np.empty(len(codes))
     features = history(codes, starts)
     for at in range(0, len(codes), SCORED):
-        f, c = features[:, at : at + SCORED], codes[at : at + SCORED].astype(np.int64)
-        own = np.flatnonzero(c < MODELLED)
-        cls = np.where(c < MODELLED, c // SLOTS, CLASSES - 1)
-        p = _softmax(model.class_weights, _rows(f), model.classes)
-        score = np.log(p[np.arange(len(c)), cls].astype(np.float64) + 1e-37)
-        q = _softmax(model.word_weights, _with_class(f[:, own], cls[own]), model.slots[cls[own]])
-        score[own] += np.log(q[np.arange(len(own)), c[own] % SLOTS].astype(np.float64) + 1e-37)
-        out[at : at + SCORED] = score
+        f, c = features[:, at : at + SCORED], codes[at : at + SCORED]
+        cls, own = _classes(c)
+        x, total = _exponents(model.class_weights, _rows(f), model.classes)
+        share = (x[np.arange(len(c)), cls] / total).astype(np.float64)
+        x, total = _exponents(model.word_weights, _with_class(f[:, own], cls[own]), model.slots[cls[own]])
+        share[own] *= x[np.arange(len(own)), c[own] % SLOTS] / total
+        out[at : at + SCORED] = np.log(share + 1e-300)
     return out
 
 
@@ -292,37 +298,33 @@ class Learner:
 
     def __init__(self, model: Model) -> None:
         self.model = Model(model.classes, model.slots, model.class_weights.copy(), model.word_weights.copy())
-        self.squares = [np.zeros(ROWS, np.float32), np.zeros(ROWS, np.float32)]
+        self.squares = [np.zeros(ROWS), np.zeros(ROWS)]
         self.met = [np.zeros(ROWS, np.int64), np.zeros(ROWS, np.int64)]
 
-    def _step(self, table: int, weights: np.ndarray, rows: np.ndarray, wrong: np.ndarray) -> None:
-        """``wrong`` is the gradient by token; each of the token's rows takes it."""
-        flat = rows.ravel()
-        order = np.argsort(flat, kind="stable")
-        sorted_rows = flat[order]
-        first = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
-        touched = sorted_rows[first]
-        gradient = np.add.reduceat(wrong[order % wrong.shape[0]], first)
-        self.squares[table][touched] += np.einsum("ij,ij->i", gradient, gradient)
-        weights[touched] -= gradient * (RATE / np.sqrt(self.squares[table][touched] + 1e-6))[:, None]
-        self.met[table][touched] += np.diff(np.append(first, len(flat)))
+    def _step(self, table: int, weights: np.ndarray, rows: np.ndarray, prior: np.ndarray, target: np.ndarray) -> None:
+        """The gradient of all tokens of a batch, added up by row of the table; rows move by AdaGrad."""
+        x, total = _exponents(weights, rows, prior)
+        x /= total[:, None]
+        x[np.arange(len(x)), target] -= 1
+        wrong = np.ascontiguousarray(x.T, np.float64)
+        gradient = np.zeros((len(wrong), ROWS))
+        for r in rows:
+            for column, sums in zip(wrong, gradient, strict=True):
+                sums += np.bincount(r, column, ROWS)
+            self.met[table] += np.bincount(r, minlength=ROWS)
+        self.squares[table] += np.einsum("ij,ij->j", gradient, gradient)
+        gradient *= RATE / np.sqrt(self.squares[table] + 1e-6)
+        weights -= gradient.T
+        np.clip(weights, -LARGEST, LARGEST, out=weights)
 
     def learn(self, codes: np.ndarray, starts: np.ndarray) -> None:
-        features = history(codes, starts)
-        m = self.model
+        features, m = history(codes, starts), self.model
         for at in range(0, len(codes), BATCH):
-            f, c = features[:, at : at + BATCH], codes[at : at + BATCH].astype(np.int64)
-            cls = np.where(c < MODELLED, c // SLOTS, CLASSES - 1)
-            rows = _rows(f)
-            p = _softmax(m.class_weights, rows, m.classes)
-            p[np.arange(len(c)), cls] -= 1
-            self._step(0, m.class_weights, rows, p)
-            own = np.flatnonzero(c < MODELLED)
+            f, c = features[:, at : at + BATCH], codes[at : at + BATCH]
+            cls, own = _classes(c)
+            self._step(0, m.class_weights, _rows(f), m.classes, cls)
             if len(own):
-                rows = _with_class(f[:, own], cls[own])
-                q = _softmax(m.word_weights, rows, m.slots[cls[own]])
-                q[np.arange(len(own)), c[own] % SLOTS] -= 1
-                self._step(1, m.word_weights, rows, q)
+                self._step(1, m.word_weights, _with_class(f[:, own], cls[own]), m.slots[cls[own]], c[own] % SLOTS)
 
 
 def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
