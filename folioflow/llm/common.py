@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +37,26 @@ def word_count(text: Column) -> Column:
 def id_bucket(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; null ids have no bucket."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)
+
+
+#: Bytes of text that tasks split at a time.
+PIECE = 2**24
+
+
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about PIECE bytes of its column ``text``, one row at least."""
+    lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
+    at = 0
+    while at < batch.num_rows:
+        n = max(1, int(np.searchsorted(np.cumsum(lengths[at:]), PIECE, side="right")))
+        yield batch.slice(at, n)
+        at += n
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another, and how many each text has; null texts have none."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    flat, ends = lists.flatten(), np.asarray(lists.offsets)
+    full = pc.greater(pc.binary_length(flat), 0)
+    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    return flat.filter(full), np.diff(before[ends - ends[0]])

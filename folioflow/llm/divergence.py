@@ -1,6 +1,6 @@
 """Source divergence audit: how far the sources of a language lie apart, and by which terms.
 
-Terms are runs of ``TERM`` characters, of which only A to Z are lower-cased. Each lang keeps
+Terms are runs of letters and of characters beyond ASCII; only A to Z are lower-cased. Each lang keeps
 the terms that ``LEAST_DOCS`` or more of its documents hold. A group (lang, source) gives a
 kept term of ``count`` occurrences the share ``p = 1 + floor(SCALE * (count + 5) / (N + 5 * V))``,
 with N the occurrences of kept terms in the group and V the lang's number of kept terms.
@@ -34,16 +34,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioflow.llm.common import scratch, written
+from folioflow.llm.common import pieces, scratch, split_words, written
 
-#: What lies between terms.
-GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What a text's bytes become: ASCII ones other than letters blanks, A to Z small, all others what they are.
+BYTES = bytes(x if x > 0x7F or chr(x).islower() else ord(chr(x).lower()) if chr(x).isalpha() else 0x20 for x in range(256))
 LEAST_DOCS = 30
 SCALE, SCALE_STEPS = 1_000_000_000, (1000, 1000, 1000)
 #: Smaller counts can be multiplied by SCALE in 64 bits.
@@ -60,17 +59,28 @@ NO_TERM = " "
 PAIRS = "lang string, source string, item string, part_value long"
 
 
-def terms(text: Column) -> Column:
-    """The terms of a text in order."""
-    lowered = F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER)
-    return F.array_remove(F.split(lowered, GAP), "")
+def terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The terms of all texts one after another, and how many each text has. ASCII bytes never are a part of other characters."""
+    texts = pc.fill_null(texts, "")
+    data = texts.buffers()[2]
+    moved = pa.Array.from_buffers(pa.string(), len(texts), [None, texts.buffers()[1], pa.py_buffer(data.to_pybytes().translate(BYTES) if data else b"")], 0, texts.offset)
+    return split_words(moved)
 
 
 def _documents(docs: DataFrame) -> DataFrame:
     """(lang, source, words): every document's terms with the lang behind them. No term holds a blank."""
-    none = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    d = docs.select(none("lang"), none("source"), terms(F.col("text")).alias("terms"))
-    return d.select("lang", "source", F.transform("terms", lambda t: F.concat(t, F.lit(" "), F.col("lang"))).alias("words"))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch):
+                flat, many = terms(piece.column("text"))
+                lang = piece.column("lang").take(pa.array(np.repeat(np.arange(len(many)), many)))
+                words = pc.binary_join_element_wise(flat, lang, " ")
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32)), words)
+                yield pa.RecordBatch.from_arrays([piece.column("lang"), piece.column("source"), lists], ["lang", "source", "words"])
+
+    full = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    return docs.select(full("lang"), full("source"), full("text")).mapInArrow(task, "lang string, source string, words array<string>")
 
 
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +91,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang, source = batch.column("lang").dictionary_encode(), batch.column("source").dictionary_encode()
         many = len(source.dictionary)
         group = lang.indices.to_numpy().astype(np.int64) * many + source.indices.to_numpy()
-        keys = np.repeat(group, pa.compute.list_value_length(batch.column("indices")).to_numpy()) << 32 | batch.column("indices").flatten().to_numpy()
+        keys = np.repeat(group, pc.list_value_length(batch.column("indices")).to_numpy()) << 32 | batch.column("indices").flatten().to_numpy()
         if not len(keys):
             continue
         order = np.argsort(keys)
@@ -166,7 +176,7 @@ def _met(table: pa.Table) -> pa.Table:
     names, zero = own.column("source").to_pylist(), own.column("zero").to_numpy()
     lang, a, b = (own.column(c)[0].as_py() for c in ("lang", "a", "b"))
     part = own.column("block").to_numpy()
-    rest = table.filter(pa.compute.invert(first))
+    rest = table.filter(pc.invert(first))
     number = {s: i for i, s in enumerate(names)}
     at = np.fromiter((number[s] for s in rest.column("source").to_pylist()), np.int64, rest.num_rows)
     ids, column = np.unique(rest.column("id").to_numpy(), return_inverse=True)

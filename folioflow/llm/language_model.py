@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from folioflow.llm.common import id_bucket, scratch, written
+from folioflow.llm.common import id_bucket, pieces, scratch, split_words, written
 
 FOLDS, HELD_OUT = 5, 1
 CLASSES, SLOTS, ROWS = 32, 64, 2**14
@@ -55,8 +55,8 @@ LOOKUP, LOOKUP_CHARS = 2**18, 64
 ROUNDS, BATCH, RATE = 3, 2**16, 1.5
 #: Weights stay within this, so that three of them have an exponential in 32 bits.
 LARGEST = 20.0
-#: Bytes of text that are split at a time, and tokens that are scored at a time.
-PIECE, SCORED = 2**24, 2**15
+#: Tokens that are scored at a time.
+SCORED = 2**15
 #: Weights travel in steps of 2^-16.
 FIXED = 2.0**16
 #: The end of a text among the words; no word is empty.
@@ -68,22 +68,8 @@ START = 2**16 - 1
 
 
 def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The words of all texts one after another, and how many each text has."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-    flat, ends = lists.flatten(), np.asarray(lists.offsets)
-    full = pc.greater(pc.binary_length(flat), 0)
-    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
-    return flat.filter(full), np.diff(before[ends - ends[0]])
-
-
-def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about PIECE bytes of text, one row at least."""
-    lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
-    at = 0
-    while at < batch.num_rows:
-        n = max(1, int(np.searchsorted(np.cumsum(lengths[at:]), PIECE, side="right")))
-        yield batch.slice(at, n)
-        at += n
+    """The words of all texts one after another, A to Z lower-cased, and how many each text has."""
+    return split_words(pc.ascii_lower(texts))
 
 
 def learned(docs: DataFrame) -> DataFrame:
