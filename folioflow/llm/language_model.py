@@ -52,7 +52,9 @@ from folioflow.llm.common import id_bucket, pieces, scratch, split_words, writte
 FOLDS, HELD_OUT = 5, 1
 CLASSES, SLOTS, ROWS = 32, 64, 2**14
 LOOKUP, LOOKUP_CHARS = 2**18, 64
-ROUNDS, BATCH, RATE = 3, 2**16, 1.5
+ROUNDS, BATCH, RATE = 3, 2**16, 1.0
+#: Squared gradients that every row begins with, so that a row that is met a few times moves a little.
+BEGUN = 64.0
 #: Weights stay within this, so that three of them have an exponential in 32 bits.
 LARGEST = 20.0
 #: Tokens that are scored at a time.
@@ -284,7 +286,7 @@ class Learner:
 
     def __init__(self, model: Model) -> None:
         self.model = Model(model.classes, model.slots, model.class_weights.copy(), model.word_weights.copy())
-        self.squares = [np.zeros(ROWS), np.zeros(ROWS)]
+        self.squares = [np.full(ROWS, BEGUN), np.full(ROWS, BEGUN)]
         self.met = [np.zeros(ROWS, np.int64), np.zeros(ROWS, np.int64)]
 
     def _step(self, table: int, weights: np.ndarray, rows: np.ndarray, prior: np.ndarray, target: np.ndarray) -> None:
@@ -299,7 +301,7 @@ class Learner:
                 sums += np.bincount(r, column, ROWS)
             self.met[table] += np.bincount(r, minlength=ROWS)
         self.squares[table] += np.einsum("ij,ij->j", gradient, gradient)
-        gradient *= RATE / np.sqrt(self.squares[table] + 1e-6)
+        gradient *= RATE / np.sqrt(self.squares[table])
         weights -= gradient.T
         np.clip(weights, -LARGEST, LARGEST, out=weights)
 
