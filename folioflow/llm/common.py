@@ -40,7 +40,7 @@ def id_bucket(doc_id: Column, modulus: int) -> Column:
 
 
 #: Bytes of text that tasks split at a time.
-PIECE = 2**24
+PIECE = 2**22
 
 
 def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
