@@ -61,43 +61,66 @@ def runs(ordered: DataFrame) -> DataFrame:
     return ordered.withColumn("begins", F.when(joins, 0).otherwise(1)).withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("begins")
 
 
-def packs(members: Column, limit: int) -> Column:
-    """First ``ord`` of every pack of an array of struct(ord, tokens) in order.
+#: Blocks that one inner fold numbers.
+STRETCH = 256
 
-    A pack takes blocks while their tokens sum to at most ``limit``; a block that is
-    larger stands alone. Only the starts are kept, not the blocks.
+
+def pack_numbers(tokens: Column, limit: Column | int) -> Column:
+    """The number, from 1, of every block's pack, from an array of their tokens in order.
+
+    A pack takes blocks while their tokens sum to at most ``limit``; a block that is larger
+    stands alone. As a fold copies what it has gathered at each step, stretches of blocks are
+    folded by themselves, from the sum and the pack that the one before has ended with.
     """
-    zero = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("starts"))
 
-    def step(acc: Column, x: Column) -> Column:
-        new = (F.size(acc["starts"]) == 0) | (acc["sum"] + x["tokens"] > limit)
-        return F.struct(
-            F.when(new, x["tokens"]).otherwise(acc["sum"] + x["tokens"]).alias("sum"), F.when(new, F.array_append(acc["starts"], x["ord"])).otherwise(acc["starts"]).alias("starts")
-        )
+    def block(acc: Column, x: Column) -> Column:
+        new = (acc["pack"] == 0) | (acc["sum"] + x > limit)
+        pack = acc["pack"] + F.when(new, 1).otherwise(0)
+        return F.struct(F.when(new, x).otherwise(acc["sum"] + x).cast("long").alias("sum"), pack.alias("pack"), F.array_append(acc["own"], pack).alias("own"))
+
+    def stretch(acc: Column, k: Column) -> Column:
+        begin = F.struct(acc["sum"].alias("sum"), acc["pack"].alias("pack"), F.array().cast("array<int>").alias("own"))
+        folded = F.aggregate(F.slice(tokens, k * STRETCH + 1, F.lit(STRETCH)), begin, block)
+        joined = lambda f: F.struct(f["sum"].alias("sum"), f["pack"].alias("pack"), F.array_append(acc["all"], f["own"]).alias("all"))
+        # Through an array, so that the stretch is folded once.
+        return F.get(F.transform(F.array(folded), joined), F.lit(0))
+
+    zero = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("pack"), F.array().cast("array<array<int>>").alias("all"))
+    stretches = F.sequence(F.lit(0), F.ceil(F.size(tokens) / STRETCH).cast("int") - 1, F.lit(1))
+    return F.aggregate(stretches, zero, stretch, lambda acc: F.flatten(acc["all"]))
 
-    return F.aggregate(members, zero, step)["starts"]
+
+def packs(members: Column, limit: Column | int) -> Column:
+    """First ``ord`` of every pack of an array of struct(ord, tokens) in order."""
+    numbers = pack_numbers(F.transform(members, lambda m: m["tokens"]), limit)
+    first = lambda n: F.filter(members, lambda m, i: (i == 0) | (F.get(n, i) != F.get(n, i - 1)))
+    return F.transform(F.flatten(F.transform(F.array(numbers), first)), lambda m: m["ord"])
 
 
 def packed(run_rows: DataFrame, rules: ChunkRules = ChunkRules()) -> DataFrame:
-    """Packs of text and numbered runs: doc_id, run, role, part, parts, first ord, content, pages, tokens."""
+    """Packs of text and numbered runs: doc_id, run, role, part, parts, first ord, content, pages, tokens.
+
+    One fold numbers the packs of a run; its blocks then go on by themselves and gather by pack,
+    in the task that has the run, so the work is in proportion to its length.
+    """
     rows = run_rows.where(F.col("role").isin("text", "numbered")).withColumn("tokens", count_tokens(F.col("text")))
     run = rows.groupBy("doc_id", "run").agg(
         F.first("role").alias("role"), F.first("section").alias("section"), F.first("section_ord").alias("section_ord"), F.array_sort(F.collect_list(F.struct("ord", "tokens", "text", "page_number", "box"))).alias("blocks")
     )
-    starts = F.when(F.col("role") == "text", packs(F.col("blocks"), rules.chunk_tokens)).otherwise(packs(F.col("blocks"), rules.list_tokens))
-    run = run.withColumn("starts", starts).withColumn("parts", F.size("starts"))
-    pack = run.select("*", F.posexplode("starts").alias("i", "start"))
-    upto = F.coalesce(F.get("starts", F.col("i") + 1), F.lit(2**31 - 1))
-    own = F.filter("blocks", lambda b: (b["ord"] >= F.col("start")) & (b["ord"] < upto))
-    return pack.withColumn("own", own).select(
+    limit = F.when(F.col("role") == "text", rules.chunk_tokens).otherwise(rules.list_tokens)
+    run = run.withColumn("packs", pack_numbers(F.transform("blocks", lambda b: b["tokens"]), limit))
+    run = run.withColumn("parts", F.element_at("packs", -1))
+    block = run.select("doc_id", "run", "role", "section", "section_ord", "parts", F.explode(F.arrays_zip("blocks", "packs")).alias("b"))
+    pack = block.groupBy("doc_id", "run", F.col("b.packs").alias("part")).agg(*[F.first(c).alias(c) for c in ("role", "section", "section_ord", "parts")], F.array_sort(F.collect_list("b.blocks")).alias("own"))
+    return pack.select(
         "doc_id",
         "run",
         "role",
         "section",
         "section_ord",
-        (F.col("i") + 1).alias("part"),
+        "part",
         "parts",
-        F.col("start").alias("ord"),
+        F.get("own", F.lit(0))["ord"].alias("ord"),
         F.array_join(F.transform("own", lambda b: b["text"]), "\n").alias("content"),
         F.array_sort(F.array_distinct(F.transform("own", lambda b: b["page_number"]))).alias("pages"),
         F.size("own").alias("n_blocks"),

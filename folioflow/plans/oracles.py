@@ -274,6 +274,15 @@ DOMAINS = """domain_tokens AS (SELECT doc_id, regexp_extract_all(lower(coalesce(
                      sum(len(list_filter(t, lambda x: x IN ('architecture', 'api', 'module', 'protocol')))) AS e, sum(len(list_filter(t, lambda x: x IN ('diagnosis', 'patient', 'treatment', 'clinical')))) AS m FROM domain_tokens GROUP BY doc_id),
         domains AS (SELECT doc_id, CASE WHEN greatest(f, l, e, m) = 0 THEN 'general' WHEN f = greatest(f, l, e, m) THEN 'financial' WHEN l = greatest(f, l, e, m) THEN 'legal' WHEN e = greatest(f, l, e, m) THEN 'technical' ELSE 'medical' END AS domain FROM domain_counts)"""
 
+#: Blocks of web pages with their places: page_id, pos, block_type, x.
+HTML = r"""c AS (SELECT page_id, regexp_replace(coalesce(html, ''), '<(?:style|script)[^>]*>(?:.|\n)*?</(?:style|script)>', '', 'g') AS h FROM pages),
+        found AS (SELECT page_id, """ + " || ".join(
+    f"list_transform(regexp_extract_all(h, '<{tag}(?: [^>]*)?>([^<]*(?:</?(?:a|b|br|em|i)(?: [^>]*)?>[^<]*)*)', 1), lambda t: {{'block_type': '{kind}', 'raw': t}})"
+    for tag, kind in (("title", "title"), ("h1", "heading"), ("li", "list_item"), ("p", "paragraph"))
+) + r""" AS list FROM c),
+        raws AS (SELECT page_id, unnest(list, recursive := true), generate_subscripts(list, 1) - 1 AS pos FROM found),
+        h AS (SELECT * FROM (SELECT page_id, pos, block_type, trim(replace(replace(replace(replace(replace(regexp_replace(raw, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), ' ') AS x FROM raws) WHERE length(x) > 0)"""
+
 ORACLE_SQL: dict[str, str] = {
     "token_count": rf"WITH {LINES} SELECT doc_id, count(*) AS n_blocks, max(page_number) AS n_pages, sum({TOKENS.format('text')})::BIGINT AS n_tokens FROM lines GROUP BY doc_id",
     "word_blocks": rf"""WITH {LINES}, w0 AS (SELECT doc_id, page_number, ord, list_filter(regexp_split_to_array(text, '\s+'), lambda w: length(w) > 0) AS w FROM lines),
@@ -384,6 +393,18 @@ ORACLE_SQL: dict[str, str] = {
             UNION ALL SELECT page_id, 'paragraph', unnest(regexp_extract_all(h, '<p(?: [^>]*)?>([^<]*(?:</?(?:a|b|br|em|i)(?: [^>]*)?>[^<]*)*)', 1)) FROM c
         ), t AS (SELECT page_id, block_type, trim(replace(replace(replace(replace(replace(regexp_replace(raw, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), ' ') AS x FROM b)
         SELECT page_id, block_type, count(*) AS n, sum(length(x))::BIGINT AS chars FROM t WHERE length(x) > 0 GROUP BY page_id, block_type""",
+    "provider_payload": rf"""WITH {HTML}, d AS (SELECT *, page_id % 3 AS kind, pos // 10 + 1 AS page FROM h WHERE page_id % 11 <> 0 AND NOT (page_id % 3 = 1 AND pos % 3 = 0)),
+        n AS (SELECT page_id, pos, row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS idx FROM h)
+        SELECT page_id, idx::INTEGER AS idx, CASE WHEN kind = 0 THEN 'b' || pos ELSE 'ltb-' || page || '-' || idx END AS item_id, page::INTEGER AS page_number,
+               CASE kind WHEN 0 THEN printf('%.1f,1.5,%.1f,3.0', pos::DOUBLE, (pos + 9)::DOUBLE) WHEN 1 THEN printf('%.1f,2.0,1.0,1.0', pos::DOUBLE) ELSE printf('%.1f,2.0,4.0,8.0', pos::DOUBLE) END AS box,
+               CASE WHEN kind = 0 AND pos > 0 THEN pos ELSE idx END::INTEGER AS reading_order, CASE WHEN kind = 0 THEN block_type ELSE 'paragraph' END AS block_type, sha256(x) AS content_hash, CASE WHEN kind = 0 THEN 0.7 ELSE 0.9 END::DOUBLE AS confidence
+        FROM d JOIN n USING (page_id, pos)""",
+    "payload_documents": rf"""WITH {HTML} SELECT page_id, CASE WHEN page_id % 11 = 0 THEN NULL WHEN page_id % 3 = 0 THEN count(*) WHEN page_id % 3 = 1 THEN 4 ELSE 2 END::INTEGER AS page_count,
+        CASE WHEN page_id % 11 = 0 THEN 'layout_provider_conversion_failed' END AS error FROM h GROUP BY page_id""",
+    "payload_tables": r"""WITH e AS (SELECT user_id, day(ts) AS day, event_id, event_type || '|' || coalesce(props ->> '$.k', '') ||
+            CASE WHEN value > 5 THEN '|' || event_id WHEN user_id % 2 = 0 THEN '|' ELSE '' END AS line FROM events)
+        SELECT user_id || '-' || day AS doc_id, 'tbl-1-0' AS item_id, CASE WHEN user_id % 2 = 1 THEN 'events' END AS caption, 'type|k' AS headers, count(*) AS n_rows,
+               sha256('type|k' || chr(10) || string_agg(line, chr(10) ORDER BY event_id)) AS content_hash FROM e GROUP BY user_id, day""",
     "upsert_vectors": "SELECT label, version, count(*) AS n FROM (SELECT label, unnest(CASE WHEN label % 2 = 1 THEN [3, 4] ELSE [1] END) AS version FROM embeddings) GROUP BY label, version",
     "ledger_summary": f"WITH {ATTEMPTS} SELECT strategy, accepted, count(*) AS n, round(sum(cost), 4) AS cost FROM attempts GROUP BY strategy, accepted",
     "section_json": f"""WITH RECURSIVE {SECTIONS}, leaves AS (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folioflow.config import ChunkRules
 from folioflow.functions import text as ft
-from folioflow.operators import answering, chunking, extraction, facts, indexing, retrieval, triage, validation, vectors
+from folioflow.operators import answering, chunking, extraction, facts, indexing, payloads, retrieval, triage, validation, vectors
 from folioflow.plans.pipeline import Corpus
 from folioflow.sources import pages as sp
 from folioflow.sources import sinks
@@ -184,11 +184,9 @@ def greedy_chunks(spark, sf_dir):
     """Lines of documents packed to chunks of at most 200 tokens."""
     lines = sp.line_blocks(read(spark, sf_dir, "documents")).withColumn("tokens", ft.count_tokens(F.col("text")))
     rows = lines.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("ord", "tokens"))).alias("blocks"))
-    starts = chunking.packs(F.col("blocks"), ChunkRules().chunk_tokens)
-    one = rows.select("doc_id", "blocks", starts.alias("starts")).select("doc_id", "blocks", "starts", F.posexplode("starts").alias("i", "start"))
-    upto = F.coalesce(F.get("starts", F.col("i") + 1), F.lit(2**31 - 1))
-    own = F.filter("blocks", lambda b: (b["ord"] >= F.col("start")) & (b["ord"] < upto))
-    return one.select("doc_id", (F.col("i") + 1).cast("long").alias("part"), F.col("start").cast("long").alias("start"), F.aggregate(own, F.lit(0), lambda s, b: s + b["tokens"]).cast("long").alias("tokens"))
+    packs = chunking.pack_numbers(F.transform("blocks", lambda b: b["tokens"]), ChunkRules().chunk_tokens)
+    block = rows.withColumn("packs", packs).select("doc_id", F.explode(F.arrays_zip("blocks", "packs")).alias("b"))
+    return block.groupBy("doc_id", F.col("b.packs").cast("long").alias("part")).agg(F.min("b.blocks.ord").cast("long").alias("start"), F.sum("b.blocks.tokens").cast("long").alias("tokens"))
 
 
 @query
@@ -448,6 +446,55 @@ def payload_rules(spark, sf_dir):
     return both.select("doc_id", "page_count", "number", "content_hash", retry.alias("retry"))
 
 
+def _page_payloads(spark, sf_dir) -> DataFrame:
+    """Blocks of web pages as JSON, in three providers' spellings by turns; every eleventh page's JSON is cut short."""
+    k = F.col("page_id")
+    blocks = sp.html_payload(read(spark, sf_dir, "pages")).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("pos", "block_type", "text"))).alias("b"))
+    page = lambda b: (b["pos"] / 10 + 1).cast("int")
+    left = lambda b: b["pos"].cast("double")
+    none = F.lit(None).cast("string")
+    full = lambda b: F.struct(F.concat(F.lit("b"), b["pos"]).alias("id"), F.concat(F.lit(" "), b["text"], F.lit("\n")).alias("text"), b["block_type"].alias("block_type"), page(b).alias("page_number"), F.struct(left(b).alias("x0"), F.lit(1.5).alias("y0"), (left(b) + 9).alias("x1"), F.lit(3.0).alias("y1")).alias("bounding_box"), b["pos"].alias("reading_order"), F.lit(0.7).alias("confidence"))
+    short = lambda b: F.struct(F.when(b["pos"] % 3 != 0, b["text"]).otherwise(F.lit("  ")).alias("text"), F.struct(left(b).alias("l"), F.lit(2.0).alias("t")).alias("bounding_box"), page(b).cast("string").alias("page_number"), none.alias("block_type"))
+    noted = lambda b: F.struct(b["text"].alias("orig"), F.array(F.struct(page(b).alias("page_no"), F.struct(left(b).alias("l"), F.lit(2.0).alias("t"), F.lit(4.0).alias("r"), F.lit(8.0).alias("b")).alias("bbox"))).alias("prov"))
+    of = lambda f: F.transform("b", f)
+    json = (
+        F.when(k % 3 == 0, F.to_json(F.struct(F.size("b").alias("page_count"), of(full).alias("text_blocks"))))
+        .when(k % 3 == 1, F.to_json(F.struct(F.struct(F.lit("4").alias("page_count")).alias("metadata"), F.array().cast("array<string>").alias("text_blocks"), of(short).alias("blocks"))))
+        .otherwise(F.to_json(F.struct(F.create_map(F.lit("1"), F.lit("a"), F.lit("2"), F.lit("b")).alias("pages"), of(noted).alias("texts"))))
+    )
+    return blocks.select("page_id", F.when(k % 11 == 0, F.substring(json, 1, 20)).otherwise(json).alias("payload"))
+
+
+@query
+def provider_payload(spark, sf_dir):
+    """Text blocks of payloads whose keys differ, as one schema."""
+    _, blocks, _, _ = payloads.normalized(_page_payloads(spark, sf_dir), "page_id")
+    return blocks.select("page_id", "idx", "item_id", "page_number", vectors.box_text(F.col("box")).alias("box"), "reading_order", "block_type", "content_hash", F.round("confidence", 6).alias("confidence"))
+
+
+@query
+def payload_documents(spark, sf_dir):
+    """Page counts of the payloads, and what became of those that cannot be read."""
+    return payloads.normalized(_page_payloads(spark, sf_dir), "page_id")[0]
+
+
+@query
+def payload_tables(spark, sf_dir):
+    """A user's events of a day as a table: given as rows, or as sparse cells; their props are parsed along."""
+    e = read(spark, sf_dir, "events").withColumn("day", F.dayofmonth("ts"))
+    users = e.groupBy("user_id", "day").agg(F.array_sort(F.collect_list(F.struct("event_id", "event_type", "value", "props"))).alias("e"))
+    line = lambda x: F.array(x["event_type"], F.try_variant_get(F.parse_json(x["props"]), "$.k", "string"), F.when(x["value"] > 5, x["event_id"].cast("string")))
+    cells = F.flatten(F.transform("e", lambda x, i: F.array(*[F.struct((i + 1).alias("start_row_offset_idx"), F.lit(c).alias("start_col_offset_idx"), line(x)[c].alias("text")) for c in range(3)])))
+    some = F.filter(cells, lambda c: c["text"].isNotNull())
+    head = F.array(*[F.struct(F.lit(0).alias("start_row_offset_idx"), F.lit(c).alias("start_col_offset_idx"), F.lit(t).alias("text")) for c, t in enumerate(("type", "k"))])
+    given = F.struct(F.array(F.lit("type"), F.lit("k")).alias("headers"), F.transform("e", line).alias("rows"))
+    sparse = F.struct(F.struct(F.concat(head, some).alias("table_cells")).alias("data"), F.lit("events").alias("caption"))
+    json = F.when(F.col("user_id") % 2 == 0, F.to_json(F.struct(F.array(given).alias("tables")))).otherwise(F.to_json(F.struct(F.array(sparse).alias("tables"))))
+    key = F.concat_ws("-", "user_id", "day")
+    found = payloads.normalized(users.select(key.alias("doc_id"), json.alias("payload")))[2]
+    return found.select("doc_id", "item_id", "caption", listed("headers", "|"), F.size("rows").cast("long").alias("n_rows"), "content_hash")
+
+
 def _account(doc_id: str = "doc_id") -> Column:
     return F.regexp_extract(doc_id, r"(\d+)$", 1).cast("long")
 
