@@ -401,6 +401,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM d JOIN n USING (page_id, pos)""",
     "payload_documents": rf"""WITH {HTML} SELECT page_id, CASE WHEN page_id % 11 = 0 THEN NULL WHEN page_id % 3 = 0 THEN count(*) WHEN page_id % 3 = 1 THEN 4 ELSE 2 END::INTEGER AS page_count,
         CASE WHEN page_id % 11 = 0 THEN 'layout_provider_conversion_failed' END AS error FROM h GROUP BY page_id""",
+    "layout_pages": rf"""WITH {HTML} SELECT page_id, pos::INTEGER AS pos, block_type, x AS text, 0.9::DOUBLE AS confidence FROM h""",
     "payload_tables": r"""WITH e AS (SELECT user_id, day(ts) AS day, event_id, event_type || '|' || coalesce(props ->> '$.k', '') ||
             CASE WHEN value > 5 THEN '|' || event_id WHEN user_id % 2 = 0 THEN '|' ELSE '' END AS line FROM events)
         SELECT user_id || '-' || day AS doc_id, 'tbl-1-0' AS item_id, CASE WHEN user_id % 2 = 1 THEN 'events' END AS caption, 'type|k' AS headers, count(*) AS n_rows,
@@ -469,3 +470,5 @@ ORACLE_SQL: dict[str, str] = {
     "ledger_stream_window": "SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS entries, round(sum(value), 2) AS total FROM events GROUP BY ALL",
     "ledger_latest": "SELECT user_id, arg_max(event_id, (ts, event_id)) AS latest, count(*) AS n FROM events GROUP BY user_id",
 }
+#: The tools find what the operators find.
+ORACLE_SQL |= {"tool_navigate": ORACLE_SQL["navigate"], "tool_structured_query": ORACLE_SQL["structured_query"], "tool_semantic_search": ORACLE_SQL["chunk_search"]}

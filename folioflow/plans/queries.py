@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from folioflow.config import ChunkRules
 from folioflow.functions import text as ft
-from folioflow.operators import answering, chunking, extraction, facts, indexing, payloads, retrieval, triage, validation, vectors
+from folioflow.operators import answering, chunking, extraction, facts, indexing, payloads, retrieval, tools, triage, validation, vectors
 from folioflow.plans.pipeline import Corpus
+from folioflow.sources import layout, sinks
 from folioflow.sources import pages as sp
-from folioflow.sources import sinks
 from folioflow.streaming import ledgers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,6 +329,37 @@ def structured_query(spark, sf_dir):
     return found.select("request_id", F.col("rank").cast("long").alias("rank"), "fact_id", F.col("score").cast("long").alias("score"), "fact_value")
 
 
+def _tool(spark, name: str, candidates: DataFrame, limit: int = 5) -> DataFrame:
+    """A retrieval tool, called from SQL over its candidates."""
+    tools.register(spark)
+    return spark.sql(f"SELECT * FROM {name}(TABLE({{candidates}}) PARTITION BY (request_id), {limit})", candidates=candidates)
+
+
+@query
+def tool_navigate(spark, sf_dir):
+    """Section navigation through its table function."""
+    c = Corpus(spark, sf_dir)
+    pairs = _requests(c.inputs.accounts, TOPICS, "topic").join(c.page_index, "doc_id").select("request_id", "topic", "section_id", "title", "page_start", "entities", "summary", "data_types")
+    return _tool(spark, "pageindex_navigate", pairs).select("request_id", F.col("rank").cast("long").alias("rank"), "title", "score", listed("matched"))
+
+
+@query
+def tool_structured_query(spark, sf_dir):
+    """Fact lookup through its table function."""
+    c = Corpus(spark, sf_dir)
+    pairs = _requests(c.inputs.accounts, QUESTIONS, "query").join(c.facts, "doc_id").select("request_id", "query", "fact_id", "fact_name", "fact_value", "normalized_name", "page_number")
+    return _tool(spark, "structured_query", pairs).select("request_id", F.col("rank").cast("long").alias("rank"), "fact_id", "score", "fact_value")
+
+
+@query
+def tool_semantic_search(spark, sf_dir):
+    """Vector search within a document through its table function."""
+    c = Corpus(spark, sf_dir)
+    asked = _requests(c.inputs.accounts.where("k % 20 = 0"), QUESTIONS, "query").select("request_id", "doc_id", vectors.hashed_embedding(F.col("query")).alias("q"))
+    pairs = asked.join(c.vectors, "doc_id").select("request_id", "q", F.col("vec_id").alias("chunk_id"), F.nullif("section_id", F.lit("")).alias("section_id"), "embedding", "page_number")
+    return _tool(spark, "semantic_search", pairs).select("request_id", F.col("rank").cast("long").alias("rank"), "chunk_id", "section_id", F.round("score", 6).alias("score"))
+
+
 @query
 def semantic_topk(spark, sf_dir):
     known = read(spark, sf_dir, "embeddings")
@@ -478,6 +509,14 @@ def payload_documents(spark, sf_dir):
     return payloads.normalized(_page_payloads(spark, sf_dir), "page_id")[0]
 
 
+@query
+def layout_pages(spark, sf_dir):
+    """All blocks of the stored pages, read through the layout data source."""
+    layout.register(spark)
+    found = spark.read.format("layout_pages").load(f"{sf_dir}/pages.parquet").where("kind = 'block'")
+    return found.select("page_id", "pos", "block_type", "text", "confidence")
+
+
 @query
 def payload_tables(spark, sf_dir):
     """A user's events of a day as a table: given as rows, or as sparse cells; their props are parsed along."""
