@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.config import QueryRules
 from folioflow.functions.text import terms
+from folioflow.operators import metric
 
 #: Words that say nothing about what is asked.
 STOPWORDS = ("a", "about", "an", "and", "are", "does", "for", "from", "how", "in", "is", "of", "show", "tell", "that", "the", "this", "to", "was", "what", "which", "with")
 #: Words that ask for a fact.
 FACTUAL = r"(?i)\b(revenue|amount|total|balance|ratio|margin|date|period|invoice|expense|expenditure|profit|tax|fiscal)\b"
 
-#: Vector queries that are compared in one array.
-BLOCK = 1000
-
-
 def preferred_path(query: Column) -> Column:
     """Fact lookup for questions with a fact word or a digit, else section navigation."""
     return F.when(query.rlike(FACTUAL) | query.rlike("[0-9]"), "structured_query").otherwise("pageindex_navigate")
@@ -90,36 +87,20 @@ def fact_lookup(requests: DataFrame, facts: DataFrame, limit: int = 5, rules: Qu
 
 
 def cosine_distance(a: Column, b: Column) -> Column:
+    """One less the cosine; null where a vector is null or has no direction, or a component is null."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    return 1 - dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
-
-
-def _literal(asked: list[Row]) -> Column:
-    return F.array(*[F.struct(F.lit(q.request_id).cast("long").alias("request_id"), F.lit([float(x) for x in q.query_vec]).alias("q")) for q in asked])
+    return 1 - F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
 def nearest(queries: DataFrame, vectors: DataFrame, limit: int, section_ids: DataFrame | None = None) -> DataFrame:
-    """The nearest vectors (vec_id, embedding, ...) of every query (request_id, query_vec).
+    """The nearest vectors (vec_id, embedding, ...) of every query (request_id, query_vec), through the metric index.
 
-    Up to ``BLOCK`` queries are gathered into one array, so that each vector is compared
-    while it is scanned and at most ``limit`` candidates a query and task are shuffled.
-    More are dealt into blocks of about that size, and every vector meets every block.
-    ``section_ids`` narrows the vectors before the search.
+    ``section_ids`` narrows the vectors before the search. Vectors and queries without a
+    direction are never found and find nothing.
     """
     v = vectors if section_ids is None else vectors.join(section_ids, "section_id", "left_semi")
-    asked = queries.limit(BLOCK + 1).collect()
-    if not asked:
-        return v.sparkSession.createDataFrame([], "request_id long, vec_id long, distance double, score double, rank int")
-    if len(asked) > BLOCK:
-        n = -(-queries.count() // BLOCK)
-        one = queries.select(F.struct(F.col("request_id").cast("long").alias("request_id"), F.col("query_vec").cast("array<double>").alias("q")).alias("q"))
-        blocks = one.groupBy(F.pmod(F.xxhash64("q.request_id"), F.lit(n)).alias("block")).agg(F.collect_list("q").alias("qs")).select("qs")
-        pairs = v.select("vec_id", "embedding").crossJoin(blocks).select("vec_id", "embedding", F.explode("qs").alias("q"))
-    else:
-        pairs = v.select("vec_id", "embedding", F.explode(_literal(asked)).alias("q"))
-    scored = pairs.select("vec_id", F.col("q.request_id").alias("request_id"), cosine_distance(F.col("embedding"), F.col("q.q")).alias("distance"))
-    order = Window.partitionBy("request_id").orderBy("distance", "vec_id")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit).withColumn("score", 1 / (1 + F.col("distance")))
+    hits, _ = metric.nearest(queries, v, limit)
+    return hits.withColumn("score", 1 / (1 + F.col("distance")))
 
 
 def best_of(rows: DataFrame, key: list[str], score: str, order: str) -> DataFrame:

@@ -59,7 +59,8 @@ def search(requests: DataFrame, vectors: DataFrame, chunks: DataFrame, limit: in
     """The nearest chunks of each request's document (request_id, doc_id, query), with their provenance.
 
     Hits are mapped to the chunks that exist now. ``narrow`` (request_id, section_id)
-    keeps a request to some sections; requests that are not in it search all.
+    keeps a request to some sections; requests that are not in it search all. Vectors that
+    are null, zero or not finite are never found.
     """
     asked = requests.select("request_id", "doc_id", embed(F.col("query")).alias("q"))
     rows = asked.join(vectors.select("vec_id", "doc_id", "embedding", "section_id"), "doc_id")
@@ -69,5 +70,6 @@ def search(requests: DataFrame, vectors: DataFrame, chunks: DataFrame, limit: in
     known = chunks.select("doc_id", F.col("chunk_id").alias("vec_id"), "content", "pages", "box", "content_hash")
     hits = rows.join(known, ["doc_id", "vec_id"]).withColumn("distance", F.round(cosine_distance(F.col("embedding"), F.col("q")), 9))
     order = Window.partitionBy("request_id").orderBy("distance", F.array_min("pages"), "vec_id")
-    best = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
+    # Vectors without a direction have no distance.
+    best = hits.where("not isnan(distance)").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
     return best.select("request_id", "doc_id", F.col("vec_id").alias("chunk_id"), F.nullif("section_id", F.lit("")).alias("section_id"), "content", "pages", "box", "content_hash", "rank", (1 / (1 + F.col("distance"))).alias("score"))
