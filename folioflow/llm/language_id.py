@@ -12,8 +12,9 @@ that a landmark has for what they share.
 Only text and non-null lang of rows outside the held-out fold are learned from, and
 only a bounded sample of them, of every language: about ``PER_LANGUAGE`` rows, fewer
 where ``MOST_ROWS`` rows would be exceeded, drawn by the hash of doc_id (rows that
-share a doc_id by that of their text). There is a landmark of every language at least,
-and ``MOST_LANDMARKS`` of all where that leaves more. N-grams are extracted on the
+share a doc_id by that of their text). There are ``MOST_LANDMARKS`` landmarks at most,
+as many of each language as that leaves; with more languages than that, the last ones
+(by name) have coefficients but no landmark. N-grams are extracted on the
 executors; the sample comes to the driver as sets of n-gram numbers. Letters are
 lower-cased and folded into 63 classes, everything else is a gap.
 
@@ -43,6 +44,8 @@ PER_LANGUAGE = 150
 MOST_ROWS = 30_000
 LANDMARKS_PER_LANGUAGE = 32
 MOST_LANDMARKS = 512
+#: N-grams whose landmarks are multiplied at a time.
+STRIPE = 1 << 14
 GRAMS = (1, 2, 3)
 #: Cells of the presence matrix of a batch.
 CELLS = 1 << 24
@@ -111,7 +114,11 @@ class Model:
         if not self.langs:
             return
         per = max(1, min(LANDMARKS_PER_LANGUAGE, MOST_LANDMARKS // len(self.langs)))
-        marks = [i for lang in self.langs for i in [k for k, x in enumerate(langs) if x == lang][:per]]
+        own: dict[str, list[int]] = {}
+        for k, x in enumerate(langs):
+            own.setdefault(x, []).append(k)
+        # Where there are more languages than landmarks, some have none of their own.
+        marks = [i for lang in self.langs for i in own[lang][:per]][:MOST_LANDMARKS]
         has = np.zeros((SPACE, len(marks)), dtype=np.uint8)
         for c, i in enumerate(marks):
             has[samples[i], c] = 1
@@ -128,7 +135,7 @@ class Model:
         self.alpha, self.shift = whiten @ beta[:-1], beta[-1]
         #: The n-grams that any landmark has, and the landmarks' kernels' part of each.
         self.known = np.flatnonzero(has.any(axis=1))
-        self.landmarks, self.sizes = has[self.known].astype(np.float32), size[marks]
+        self.landmarks, self.sizes = has[self.known], size[marks]
 
     def rows(self) -> int:
         """Texts that are scored at a time."""
@@ -143,8 +150,11 @@ class Model:
         if not self.langs or not texts:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
         size = np.maximum(1, present[:, 1:].sum(axis=1, dtype=np.int64))
-        # The products are whole numbers, which single precision holds exactly.
-        kernel = (present[:, self.known].astype(np.float32) @ self.landmarks) / np.sqrt(size[:, None] * self.sizes[None, :])
+        # The products are whole numbers, which single precision holds exactly; landmarks take a byte an n-gram otherwise.
+        common = np.zeros((len(texts), len(self.sizes)), np.float32)
+        for at in range(0, len(self.known), STRIPE):
+            common += present[:, self.known[at : at + STRIPE]].astype(np.float32) @ self.landmarks[at : at + STRIPE].astype(np.float32)
+        kernel = common / np.sqrt(size[:, None] * self.sizes[None, :])
         decision = kernel @ self.alpha + self.shift
         best = decision.argmax(axis=1)
         score = np.clip((decision[np.arange(len(texts)), best].astype(np.float64) + 1) / 2, 0, 1)
@@ -185,9 +195,14 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, most_rows: int = MO
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang_pred, score) for every row; nothing but the text is read for it."""
+    """(doc_id, lang_pred, score) for every row; nothing but the text is read for it.
+
+    The model is sent to the tasks; it has MOST_LANDMARKS * SPACE bytes at most.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, model.rows()):
                 part = batch.slice(at, model.rows())

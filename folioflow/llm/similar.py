@@ -16,8 +16,8 @@ similarity of ``SIMILAR`` or more; groups are the connected components of the li
 4. Buckets that still hold several components get the sets of their classes, and one
    task compares all classes of different components. It gives out no more links than
    join them, so nothing grows with the square of a bucket but the comparisons of the
-   task. Buckets of more than ``BUCKET`` classes are dealt to several tasks as pairs of
-   blocks, so a task holds the sets of two blocks at most.
+   task. Buckets of more than ``BUCKET`` classes, or of more than ``SHINGLES`` shingles, are
+   dealt to several tasks as pairs of blocks, so a task holds the sets of two blocks.
 
 Every comparison takes the full sets, so no link is below the limit.
 
@@ -44,6 +44,8 @@ SIMILAR = (4, 5)
 BANDS, ROWS = 20, 4
 #: Classes of a bucket that one task compares with each other.
 BUCKET = 2000
+#: Shingles of all sets of a block, about: 16 MB.
+SHINGLES = 2_000_000
 #: Differing bits up to which trees look for links: as many as cost no wider search than four.
 RADIUS = 7
 _MIX = np.random.default_rng(SEED).integers(0, 2**63, (2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -93,9 +95,8 @@ def _sets(needed: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return written(_described(texts, "set", lambda s: s).dropDuplicates(["whole"]).select("whole", "set"), "sets")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar enough."""
-    sets = _sets(pairs.select(F.col("a").alias("whole")).unionByName(pairs.select(F.col("b").alias("whole"))), docs, nodes)
     both = pairs.join(sets.select(F.col("whole").alias("b"), F.col("set").alias("y")), "b").join(sets.select(F.col("whole").alias("a"), F.col("set").alias("x")), "a")
     common = F.size(F.array_intersect("x", "y"))
     return both.withColumn("n", common).where(SIMILAR[1] * F.col("n") >= SIMILAR[0] * (F.size("x") + F.size("y") - F.col("n"))).select("a", "b")
@@ -153,7 +154,8 @@ def _across(bands: DataFrame, sets: DataFrame) -> DataFrame:
         if held:
             yield edges(held)
 
-    counts = bands.groupBy("key").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("blocks"))
+    sized = bands.join(sets.select("whole", F.size("set").alias("n")), "whole")
+    counts = sized.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / BUCKET, F.sum("n") / SHINGLES, F.lit(1))).cast("int").alias("blocks"))
     placed = bands.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("whole"), F.col("blocks")).cast("int"))
     met = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("key", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "root", "whole").join(sets, "whole")
@@ -176,10 +178,13 @@ def groups(docs: DataFrame) -> DataFrame:
     known = marked.where("doc_id is not null")
     # Texts of one class have the same set, but may repeat shingles: any of their fingerprints will do.
     nodes = written(known.groupBy("whole").agg(F.min("doc_id").alias("node"), F.min("fp").alias("fp"), F.first("keys").alias("keys")), "classes")
-    edges = written(_verified(_by_fingerprint(nodes), docs, nodes), "similar")
     bands = nodes.select("whole", F.explode("keys").alias("key"))
     full = bands.groupBy("key").agg(F.min("whole").alias("a"), F.max("whole").alias("most")).where("a <> most").select("key", "a")
     bands = written(bands.join(full, "key"), "buckets")
+    near = _by_fingerprint(nodes)
+    # One table of sets: those of all classes that are compared with any.
+    sets = _sets(near.select(F.col("a").alias("whole")).unionByName(near.select(F.col("b").alias("whole"))).unionByName(bands.select("whole")), docs, nodes)
+    edges = written(_verified(near, sets), "similar")
 
     def rooted(roots: DataFrame) -> DataFrame:
         return roots.select(F.col("node").alias("whole"), "root")
@@ -188,11 +193,11 @@ def groups(docs: DataFrame) -> DataFrame:
     first = bands.where("a <> whole").select("a", F.col("whole").alias("b")).distinct()
     first = first.join(roots.select(F.col("whole").alias("a"), F.col("root").alias("x")), "a", "left").join(roots.select(F.col("whole").alias("b"), F.col("root").alias("y")), "b", "left")
     first = written(first.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b"), "pairs")
-    edges = written(edges.unionByName(_verified(first, docs, nodes)), "similar")
+    edges = written(edges.unionByName(_verified(first, sets)), "similar")
     placed = bands.select("key", "whole").join(rooted(components(edges)), "whole", "left").select("key", "whole", F.coalesce("root", "whole").alias("root"))
     open_keys = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
     still = written(placed.join(open_keys, "key", "left_semi"), "open-buckets")
-    more = written(_across(still, _sets(still.select("whole"), docs, nodes)), "similar")
+    more = written(_across(still, sets), "similar")
     classes = nodes.select("whole", "node").join(rooted(components(edges.unionByName(more))), "whole", "left").select("whole", "node", F.coalesce("root", "whole").alias("root"))
     least = classes.groupBy("root").agg(F.min("node").alias("component_id"))
     named = written(classes.join(least, "root").select("whole", "component_id"), "classes")

@@ -77,7 +77,8 @@ def sample(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.where(id_bucket(F.col("doc_id"), FOLDS) != HELD_OUT).select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
     lengths = docs.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.length("text").alias("n"))
-    both = lengths.join(known, "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    # Ids that repeat count once: they would fill the sample with one text.
+    both = lengths.join(known, "doc_id").groupBy("doc_id", "toxic").agg(F.max("n").alias("n")).withColumn("h", F.xxhash64("doc_id"))
     there = {r.toxic: r.n for r in both.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen: dict[int, int] = {}
     for label in (1, 0):
