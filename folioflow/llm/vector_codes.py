@@ -105,7 +105,7 @@ class Assignment:
     """
 
     def __init__(self, parts: Tree, entries: np.ndarray) -> None:
-        # Copies of the last entry fill up the tree; they tie with it, and lose.
+        # Copies of the last entry fill up the tree, and drop out at its leaves.
         e = Tree(np.concatenate([entries, np.repeat(entries[-1:], (1 << (len(entries) - 1).bit_length()) - len(entries), 0)]), 1)
         self.parts, self.nodes, self.met = parts, [], 0
         a = b = np.zeros(1, np.int64)  # pairs of nodes, sorted by part node
@@ -119,12 +119,14 @@ class Assignment:
             owners, first = np.unique(a, return_index=True)
             best[owners] = np.minimum(best[owners], np.minimum.reduceat(most, first))
             near = least <= best[a]
+            if low_deep == len(e.ends) - 1:
+                near &= e.order[b] < len(entries)
             a, b = a[near], b[near]
             owners, first, count = np.unique(a, return_index=True, return_counts=True)
             if low_deep == len(e.ends) - 1:
                 one = count == 1
                 whole = owners[one]
-                self.nodes.append(np.stack([parts.ends[deep][whole], parts.ends[deep][whole + 1], np.minimum(e.order[b[first[one]]], len(entries) - 1)], 1))
+                self.nodes.append(np.stack([parts.ends[deep][whole], parts.ends[deep][whole + 1], e.order[b[first[one]]]], 1))
                 left = np.repeat(~one, count)
                 a, b = a[left], b[left]
                 if deep == len(parts.ends) - 1:
@@ -147,7 +149,6 @@ class Assignment:
         if not len(leaves):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         starts, sizes = self.parts.ends[deep][leaves], np.diff(self.parts.ends[deep])[leaves]
-        entry = np.minimum(entry, len(entries) - 1)
         place = np.repeat(starts, sizes) + (np.arange(sizes.sum()) - np.repeat(sizes.cumsum() - sizes, sizes))
         entry = np.repeat(entry, sizes)
         away = _squares(self.parts.points[place] - entries[entry])
