@@ -408,6 +408,12 @@ ORACLE_SQL: dict[str, str] = {
                sha256('type|k' || chr(10) || string_agg(line, chr(10) ORDER BY event_id)) AS content_hash FROM e GROUP BY user_id, day""",
     "upsert_vectors": "SELECT label, version, count(*) AS n FROM (SELECT label, unnest(CASE WHEN label % 2 = 1 THEN [3, 4] ELSE [1] END) AS version FROM embeddings) GROUP BY label, version",
     "ledger_summary": f"WITH {ATTEMPTS} SELECT strategy, accepted, count(*) AS n, round(sum(cost), 4) AS cost FROM attempts GROUP BY strategy, accepted",
+    "ldu_cache": rf"""WITH RECURSIVE {CHUNKS}, kept AS (SELECT doc_id, regexp_extract(doc_id, '(\d+)$', 1)::BIGINT % 50 <> 10 AS there FROM accounts)
+        SELECT doc_id, chunk_id, content_hash, NULL AS error FROM made JOIN kept USING (doc_id) WHERE there UNION ALL
+        SELECT doc_id, NULL, NULL, 'missing_ldu_cache' FROM kept WHERE NOT there""",
+    "page_index_store": rf"""WITH RECURSIVE {SECTIONS}, kept AS (SELECT doc_id, regexp_extract(doc_id, '(\d+)$', 1)::BIGINT % 50 <> 10 AS there FROM accounts)
+        SELECT doc_id, section_id, parent_id, title, NULL AS error FROM sections JOIN kept USING (doc_id) WHERE there UNION ALL
+        SELECT doc_id, NULL, NULL, NULL, 'missing_page_index' FROM kept WHERE NOT there""",
     "section_json": f"""WITH RECURSIVE {SECTIONS}, leaves AS (
             SELECT parent_id, string_agg('{{"section_id":"' || section_id || '","title":"' || title || '","path":"' || path || '","child_sections":[]}}', ',' ORDER BY sort_path) AS j FROM sections WHERE depth = 2 GROUP BY parent_id)
         SELECT doc_id, '[' || string_agg('{{"section_id":"' || section_id || '","title":"' || title || '","path":"' || path || '","child_sections":[' || coalesce(j, '') || ']}}', ',' ORDER BY sort_path) || ']' AS tree

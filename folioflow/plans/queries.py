@@ -13,6 +13,7 @@ from folioflow.operators import answering, chunking, extraction, facts, indexing
 from folioflow.plans.pipeline import Corpus
 from folioflow.sources import layout, sinks
 from folioflow.sources import pages as sp
+from folioflow.sources.store import Store
 from folioflow.streaming import ledgers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -626,6 +627,30 @@ def fact_store(spark, sf_dir):
     return spark.read.parquet(path).groupBy("value_type").agg(F.count("*").alias("n"), F.countDistinct("fact_id").alias("n_ids"))
 
 
+def _stored(found: DataFrame, docs: DataFrame, error: str) -> DataFrame:
+    """Rows of documents in a keyed store: written in two commits, every fifth document once more, some removed; who is missing has an error."""
+    spark, k = found.sparkSession, _account()
+    store = Store(spark, sinks.scratch(spark, "store"), found.schema, most_bytes=2**18)
+    store.replace(found.where(k % 3 == 0))
+    store.replace(found.where(k % 3 > 0))
+    store.replace(found.where((k % 5 == 0) & (k % 50 != 10)), docs.where(k % 50 == 10))
+    return store.read().unionByName(store.missing(docs, error), allowMissingColumns=True)
+
+
+@query
+def ldu_cache(spark, sf_dir):
+    """Chunks of all documents from their store."""
+    c = Corpus(spark, sf_dir)
+    return _stored(sinks.written(c.chunks.select("doc_id", "chunk_id", "content_hash"), "ldus"), c.inputs.accounts.select("doc_id"), "missing_ldu_cache")
+
+
+@query
+def page_index_store(spark, sf_dir):
+    """Sections of all documents from their store."""
+    c = Corpus(spark, sf_dir)
+    return _stored(sinks.written(c.sections.select("doc_id", "section_id", "parent_id", "title"), "sections"), c.inputs.accounts.select("doc_id"), "missing_page_index")
+
+
 @query
 def section_json(spark, sf_dir):
     return sinks.nested_json(Corpus(spark, sf_dir).sections)
