@@ -1,4 +1,7 @@
-"""Rules of all stages. Loaded once on the driver; thresholds enter plans as literals."""
+"""Rules of all stages. Loaded once on the driver; thresholds enter plans as literals.
+
+Fixed values: all thresholds, weights, costs, limits and keywords below.
+"""
 
 from __future__ import annotations
 

@@ -70,7 +70,7 @@ def dangling(edges: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 #: What a section may say that it holds.
-SUPPORTED_TYPES = ("narrative_text", "tables", "figures", "lists")
+SUPPORTED_TYPES = ("tables", "figures", "equations", "lists", "narrative_text")
 STRATEGIES = ("fast_text", "layout_aware", "vision")
 
 

@@ -476,5 +476,5 @@ ORACLE_SQL: dict[str, str] = {
     "ledger_stream_window": "SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS entries, round(sum(value), 2) AS total FROM events GROUP BY ALL",
     "ledger_latest": "SELECT user_id, arg_max(event_id, (ts, event_id)) AS latest, count(*) AS n FROM events GROUP BY user_id",
 }
-#: The tools find what the operators find.
-ORACLE_SQL |= {"tool_navigate": ORACLE_SQL["navigate"], "tool_structured_query": ORACLE_SQL["structured_query"], "tool_semantic_search": ORACLE_SQL["chunk_search"]}
+#: The stream makes the attempts of the ladder; the tools find what the operators find.
+ORACLE_SQL |= {"escalation_stream": ORACLE_SQL["escalation_ladder"], "tool_navigate": ORACLE_SQL["navigate"], "tool_structured_query": ORACLE_SQL["structured_query"], "tool_semantic_search": ORACLE_SQL["chunk_search"]}

@@ -14,7 +14,7 @@ from folioflow.plans.pipeline import Corpus
 from folioflow.sources import layout, sinks
 from folioflow.sources import pages as sp
 from folioflow.sources.store import Store
-from folioflow.streaming import ledgers
+from folioflow.streaming import escalation, ledgers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,10 +125,11 @@ def fast_confidence(spark, sf_dir):
     return _classed(spark, sf_dir).select("doc_id", F.round(c, 6).alias("confidence"), F.round(cost["fast_text"], 6).alias("fast_cost"), F.round(cost["vision"], 6).alias("vision_cost"))
 
 
-def _attempts(spark, sf_dir) -> DataFrame:
+def _outcomes(spark, sf_dir) -> DataFrame:
+    """What every strategy would make of a document."""
     p = triage.profile(_classed(spark, sf_dir))
     start = extraction.initial_strategy(F.col("origin"), F.col("layout"))
-    d = p.select(
+    return p.select(
         "doc_id",
         "pages",
         start.alias("start"),
@@ -139,7 +140,10 @@ def _attempts(spark, sf_dir) -> DataFrame:
         extraction.vision_confidence(F.col("chars") / 50, F.col("pages")).alias("c_vision"),
         F.lit(True).alias("has_vision"),
     )
-    return extraction.attempts(d)
+
+
+def _attempts(spark, sf_dir) -> DataFrame:
+    return extraction.attempts(_outcomes(spark, sf_dir))
 
 
 @query
@@ -149,6 +153,23 @@ def escalation_ladder(spark, sf_dir):
     )
 
 
+@query
+def escalation_stream(spark, sf_dir):
+    """The ladder over results as a stream: in the order of the ladder, against it, and every third document's once more."""
+    path = sinks.scratch(spark, "results")
+    events = sinks.written(escalation.result_events(_outcomes(spark, sf_dir)), "results")
+    d, rung = F.col("doc_id"), F.array_position(F.array(*map(F.lit, extraction.LADDER)), F.col("strategy"))
+    backwards = F.when(d % 2 == 0, 4 - rung).otherwise(rung)
+    at = lambda minutes: F.timestamp_seconds(F.lit(1_700_000_000) + 60 * minutes).alias("ts")
+    columns = [f.split()[0] for f in escalation.EVENT.split(", ")]
+    for k, rows in enumerate((events.where(backwards == 1), events.where(backwards > 1), events.where(d % 3 == 0))):
+        rows.withColumn("ts", at(backwards + 10 * k)).select(*columns).coalesce(1).write.mode("append").parquet(path)
+    found = escalation.drained(spark, path)
+    return found.select(
+        "doc_id", F.col("attempt").cast("long").alias("attempt"), "strategy", F.round("confidence", 6).alias("confidence"), F.round("cost", 6).alias("cost"), F.round("budget_spent", 6).alias("budget_spent"), "accepted", "escalated", "error"
+    )
+
+
 @query
 def budget_guard(spark, sf_dir):
     return extraction.outcome(_attempts(spark, sf_dir)).groupBy("strategy", "error").agg(F.count("*").alias("n"), F.sum("attempts").cast("long").alias("attempts"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from folioflow.sources.sinks import scratch
 
@@ -39,22 +40,19 @@ def windowed(stream: DataFrame, width: str = "1 hour", late: str = "2 hours") ->
 def drained(stream: DataFrame, keys: tuple[str, ...] = ("window_start", "event_type")) -> DataFrame:
     """What a stream's result is once all present files are read.
 
-    Batches bring the rows that they changed, which take the place of those with the same
-    keys. So the watermark bounds the state: closed windows are dropped from it, and rows
-    that come too late for theirs are left out.
+    Batches bring the rows that they changed; each is written once, and of rows that share
+    their keys, null ones too, the last batch's counts. The watermark bounds the state: closed
+    windows are dropped from it, and rows that come too late for theirs are left out.
     """
     spark = stream.sparkSession
     out, state = scratch(spark, "stream"), scratch(spark, "stream-state")
     schema = stream.schema
-    last = f"{out}/begin"
-    spark.createDataFrame([], schema).write.parquet(last)
-
-    def merge(batch: DataFrame, number: int) -> None:
-        nonlocal last
-        before = spark.read.schema(schema).parquet(last).join(batch.select(*keys), list(keys), "left_anti")
-        upto = f"{out}/batch-{number}"
-        before.select(*batch.columns).unionByName(batch).write.mode("overwrite").parquet(upto)
-        last = upto
-
-    stream.writeStream.outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(merge).start().awaitTermination()
-    return spark.read.schema(schema).parquet(last)
+
+    def write(batch: DataFrame, number: int) -> None:
+        # A batch that is run again takes its own place.
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    spark.createDataFrame([], schema).write.parquet(f"{out}/batch=-1")
+    stream.writeStream.outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
+    every = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(out)
+    return every.groupBy(*keys).agg(F.max_by(F.struct(*schema.names), "batch").alias("row")).select("row.*")
