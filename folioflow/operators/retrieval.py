@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioflow.config import QueryRules
 from folioflow.functions.text import terms
 from folioflow.operators import metric
+from folioflow.operators.postings import trigrams
 
 #: Words that say nothing about what is asked.
 STOPWORDS = ("a", "about", "an", "and", "are", "does", "for", "from", "how", "in", "is", "of", "show", "tell", "that", "the", "this", "to", "was", "what", "which", "with")
@@ -69,10 +70,36 @@ def query_terms(query: Column, filters: Column | None = None, most: int = 4) ->
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.trim(lowered)))
 
 
-def fact_lookup(requests: DataFrame, facts: DataFrame, limit: int = 5, rules: QueryRules = QueryRules()) -> DataFrame:
-    """Facts per request (request_id, doc_id, query), best first. Percent signs in terms are literal."""
+def fact_postings(facts: DataFrame) -> DataFrame:
+    """(doc_id, gram, fact_id): the trigrams of each fact's names and value, in lower case, each once a fact."""
+    texts = F.flatten(F.transform(F.array("normalized_name", F.lower("fact_name"), F.lower("fact_value")), trigrams))
+    return facts.select("doc_id", "fact_id", F.explode(F.array_distinct(texts)).alias("gram"))
+
+
+def fact_candidates(requests: DataFrame, postings: DataFrame, facts: DataFrame, rules: QueryRules = QueryRules()) -> DataFrame:
+    """(request_id, doc_id, fact_id): facts that hold all trigrams of a term of the request; a superset of its hits.
+
+    Only postings of the terms' trigrams are met. A term of fewer than three characters has none
+    and takes the facts of its document that contain it.
+    """
+    asked = requests.select("request_id", "doc_id", F.explode(query_terms(F.col("query"), None, rules.terms)).alias("term")).distinct()
+    grams = asked.where(F.length("term") >= 3).withColumn("grams", trigrams(F.col("term"))).withColumn("wanted", F.size("grams"))
+    met = grams.select("request_id", "doc_id", "term", "wanted", F.explode("grams").alias("gram")).join(postings, ["doc_id", "gram"])
+    whole = met.groupBy("request_id", "doc_id", "term", "wanted", "fact_id").agg(F.count("*").alias("n")).where("n = wanted").select("request_id", "doc_id", "fact_id")
+    short = asked.where(F.length("term") < 3).join(facts.select("doc_id", "fact_id", F.concat_ws("\n", "normalized_name", F.lower("fact_name"), F.lower("fact_value")).alias("text")), "doc_id")
+    return whole.unionByName(short.where(F.col("text").contains(F.col("term"))).select("request_id", "doc_id", "fact_id")).distinct()
+
+
+def fact_lookup(requests: DataFrame, facts: DataFrame, limit: int = 5, rules: QueryRules = QueryRules(), postings: DataFrame | None = None) -> DataFrame:
+    """Facts per request (request_id, doc_id, query), best first. Percent signs in terms are literal.
+
+    With ``postings`` only facts that hold a term's trigrams are scored, else all of the document.
+    """
     asked = requests.withColumn("terms", query_terms(F.col("query"), None, rules.terms))
-    pairs = asked.join(facts, "doc_id")
+    if postings is None:
+        pairs = asked.join(facts, "doc_id")
+    else:
+        pairs = asked.join(fact_candidates(requests, postings, facts, rules), ["request_id", "doc_id"]).join(facts, ["doc_id", "fact_id"])
     value, name, normal = F.lower("fact_value"), F.lower("fact_name"), F.col("normalized_name")
 
     def points(t: Column) -> Column:

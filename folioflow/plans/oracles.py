@@ -477,4 +477,4 @@ ORACLE_SQL: dict[str, str] = {
     "ledger_latest": "SELECT user_id, arg_max(event_id, (ts, event_id)) AS latest, count(*) AS n FROM events GROUP BY user_id",
 }
 #: The stream makes the attempts of the ladder; the tools find what the operators find.
-ORACLE_SQL |= {"escalation_stream": ORACLE_SQL["escalation_ladder"], "tool_navigate": ORACLE_SQL["navigate"], "tool_structured_query": ORACLE_SQL["structured_query"], "tool_semantic_search": ORACLE_SQL["chunk_search"]}
+ORACLE_SQL |= {"escalation_stream": ORACLE_SQL["escalation_ladder"], "tool_navigate": ORACLE_SQL["navigate"], "indexed_query": ORACLE_SQL["structured_query"], "tool_structured_query": ORACLE_SQL["structured_query"], "tool_semantic_search": ORACLE_SQL["chunk_search"]}

@@ -351,6 +351,16 @@ def structured_query(spark, sf_dir):
     return found.select("request_id", F.col("rank").cast("long").alias("rank"), "fact_id", F.col("score").cast("long").alias("score"), "fact_value")
 
 
+@query
+def indexed_query(spark, sf_dir):
+    """Fact lookup over stored trigram postings; only facts that hold a term's trigrams are scored."""
+    c = Corpus(spark, sf_dir)
+    found = sinks.written(c.facts, "facts")
+    postings = sinks.written(retrieval.fact_postings(found), "fact-postings")
+    hits = retrieval.fact_lookup(_requests(c.inputs.accounts, QUESTIONS, "query"), found, postings=postings)
+    return hits.select("request_id", F.col("rank").cast("long").alias("rank"), "fact_id", F.col("score").cast("long").alias("score"), "fact_value")
+
+
 def _tool(spark, name: str, candidates: DataFrame, limit: int = 5) -> DataFrame:
     """A retrieval tool, called from SQL over its candidates."""
     tools.register(spark)
