@@ -408,6 +408,17 @@ ORACLE_SQL: dict[str, str] = {
                sha256('type|k' || chr(10) || string_agg(line, chr(10) ORDER BY event_id)) AS content_hash FROM e GROUP BY user_id, day""",
     "upsert_vectors": "SELECT label, version, count(*) AS n FROM (SELECT label, unnest(CASE WHEN label % 2 = 1 THEN [3, 4] ELSE [1] END) AS version FROM embeddings) GROUP BY label, version",
     "ledger_summary": f"WITH {ATTEMPTS} SELECT strategy, accepted, count(*) AS n, round(sum(cost), 4) AS cost FROM attempts GROUP BY strategy, accepted",
+    "language_posterior": r"""WITH w AS (SELECT doc_id, lang, unnest(list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\p{L}]+', ' ', 'g'), ' '), lambda x: x <> '')) AS word FROM documents),
+        c AS (SELECT doc_id, any_value(lang) AS lang, word, count(*) AS n FROM w GROUP BY doc_id, word),
+        g AS (SELECT doc_id, any_value(lang) AS lang, gram, sum(n) AS n FROM (SELECT doc_id, lang, n, unnest(list_transform(range(1, length(word) + 1), lambda i: substr(' ' || word || ' ', i, 3))) AS gram FROM c) GROUP BY doc_id, gram),
+        p AS (SELECT lang, gram, sum(n) AS n FROM g WHERE doc_id % 5 <> 0 AND lang IS NOT NULL GROUP BY lang, gram),
+        u AS (SELECT lang, ln(sum(n) + (SELECT count(DISTINCT gram) + 1 FROM p)) AS unseen FROM p GROUP BY lang),
+        s AS (SELECT g.doc_id, p.lang, sum(g.n * ln(p.n + 1)) AS gain FROM g JOIN p ON p.gram = g.gram GROUP BY g.doc_id, p.lang),
+        t AS (SELECT doc_id, sum(n) AS total FROM g GROUP BY doc_id),
+        l AS (SELECT doc_id, lang, gain - total * unseen AS score FROM s JOIN t USING (doc_id) JOIN u USING (lang)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) AS k, exp(score - max(score) OVER (PARTITION BY doc_id)) AS p FROM l),
+        f AS (SELECT doc_id, max(lang) FILTER (k = 1) AS code, 1 / sum(p) AS confidence FROM r GROUP BY doc_id)
+        SELECT doc_id, coalesce(code, 'und') AS code, round(coalesce(confidence, 0.5), 4) AS confidence FROM documents LEFT JOIN f USING (doc_id)""",
     "ldu_cache": rf"""WITH RECURSIVE {CHUNKS}, kept AS (SELECT doc_id, regexp_extract(doc_id, '(\d+)$', 1)::BIGINT % 50 <> 10 AS there FROM accounts)
         SELECT doc_id, chunk_id, content_hash, NULL AS error FROM made JOIN kept USING (doc_id) WHERE there UNION ALL
         SELECT doc_id, NULL, NULL, 'missing_ldu_cache' FROM kept WHERE NOT there""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folioflow.config import ChunkRules
 from folioflow.functions import text as ft
-from folioflow.operators import answering, chunking, extraction, facts, indexing, payloads, retrieval, tools, triage, validation, vectors
+from folioflow.operators import answering, chunking, extraction, facts, indexing, language_profiles, payloads, retrieval, tools, triage, validation, vectors
 from folioflow.plans.pipeline import Corpus
 from folioflow.sources import layout, sinks
 from folioflow.sources import pages as sp
@@ -59,6 +59,14 @@ def language_signal(spark, sf_dir):
     return triage.language(read(spark, sf_dir, "documents")).select("doc_id", "code", F.round("confidence", 6).alias("confidence"))
 
 
+@query
+def language_posterior(spark, sf_dir):
+    """Language of all documents by trigram profiles; every fifth document is not learnt from."""
+    docs = read(spark, sf_dir, "documents")
+    found = language_profiles.identified(docs, docs.where("doc_id % 5 <> 0"))
+    return found.select("doc_id", "code", F.round("confidence", 4).alias("confidence"))
+
+
 def _pages(spark, sf_dir) -> DataFrame:
     return triage.page_stats(sp.word_boxes(read(spark, sf_dir, "documents")))
 
