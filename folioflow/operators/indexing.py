@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.config import IndexRules
-from folioflow.functions.text import parent_number, section_number, short_hash
+from folioflow.functions.text import parent_number, section_number, short_hash, terms
 from folioflow.sources.sinks import written
 
 #: What a chunk type counts as in a section.
@@ -139,6 +139,42 @@ def summaries(belonging: DataFrame, rules: IndexRules = IndexRules()) -> DataFra
     return request.select("doc_id", "section_id", F.array_join(F.transform(F.slice(sentences, 1, 3), lambda s: F.trim(s)), ". ").alias("summary"), F.size("c").alias("n_sources"))
 
 
+#: Steps of the power iteration, and sentences of a central summary.
+STEPS, SENTENCES = 3, 3
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def central_summaries(belonging: DataFrame, rules: IndexRules = IndexRules()) -> DataFrame:
+    """(doc_id, section_id, summary, sources): the most central sentences of a section's first chunks, in text order.
+
+    Sentences are joined by how many terms they share; from one each, weights go along these
+    joints ``STEPS`` times, as whole numbers. Sentences that say the same count once, the first of
+    them. ``sources`` are the chunks that the chosen sentences stand in. A section's request is
+    bounded by ``summary_chunks``, so its graph stays in its row.
+    """
+    order = Window.partitionBy("doc_id", "section_id").orderBy("sort_path", "n")
+    first = belonging.where("chunk_type <> 'section_header'").withColumn("k", F.row_number().over(order)).where(F.col("k") <= rules.summary_chunks)
+    said = F.filter(F.transform(F.split(F.regexp_replace("content", r"\n", ". "), r"[.?]"), lambda s: F.trim(s)), lambda s: F.length(s) > 0)
+    told = first.select("doc_id", "section_id", "k", "chunk_id", F.posexplode(said).alias("at", "sentence"))
+    once = told.groupBy("doc_id", "section_id", "sentence").agg(F.min(F.struct("k", "at", "chunk_id")).alias("p"))
+    request = once.groupBy("doc_id", "section_id").agg(F.array_sort(F.collect_list(F.struct("p.k", "p.at", "p.chunk_id", "sentence", terms(F.col("sentence")).alias("terms")))).alias("s"))
+    shared = F.transform("s", lambda a, i: F.transform("s", lambda b, j: F.when(i == j, 0).otherwise(F.size(F.array_intersect(a["terms"], b["terms"]))).cast("long")))
+
+    def spread(joints: Column) -> Column:
+        ones = F.transform(joints, lambda _: F.lit(1).cast("long"))
+        along = lambda row, weights: F.aggregate(F.zip_with(row, weights, lambda x, y: x * y), F.lit(0).cast("long"), lambda a, x: a + x)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), ones, lambda weights, _: F.transform(joints, lambda row: along(row, weights)))
+
+    ranked = lambda weights: F.slice(F.array_sort(F.transform(weights, lambda w, i: F.struct((-w).alias("minus"), i.alias("i")))), 1, SENTENCES)
+    chosen = request.withColumn("best", F.array_sort(F.transform(ranked(_let(shared, spread)), lambda r: r["i"])))
+    of = lambda c: F.transform("best", lambda i: F.get("s", i)[c])
+    return chosen.select("doc_id", "section_id", F.array_join(of("sentence"), ". ").alias("summary"), F.array_distinct(of("chunk_id")).alias("sources"))
+
+
 def sentence_count_fits(text: Column) -> Column:
     """Whether a text has two or three sentences; exclamation marks end none."""
     return F.size(F.filter(F.split(text, r"[.?]"), lambda s: F.length(F.trim(s)) > 0)).between(2, 3)

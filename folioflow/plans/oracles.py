@@ -342,6 +342,19 @@ ORACLE_SQL: dict[str, str] = {
     "data_types": f"WITH RECURSIVE {SECTIONS} SELECT doc_id, section_id, array_to_string(list_sort(list(DISTINCT {TYPE})), ',') AS data_types FROM members GROUP BY doc_id, section_id",
     "section_summaries": rf"""WITH RECURSIVE {SECTIONS}{SUMMARIES} SELECT doc_id, section_id, summary, n_sources,
         len(list_filter(regexp_split_to_array(summary, '[.?]'), lambda s: length(trim(s)) > 0)) BETWEEN 2 AND 3 AS fits FROM summaries""",
+    "central_summaries": rf"""WITH RECURSIVE {SECTIONS}{SUMMARIES}, told AS (
+            SELECT doc_id, section_id, k, chunk_id, unnest(x) AS sentence, generate_subscripts(x, 1) AS pl
+            FROM (SELECT *, list_filter(list_transform(regexp_split_to_array(replace(content, chr(10), '. '), '[.?]'), lambda s: trim(s)), lambda s: length(s) > 0) AS x FROM first_chunks)
+        ), once AS (SELECT doc_id, section_id, sentence, min((k, pl, chunk_id)) AS p, any_value({TERMS.format("sentence")}) AS t FROM told GROUP BY doc_id, section_id, sentence
+        ), s AS (SELECT *, p[3] AS chunk_id, row_number() OVER (PARTITION BY doc_id, section_id ORDER BY p) AS i FROM once
+        ), j AS (SELECT a.doc_id, a.section_id, a.i, b.i AS o, len(list_intersect(a.t, b.t))::BIGINT AS n FROM s a JOIN s b ON a.doc_id = b.doc_id AND a.section_id = b.section_id AND a.i <> b.i
+        ), w1 AS (SELECT doc_id, section_id, i, sum(n) AS w FROM j GROUP BY ALL
+        ), w2 AS (SELECT j.doc_id, j.section_id, j.i, sum(n * w) AS w FROM j JOIN w1 ON w1.doc_id = j.doc_id AND w1.section_id = j.section_id AND w1.i = j.o GROUP BY ALL
+        ), w3 AS (SELECT j.doc_id, j.section_id, j.i, sum(n * w) AS w FROM j JOIN w2 ON w2.doc_id = j.doc_id AND w2.section_id = j.section_id AND w2.i = j.o GROUP BY ALL
+        ), best AS (SELECT s.doc_id, s.section_id, s.i, sentence, chunk_id, row_number() OVER (PARTITION BY s.doc_id, s.section_id ORDER BY coalesce(w, 0) DESC, s.i) AS r FROM s LEFT JOIN w3 ON w3.doc_id = s.doc_id AND w3.section_id = s.section_id AND w3.i = s.i QUALIFY r <= 3
+        ), chunk AS (SELECT doc_id, section_id, chunk_id, min(i) AS i FROM best GROUP BY ALL
+        ), sources AS (SELECT doc_id, section_id, string_agg(chunk_id, ',' ORDER BY i) AS sources FROM chunk GROUP BY ALL)
+        SELECT doc_id, section_id, string_agg(sentence, '. ' ORDER BY i) AS summary, any_value(sources) AS sources FROM best JOIN sources USING (doc_id, section_id) GROUP BY doc_id, section_id""",
     "kv_facts": f"WITH RECURSIVE {FACTS} SELECT {FACT_COLUMNS} FROM facts WHERE rank = 1",
     "table_facts": f"WITH RECURSIVE {FACTS} SELECT {FACT_COLUMNS} FROM facts WHERE rank = 2",
     "inline_facts": f"WITH RECURSIVE {FACTS} SELECT {FACT_COLUMNS} FROM facts WHERE rank = 3",

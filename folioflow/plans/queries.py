@@ -299,6 +299,11 @@ def section_summaries(spark, sf_dir):
     return indexing.summaries(Corpus(spark, sf_dir).members).select("doc_id", "section_id", "summary", "n_sources", indexing.sentence_count_fits(F.col("summary")).alias("fits"))
 
 
+@query
+def central_summaries(spark, sf_dir):
+    return indexing.central_summaries(Corpus(spark, sf_dir).members).select("doc_id", "section_id", "summary", listed("sources"))
+
+
 # Facts
 
 
