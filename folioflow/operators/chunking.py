@@ -86,7 +86,7 @@ def pack_numbers(tokens: Column, limit: Column | int) -> Column:
         return F.get(F.transform(F.array(folded), joined), F.lit(0))
 
     zero = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("pack"), F.array().cast("array<array<int>>").alias("all"))
-    stretches = F.sequence(F.lit(0), F.ceil(F.size(tokens) / STRETCH).cast("int") - 1, F.lit(1))
+    stretches = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(tokens) / STRETCH).cast("int") - 1), F.lit(1))
     return F.aggregate(stretches, zero, stretch, lambda acc: F.flatten(acc["all"]))
 
 

@@ -4,8 +4,8 @@ A provider's result of a strategy is an event. The state of a document is where
 ladder, what it has spent, and the results that have arrived for strategies further up. An event
 that is next in turn is judged at once, along with those that wait behind it; attempts come out
 in the order of the ladder, whatever the order of the events. A strategy that has been judged, or
-waits, is not judged again, so repeated events change nothing, and so do events of a finished
-document. A timer ends documents that no event has reached for ``WAIT`` of event time: those that
+waits, is not judged again, so repeated events change nothing, and neither do events of a finished
+document; events that come later than ``LATE`` are left out. A timer ends documents that no event has reached for ``WAIT`` of event time: those that
 still wait for a result fail with ``provider_timeout``, and the state of either kind goes.
 """
 
@@ -51,13 +51,17 @@ class Ladder(StatefulProcessor):
         held = self.state.get() if self.state.exists() else None
         rung, attempt, spent, done = held[:4] if held else (None, 0, 0.0, False)
         results = {i: held[4 + 3 * i : 7 + 3 * i] for i in _RUNGS if held[6 + 3 * i] is not None} if held else {}
-        last = 0
+        last, watermark = 0, timerValues.getCurrentWatermarkInMs()
         for batch in rows:
             for ts, start, strategy, confidence, has, cost in zip(batch["ts"], batch["start"], batch["strategy"], batch["confidence"], batch["has_document"], batch["cost"]):
-                last = max(last, int(ts.timestamp() * 1000))
+                if (when := int(ts.timestamp() * 1000)) < watermark:
+                    continue
+                last = max(last, when)
                 if rung is None:
                     rung = LADDER.index(start)
                 results.setdefault(LADDER.index(strategy), (float(confidence), bool(has), float(cost)))
+        if not last:
+            return
         out = []
         while not done and rung in results:
             confidence, has, cost = results[rung]
@@ -75,7 +79,7 @@ class Ladder(StatefulProcessor):
         self.state.update((rung, attempt, spent, done, *[x for i in _RUNGS for x in waiting.get(i, (None, None, None))]))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        self.handle.registerTimer(max(last, timerValues.getCurrentWatermarkInMs()) + WAIT)
+        self.handle.registerTimer(max(last, watermark) + WAIT)
         yield _attempts(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
