@@ -51,14 +51,14 @@ from folioflow.llm.common import id_bucket, pieces, scratch, split_words, writte
 
 FOLDS, HELD_OUT = 5, 1
 CLASSES, SLOTS, ROWS = 32, 64, 2**14
-LOOKUP, LOOKUP_CHARS = 2**18, 64
+LOOKUP, LOOKUP_CHARS = 2**17, 64
 ROUNDS, BATCH, RATE = 3, 2**16, 1.0
 #: Squared gradients that every row begins with, so that a row that is met a few times moves a little.
 BEGUN = 64.0
 #: Weights stay within this, so that three of them have an exponential in 32 bits.
 LARGEST = 20.0
-#: Tokens that are scored at a time.
-SCORED = 2**15
+#: Tokens that are scored at a time, and of a batch of gradients.
+SCORED, STRIPE = 2**13, 2**13
 #: Weights travel in steps of 2^-16.
 FIXED = 2.0**16
 #: The end of a text among the words; no word is empty.
@@ -291,14 +291,18 @@ class Learner:
 
     def _step(self, table: int, weights: np.ndarray, rows: np.ndarray, prior: np.ndarray, target: np.ndarray) -> None:
         """The gradient of all tokens of a batch, added up by row of the table; rows move by AdaGrad."""
-        x, total = _exponents(weights, rows, prior)
-        x /= total[:, None]
+        x = np.empty((rows.shape[1], weights.shape[1]), np.float32)
+        for at in range(0, len(x), STRIPE):
+            part = slice(at, at + STRIPE)
+            expected, total = _exponents(weights, rows[:, part], prior if prior.ndim == 1 else prior[part])
+            x[part] = expected / total[:, None]
         x[np.arange(len(x)), target] -= 1
-        wrong = np.ascontiguousarray(x.T, np.float64)
-        gradient = np.zeros((len(wrong), ROWS))
+        gradient = np.zeros((x.shape[1], ROWS))
+        for column, sums in zip(x.T, gradient, strict=True):
+            wrong = column.astype(np.float64)
+            for r in rows:
+                sums += np.bincount(r, wrong, ROWS)
         for r in rows:
-            for column, sums in zip(wrong, gradient, strict=True):
-                sums += np.bincount(r, column, ROWS)
             self.met[table] += np.bincount(r, minlength=ROWS)
         self.squares[table] += np.einsum("ij,ij->j", gradient, gradient)
         gradient *= RATE / np.sqrt(self.squares[table])
