@@ -51,7 +51,7 @@ from folioflow.llm.common import id_bucket, pieces, scratch, split_words, writte
 
 FOLDS, HELD_OUT = 5, 1
 CLASSES, SLOTS, ROWS = 32, 64, 2**14
-LOOKUP, LOOKUP_CHARS = 2**17, 64
+LOOKUP, LOOKUP_CHARS = 2**16, 64
 ROUNDS, BATCH, RATE = 3, 2**16, 1.0
 #: Squared gradients that every row begins with, so that a row that is met a few times moves a little.
 BEGUN = 64.0
@@ -201,6 +201,7 @@ def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
     rows = docs.mapInArrow(task, f"row long, doc_id {id_type}, held_out boolean, slice int, n_tokens long, n_known long, base double, rest_score double, codes binary, others array<struct<word: string, n: bigint>>")
     path = scratch(docs.sparkSession, "language-model-codes")
     rows.write.partitionBy("slice").parquet(path)
+    shared.destroy()
     return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
