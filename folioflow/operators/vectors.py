@@ -71,5 +71,5 @@ def search(requests: DataFrame, vectors: DataFrame, chunks: DataFrame, limit: in
     hits = rows.join(known, ["doc_id", "vec_id"]).withColumn("distance", F.round(cosine_distance(F.col("embedding"), F.col("q")), 9))
     order = Window.partitionBy("request_id").orderBy("distance", F.array_min("pages"), "vec_id")
     # Vectors without a direction have no distance.
-    best = hits.where("not isnan(distance)").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
+    best = hits.where("distance is not null and not isnan(distance)").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
     return best.select("request_id", "doc_id", F.col("vec_id").alias("chunk_id"), F.nullif("section_id", F.lit("")).alias("section_id"), "content", "pages", "box", "content_hash", "rank", (1 / (1 + F.col("distance"))).alias("score"))

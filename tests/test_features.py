@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.operators import answering, chunking, indexing, language_profiles, metric, payloads, postings, retrieval, tools
+from folioflow.operators import answering, chunking, indexing, language_profiles, metric, payloads, postings, retrieval, tools, vectors
 from folioflow.plans.oracles import ORACLE_SQL
 from folioflow.plans.queries import QUERIES
 from folioflow.sources import layout
@@ -92,9 +92,9 @@ def test_metric_index_is_exact_and_prunes(spark, monkeypatch):
     rows = [(i, (centre[i % 12] + 0.15 * rng.normal(size=8)).tolist()) for i in range(3000)]
     # Two copies, and six vectors without a direction or of another length.
     rows += [(5004, rows[5][1]), (4999, rows[5][1]), (5000, [0.0] * 8), (5001, None), (5002, [1.0] * 7), (5003, [float("nan")] * 8), (5005, [None] * 8), (5006, [])]
-    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    queries = vectors.where("vec_id % 20 = 0 or vec_id >= 4999").select(F.col("vec_id").alias("request_id"), F.col("embedding").alias("query_vec"))
-    hits, work = metric.nearest(queries, vectors, 7)
+    known = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    queries = known.where("vec_id % 20 = 0 or vec_id >= 4999").select(F.col("vec_id").alias("request_id"), F.col("embedding").alias("query_vec"))
+    hits, work = metric.nearest(queries, known, 7)
     good = {i: np.array(v, np.float32).astype(float) for i, v in rows if v and len(v) == 8 and None not in v and np.isfinite(v).all() and any(v)}
     ids = np.array(sorted(good))
     units = np.array([good[i] / np.linalg.norm(good[i]) for i in ids])
@@ -107,7 +107,17 @@ def test_metric_index_is_exact_and_prunes(spark, monkeypatch):
         distance = np.round(1 - units @ units[list(ids).index(i)], 12)
         assert [v for _, v in sorted(found[i])] == ids[np.lexsort((ids, distance))[:7]].tolist()
     assert work.agg(F.sum("met")).first()[0] < len(asked) * len(ids) / 3
-    assert retrieval.nearest(queries, vectors.limit(0), 3).count() == 0
+    assert retrieval.nearest(queries, known.limit(0), 3).count() == 0
+
+
+def test_chunk_search_skips_vectors_without_a_direction(spark):
+    ids = [("a", [1.0, 0.0]), ("b", None), ("c", [0.0, 0.0]), ("d", [None, 1.0]), ("e", [float("nan"), 1.0]), ("f", [0.0, 2.0])]
+    known = spark.createDataFrame([(i, "d", v, "s") for i, v in ids], "vec_id string, doc_id string, embedding array<double>, section_id string")
+    box = F.struct(F.lit(0.0).alias("x0"))
+    chunks = known.select("doc_id", F.col("vec_id").alias("chunk_id"), F.lit("t").alias("content"), F.array(F.lit(1)).alias("pages"), box.alias("box"), F.lit("h").alias("content_hash"))
+    asked = spark.createDataFrame([(1, "d", "q")], "request_id int, doc_id string, query string")
+    found = vectors.search(asked, known, chunks, embed=lambda _: F.array(F.lit(1.0), F.lit(0.5)))
+    assert [r.chunk_id for r in found.orderBy("rank").collect()] == ["a", "f"]
 
 
 def test_audit_ends_at_words(spark):
