@@ -1,5 +1,7 @@
 """What must hold so that work and memory grow with the input."""
 
+from folioflow.config import ChunkRules
+from folioflow.operators import chunking
 from folioflow.plans.pipeline import Corpus
 
 SMALL = "/root/testdata/sf0.001"
@@ -14,3 +16,15 @@ def test_sections_do_not_pass_through_the_driver(spark):
     c = Corpus(spark, SMALL)
     for rows in (c.members, c.vectors, c.located_facts):
         assert "BroadcastHashJoin" not in plan(rows), plan(rows)
+
+
+def test_items_are_sorted_once(spark):
+    c = Corpus(spark, SMALL)
+    assert plan(chunking.runs(c.items, chunking.READING)).count("Sort [") == 1
+
+
+def test_a_run_that_fits_is_one_pack_and_others_are_cut(spark):
+    rows = [(d, i, 1, "text", "s", 0, "a b c", 1, (0.0, 0.0, 1.0, 1.0)) for d, n in (("fits", 3), ("long", 5)) for i in range(n, 0, -1)]
+    schema = "doc_id string, ord int, run long, role string, section string, section_ord int, text string, page_number int, box struct<x0 double, y0 double, x1 double, y1 double>"
+    found = chunking.packed(spark.createDataFrame(rows, schema), ChunkRules(chunk_tokens=9)).collect()
+    assert sorted((r.doc_id, r.part, r.parts, r.ord, r.n_blocks, r.tokens, r.content.count("\n")) for r in found) == [("fits", 1, 1, 1, 3, 9, 2), ("long", 1, 2, 1, 3, 9, 2), ("long", 2, 2, 4, 2, 6, 1)]
