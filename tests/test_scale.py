@@ -1,8 +1,11 @@
 """What must hold so that work and memory grow with the input."""
 
-from folioflow.config import ChunkRules
+from pyspark.sql import Row
+
+from folioflow.config import ChunkRules, ExtractionRules
 from folioflow.operators import chunking
 from folioflow.plans.pipeline import Corpus
+from folioflow.streaming import escalation
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -28,3 +31,53 @@ def test_a_run_that_fits_is_one_pack_and_others_are_cut(spark):
     schema = "doc_id string, ord int, run long, role string, section string, section_ord int, text string, page_number int, box struct<x0 double, y0 double, x1 double, y1 double>"
     found = chunking.packed(spark.createDataFrame(rows, schema), ChunkRules(chunk_tokens=9)).collect()
     assert sorted((r.doc_id, r.part, r.parts, r.ord, r.n_blocks, r.tokens, r.content.count("\n")) for r in found) == [("fits", 1, 1, 1, 3, 9, 2), ("long", 1, 2, 1, 3, 9, 2), ("long", 2, 2, 4, 2, 6, 1)]
+
+
+def test_escalation_state_takes_few_messages():
+    """A bucket of documents costs one read and one write of its state a batch, and one timer."""
+    calls = []
+
+    class State:
+        held = None
+
+        def exists(self):
+            calls.append("exists")
+            return self.held is not None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, row):
+            calls.append("update")
+            self.held = row
+
+        def clear(self):
+            calls.append("clear")
+            self.held = None
+
+    class Handle:
+        getValueState = lambda self, *_: State()
+        listTimers = lambda self: calls.append("list") or iter(())
+        deleteTimer = lambda self, _: calls.append("delete")
+        registerTimer = lambda self, at: calls.append(("timer", at))
+
+    class Clock:
+        now = 0
+        getCurrentWatermarkInMs = lambda self: self.now
+
+    ladder, clock = escalation.Ladder(ExtractionRules(), 0.01), Clock()
+    ladder.init(Handle())
+    event = lambda ms, strategy, has, doc_id=1: Row(doc_id=doc_id, ms=ms, start="fast_text", strategy=strategy, confidence=0.9, has_document=has, cost=0.01)
+    assert [r.doc_id for r in ladder.handleInputRows((7,), iter([event(1000, "fast_text", False), event(3000, "fast_text", False, 2)]), clock)] == [1, 2]
+    assert list(ladder.handleInputRows((7,), iter([event(5000, "vision", True)]), clock)) == []
+    assert calls == ["get", ("timer", 1000 + escalation.WAIT), "update", "get", "update"]
+    # The first timer is early for document 1, which was heard of since, and for document 2.
+    clock.now = 1000 + escalation.WAIT
+    assert list(ladder.handleExpiredTimer((7,), clock, None)) == []
+    assert calls[-3:] == ["get", ("timer", 3000 + escalation.WAIT), "update"]
+    clock.now = 3000 + escalation.WAIT
+    assert [(r.doc_id, r.attempt, r.error) for r in ladder.handleExpiredTimer((7,), clock, None)] == [(2, 2, "provider_timeout")]
+    clock.now = 5000 + escalation.WAIT
+    assert [(r.doc_id, r.strategy, r.error) for r in ladder.handleExpiredTimer((7,), clock, None)] == [(1, "layout_aware", "provider_timeout")]
+    assert calls[-1] == "clear"
