@@ -82,20 +82,46 @@ def text_blocks(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     )
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _dense(cells: Column) -> Column:
-    """Rows of sparse cells: each as wide as its last cell, gaps empty, the later of two cells at a place."""
+    """Rows of sparse cells: each as wide as its last cell, gaps empty, the later of two cells at a place.
+
+    Cells are read and sorted once; rows are then stretches of them, so a table takes time in
+    proportion to its cells. ``_let`` keeps them from being read anew for every row.
+    """
     place = lambda c, k: F.coalesce(at(c, f"$.{k}", "int"), F.lit(0))
-    plain = F.transform(F.filter(cells, lambda c: at(c, "$", "map<string,variant>").isNotNull()), lambda c, i: F.struct(place(c, CELL_ROW).alias("r"), place(c, CELL_COLUMN).alias("c"), F.coalesce(at(c, "$.text", "string"), F.lit("")).alias("t"), i.alias("i")))
-    height = F.array_max(F.transform(plain, lambda c: c["r"]))
+    objects = F.filter(cells, lambda c: at(c, "$", "map<string,variant>").isNotNull())
+    plain = F.array_sort(F.transform(objects, lambda c, i: F.struct(place(c, CELL_ROW).alias("r"), place(c, CELL_COLUMN).alias("c"), i.alias("i"), F.coalesce(at(c, "$.text", "string"), F.lit("")).alias("t"))))
+    zero, bare = F.lit(0), F.array().cast("array<string>")
+    numbers = lambda a: F.when(F.size(a) > 0, F.sequence(zero, F.size(a) - 1)).otherwise(F.array().cast("array<int>"))
+
+    def row(own: Column) -> Column:
+        before = lambda i: F.coalesce(F.get(own, i - 1)["c"], F.lit(-1))
+        return F.flatten(F.transform(own, lambda c, i: F.concat(F.array_repeat(F.lit(""), c["c"] - before(i) - 1), F.array(c["t"]))))
+
+    def stretches(kept: Column) -> Column:
+        """(r, cells) of every row that has cells."""
+        begins = F.filter(numbers(kept), lambda k: (k == 0) | (F.get(kept, k)["r"] != F.get(kept, k - 1)["r"]))
+        end = lambda b, j: F.coalesce(F.get(b, j + 1), F.size(kept))
+        return _let(begins, lambda b: F.transform(b, lambda k, j: F.struct(F.get(kept, k)["r"].alias("r"), row(F.slice(kept, k + 1, end(b, j) - k)).alias("cells"))))
+
+    def grid(every: Column) -> Column:
+        height = F.element_at(every, -1)["r"]
+        # A table whose rows are all below zero is read downwards, from zero to its last one.
+        last = F.filter(every, lambda c: (c["c"] >= 0) & F.when(height >= 0, c["r"] >= 0).otherwise(c["r"] == height))
+        kept = _let(last, lambda a: F.filter(a, lambda c, k: F.coalesce((F.get(a, k + 1)["r"] != c["r"]) | (F.get(a, k + 1)["c"] != c["c"]), F.lit(True))))
+        return _let(_let(kept, stretches), lambda rows: F.when(height >= 0, _filled(rows, height)).otherwise(F.concat(F.array_repeat(bare, -height), F.array(F.coalesce(F.get(rows, zero)["cells"], bare)))))
 
-    def row(r: Column) -> Column:
-        own = F.filter(plain, lambda c: c["r"] == r)
-        width = F.coalesce(F.array_max(F.transform(own, lambda c: c["c"])), F.lit(-1))
-        last = F.map_from_entries(F.transform(F.filter(own, lambda c: ~F.exists(own, lambda o: (o["c"] == c["c"]) & (o["i"] > c["i"]))), lambda c: F.struct(c["c"], c["t"])))
-        columns = F.when(width >= 0, F.sequence(F.lit(0), width)).otherwise(F.array().cast("array<int>"))
-        return F.transform(columns, lambda k: F.coalesce(F.element_at(last, k), F.lit("")))
+    def _filled(rows: Column, height: Column) -> Column:
+        before = lambda j: F.coalesce(F.get(rows, j - 1)["r"], F.lit(-1))
+        some = F.flatten(F.transform(rows, lambda r, j: F.concat(F.array_repeat(bare, r["r"] - before(j) - 1), F.array(r["cells"]))))
+        return F.concat(some, F.array_repeat(bare, height - F.coalesce(F.get(rows, F.size(rows) - 1)["r"], F.lit(-1))))
 
-    return F.when(F.size(plain) > 0, F.transform(F.sequence(F.lit(0), height), row))
+    return _let(plain, lambda every: F.when(F.size(every) > 0, grid(every)))
 
 
 def tables(rows: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -104,12 +130,14 @@ def tables(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     headers = F.coalesce(F.transform(at(b, "$.headers", "array<variant>"), lambda h: F.coalesce(at(h, "$", "string"), F.lit(""))), none)
     lists = F.transform(at(b, "$.rows", "array<variant>"), lambda r: at(r, "$", "array<variant>"))
     given = F.coalesce(F.transform(F.filter(lists, lambda r: r.isNotNull()), lambda r: F.transform(r, lambda c: F.coalesce(at(c, "$", "string"), F.lit("")))), nothing)
-    found = _placed(_items(rows, key, TABLE_KEYS), "tbl", TABLE_CONFIDENCE).withColumn("headers", headers).withColumn("rows", given)
-    bare = (F.size("headers") == 0) & (F.size("rows") == 0)
-    found = found.withColumn("grid", F.when(bare, _dense(at(b, "$.data.table_cells", "array<variant>"))))
-    found = found.withColumn("headers", F.when(F.col("grid").isNotNull(), F.get("grid", F.lit(0))).otherwise(F.col("headers")))
-    found = found.withColumn("rows", F.when(F.col("grid").isNotNull(), F.slice("grid", 2, F.greatest(F.size("grid"), F.lit(1)))).otherwise(F.col("rows")))
-    found = found.where((F.size("headers") > 0) | (F.size("rows") > 0))
+    table = lambda h, r: F.struct(h.alias("headers"), r.alias("rows"))
+    cut = lambda g: F.when(g.isNotNull(), table(F.get(g, F.lit(0)), F.slice(g, 2, F.greatest(F.size(g), F.lit(1)))))
+    whole = lambda t: F.when((F.size(t["headers"]) > 0) | (F.size(t["rows"]) > 0), t).otherwise(_let(_dense(at(b, "$.data.table_cells", "array<variant>")), cut))
+    full = lambda t: t.isNotNull() & ((F.size(t["headers"]) > 0) | (F.size(t["rows"]) > 0))
+    # Exploded, so that a table is put together once, whatever is asked of it.
+    found = _placed(_items(rows, key, TABLE_KEYS), "tbl", TABLE_CONFIDENCE)
+    found = found.withColumn("table", F.explode(F.filter(F.array(_let(table(headers, given), whole)), full)))
+    found = found.withColumn("headers", F.col("table.headers")).withColumn("rows", F.col("table.rows"))
     return found.select(key, "idx", "item_id", "page_number", "box", at(b, "$.caption", "string").alias("caption"), "headers", "rows", _hash(table_serial(F.col("headers"), F.col("rows"))).alias("content_hash"), "confidence")
 
 

@@ -1,9 +1,12 @@
 """What must hold so that work and memory grow with the input."""
 
+import json
+import time
+
 from pyspark.sql import Row
 
 from folioflow.config import ChunkRules, ExtractionRules
-from folioflow.operators import chunking
+from folioflow.operators import chunking, payloads
 from folioflow.plans.pipeline import Corpus
 from folioflow.streaming import escalation
 
@@ -81,3 +84,15 @@ def test_escalation_state_takes_few_messages():
     clock.now = 5000 + escalation.WAIT
     assert [(r.doc_id, r.strategy, r.error) for r in ladder.handleExpiredTimer((7,), clock, None)] == [(1, "layout_aware", "provider_timeout")]
     assert calls[-1] == "clear"
+
+
+def test_sparse_tables_take_time_by_their_cells(spark):
+    """The cells of a table are read once, not once a row."""
+    n = 1500
+    cells = [{"start_row_offset_idx": r, "start_col_offset_idx": c, "text": f"{r}-{c}"} for r in range(n) for c in (2, 0) if (r, c) != (7, 2)]
+    docs = spark.createDataFrame([("d", json.dumps({"tables": [{"data": {"table_cells": cells + cells[:1]}}]}))], "doc_id string, payload string")
+    began = time.monotonic()
+    (found,) = payloads.normalized(docs)[2].collect()
+    assert time.monotonic() - began < 20
+    assert found.headers == ["0-0", "", "0-2"] and len(found.rows) == n - 1
+    assert found.rows[6] == ["7-0"] and found.rows[7] == ["8-0", "", "8-2"]
