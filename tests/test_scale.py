@@ -6,7 +6,7 @@ import time
 from pyspark.sql import Row
 
 from folioflow.config import ChunkRules, ExtractionRules
-from folioflow.operators import chunking, payloads
+from folioflow.operators import chunking, language_profiles, payloads
 from folioflow.plans.pipeline import Corpus
 from folioflow.streaming import escalation
 
@@ -96,3 +96,14 @@ def test_sparse_tables_take_time_by_their_cells(spark):
     assert time.monotonic() - began < 20
     assert found.headers == ["0-0", "", "0-2"] and len(found.rows) == n - 1
     assert found.rows[6] == ["7-0"] and found.rows[7] == ["8-0", "", "8-2"]
+
+
+def test_trigrams_of_documents_are_not_shuffled(spark, monkeypatch):
+    """Where the profiles fit, one row a document is; both ways give the same."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").unionByName(spark.createDataFrame([(-1, None, None, None, 0), (-2, "12", "xx", None, 0), (-3, "\u4e00\u4e01 \u4e02", None, None, 0)], "doc_id long, text string, lang string, source string, n_chars long"))
+    handed = language_profiles.identified(docs, docs.where("doc_id % 5 <> 0"))
+    assert "gram" not in plan(handed)
+    monkeypatch.setattr(language_profiles, "MOST_GAINS", 0)
+    joined = language_profiles.identified(docs, docs.where("doc_id % 5 <> 0"))
+    told = lambda df: sorted((r.doc_id, r.code, round(r.confidence, 6)) for r in df.collect())
+    assert told(handed) == told(joined)
