@@ -6,7 +6,7 @@ import time
 from pyspark.sql import Row
 
 from folioflow.config import ChunkRules, ExtractionRules
-from folioflow.operators import chunking, language_profiles, payloads
+from folioflow.operators import chunking, facts, language_profiles, payloads, retrieval
 from folioflow.plans.pipeline import Corpus
 from folioflow.streaming import escalation
 
@@ -107,3 +107,24 @@ def test_trigrams_of_documents_are_not_shuffled(spark, monkeypatch):
     joined = language_profiles.identified(docs, docs.where("doc_id % 5 <> 0"))
     told = lambda df: sorted((r.doc_id, r.code, round(r.confidence, 6)) for r in df.collect())
     assert told(handed) == told(joined)
+
+
+def _facts_and_requests(spark):
+    found = spark.createDataFrame([(f"f{i}", f"Net {n} {i}", f"USD {i}", f"net {n} {i}", "d", i) for i in range(20) for n in ("amount" if i % 4 else "date",)] + [("n", None, None, "date", "d", 1)], "fact_id string, fact_name string, fact_value string, normalized_name string, doc_id string, page_number int")
+    return found, spark.createDataFrame([(1, "d", "date"), (2, "e", "amount"), (3, "d", "usd 13")], "request_id int, doc_id string, query string")
+
+
+def test_only_postings_that_are_asked_for_are_stored(spark):
+    found, requests = _facts_and_requests(spark)
+    some = retrieval.fact_postings(found, requests)
+    assert {r.gram for r in some.collect()} <= {"dat", "ate", "usd"} and some.count() < retrieval.fact_postings(found).count() / 4
+    told = lambda p: sorted((r.request_id, r["rank"], r.fact_id, r.score) for r in retrieval.fact_lookup(requests, found, postings=p).collect())
+    assert told(some) == told(None) != []
+
+
+def test_facts_without_a_term_are_not_handed_to_the_tool(spark):
+    found, requests = _facts_and_requests(spark)
+    pairs = requests.join(found, "doc_id")
+    left = {(r.request_id, r.fact_id) for r in retrieval.with_terms(pairs).collect()}
+    assert left == {(1, f"f{i}") for i in range(0, 20, 4)} | {(1, "n")} | {(3, f"f{i}") for i in range(20)}
+    assert facts.facts(Corpus(spark, SMALL).chunks, facts.LOOKED_UP).columns == ["fact_id", *facts.LOOKED_UP]
