@@ -27,19 +27,15 @@ def cluster_count(points: Column, threshold: Column | float) -> Column:
         new = acc["anchor"].isNull() | (x - acc["anchor"] > limit)
         return F.struct(F.when(new, x).otherwise(acc["anchor"]).alias("anchor"), (acc["n"] + F.when(new, 1).otherwise(0)).alias("n"))
 
-    return F.aggregate(F.array_sort(points), start, step)["n"]
+    # Points that occur again begin no cluster.
+    return F.aggregate(F.sort_array(F.array_distinct(F.array_compact(points))), start, step)["n"]
 
 
 def boundary_repeat(bins: Column) -> Column:
-    """Share of the different bins that occur more than twice, by one fold over the sorted bins."""
-    start = F.struct(F.lit(None).cast("bigint").alias("bin"), F.lit(0).alias("run"), F.lit(0).alias("kinds"), F.lit(0).alias("often"))
-
-    def step(acc: Column, x: Column) -> Column:
-        new = acc["bin"].isNull() | (acc["bin"] != x)
-        run = F.when(new, 1).otherwise(acc["run"] + 1)
-        return F.struct(x.alias("bin"), run.alias("run"), (acc["kinds"] + new.cast("int")).alias("kinds"), (acc["often"] + (run == 3).cast("int")).alias("often"))
-
-    return F.aggregate(F.array_sort(bins), start, step, lambda acc: acc["often"] / F.greatest(acc["kinds"], F.lit(1)))
+    """Share of the different bins that occur more than twice: the sorted bins that are the third of their kind."""
+    third = lambda s: F.size(F.filter(s, lambda x, i: (i >= 2) & (F.get(s, i - 2) == x) & ((i == 2) | (F.get(s, i - 3) != x))))
+    often = F.element_at(F.transform(F.array(F.sort_array(bins)), third), 1)
+    return often / F.greatest(F.size(F.array_distinct(bins)), F.lit(1))
 
 
 def page_stats(words: DataFrame, marks: DataFrame | None = None, width: float = 612.0, height: float = 792.0) -> DataFrame:
@@ -48,18 +44,30 @@ def page_stats(words: DataFrame, marks: DataFrame | None = None, width: float =
     ``words`` has doc_id, page_number, x0, x1, top; one group per page gives everything.
     ``marks`` has what text does not have (see ``page_signals``); pages without get zeros.
     """
-    centre = (F.col("x0") + F.col("x1")) / 2
-    pages = words.groupBy("doc_id", "page_number").agg(
-        F.count("*").alias("n_words"),
-        F.sum((F.col("x1") - F.col("x0")) / 5).cast("long").alias("chars"),
-        F.collect_list(F.struct("x0", "x1")).alias("xs"),
-        F.count_if(centre < 0.4 * width).alias("left"),
-        F.count_if(centre > 0.6 * width).alias("right"),
+    return placed_stats(words.groupBy("doc_id", "page_number").agg(F.collect_list(F.struct("x0", "x1")).alias("xs")), marks, width, height)
+
+
+def placed_stats(pages: DataFrame, marks: DataFrame | None = None, width: float = 612.0, height: float = 792.0) -> DataFrame:
+    """``page_stats`` of pages that have their words already: doc_id, page_number, xs (array of x0 and x1).
+
+    Everything is taken within the row, so nothing is shuffled.
+    """
+    centres = F.transform("xs", lambda w: (w["x0"] + w["x1"]) / 2)
+    bins = F.concat(F.transform("xs", lambda w: F.floor(w["x0"] / 10)), F.transform("xs", lambda w: F.floor(w["x1"] / 10)))
+    chars = F.aggregate("xs", F.lit(0.0), lambda s, w: s + (w["x1"] - w["x0"]) / 5)
+    pages = pages.withColumns({"centres": centres, "bins": bins}).select(
+        "doc_id",
+        "page_number",
+        "centres",
+        "bins",
+        F.size("xs").cast("long").alias("n_words"),
+        chars.cast("long").alias("chars"),
+        F.size(F.filter("centres", lambda c: c < 0.4 * width)).cast("long").alias("left"),
+        F.size(F.filter("centres", lambda c: c > 0.6 * width)).cast("long").alias("right"),
     )
     n = F.col("n_words")
     gutter = (n - F.col("left") - F.col("right")) / n
     balanced = (F.col("left") / n >= 0.25) & (F.col("right") / n >= 0.25)
-    bins = F.concat(F.transform("xs", lambda w: F.floor(w["x0"] / 10)), F.transform("xs", lambda w: F.floor(w["x1"] / 10)))
     signals = ("image_ratio", "edge_density", "table_score")
     if marks is not None:
         pages = pages.join(page_signals(marks, pages.select("doc_id", "page_number", "n_words")), ["doc_id", "page_number"], "left")
@@ -69,9 +77,9 @@ def page_stats(words: DataFrame, marks: DataFrame | None = None, width: float =
         "n_words",
         "chars",
         (F.col("chars") / F.lit(width * height)).alias("density"),
-        cluster_count(F.transform("xs", lambda w: (w["x0"] + w["x1"]) / 2), 0.12 * width).alias("x_clusters"),
+        cluster_count(F.col("centres"), 0.12 * width).alias("x_clusters"),
         F.when(balanced, F.greatest(F.lit(0.0), 1 - 2 * gutter)).otherwise(0.0).alias("column_balance"),
-        boundary_repeat(bins).alias("boundary_repeat"),
+        boundary_repeat(F.col("bins")).alias("boundary_repeat"),
         *[(F.coalesce(F.col(c), F.lit(0.0)) if marks is not None else F.lit(0.0)).alias(c) for c in signals],
     )
 
@@ -163,9 +171,14 @@ def needs_advanced(cost: Column) -> Column:
     return cost.isin("needs_layout_model", "needs_vision_model")
 
 
-def _occurrences(kinds: tuple[str, ...]) -> Column:
-    """How many of a row's tokens are one of these."""
-    return F.size(F.filter(F.col("tokens"), lambda t: t.isin(*kinds)))
+def _counted(rows: DataFrame, tokens: Column, kinds: dict[str, tuple[str, ...]]) -> DataFrame:
+    """(doc_id, a column per kind): how many of a row's tokens are of each kind.
+
+    All tokens are looked up once, in the words of all kinds; only those found are compared with each kind's.
+    """
+    among = lambda found, words: F.filter(found, lambda t: t.isin(*words))
+    known = rows.select("doc_id", among(tokens, sorted({w for words in kinds.values() for w in words})).alias("tokens"))
+    return known.select("doc_id", *[F.size(among(F.col("tokens"), words)).alias(kind) for kind, words in kinds.items()])
 
 
 def domains(texts: DataFrame, rules: TriageRules = TriageRules()) -> DataFrame:
@@ -173,8 +186,7 @@ def domains(texts: DataFrame, rules: TriageRules = TriageRules()) -> DataFrame:
 
     Keywords are counted within a row, so nothing is shuffled but the counts.
     """
-    counts = [_occurrences(kw).alias(name) for name, kw in rules.domains.items()]
-    per_row = texts.select("doc_id", letters(F.col("text")).alias("tokens")).select("doc_id", *counts)
+    per_row = _counted(texts, letters(F.col("text")), rules.domains)
     sums = per_row.groupBy("doc_id").agg(*[F.sum(n).alias(n) for n in rules.domains])
     best = F.greatest(*[F.col(n) for n in rules.domains])
     chosen = F.lit("general")
@@ -186,8 +198,7 @@ def domains(texts: DataFrame, rules: TriageRules = TriageRules()) -> DataFrame:
 def language(texts: DataFrame, rules: TriageRules = TriageRules()) -> DataFrame:
     """(doc_id, code, confidence): a vote of common words; undetermined without any."""
     tokens = F.split(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+", " "), " ")
-    votes = [_occurrences(ws).alias(f"v_{c}") for c, ws in sorted(STOPWORDS.items())]
-    rows = texts.select("doc_id", tokens.alias("tokens")).select("doc_id", *votes)
+    rows = _counted(texts, tokens, {f"v_{c}": ws for c, ws in sorted(STOPWORDS.items())})
     total = sum((F.col(f"v_{c}") for c in sorted(STOPWORDS)), F.lit(0))
     best = F.greatest(*[F.col(f"v_{c}") for c in sorted(STOPWORDS)])
     code = F.lit(rules.fallback_language)

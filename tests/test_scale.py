@@ -6,8 +6,9 @@ import time
 from pyspark.sql import Row
 
 from folioflow.config import ChunkRules, ExtractionRules
-from folioflow.operators import chunking, facts, language_profiles, payloads, retrieval
+from folioflow.operators import chunking, facts, language_profiles, payloads, retrieval, triage
 from folioflow.plans.pipeline import Corpus
+from folioflow.sources import pages as sp
 from folioflow.streaming import escalation
 
 SMALL = "/root/testdata/sf0.001"
@@ -128,3 +129,21 @@ def test_facts_without_a_term_are_not_handed_to_the_tool(spark):
     left = {(r.request_id, r.fact_id) for r in retrieval.with_terms(pairs).collect()}
     assert left == {(1, f"f{i}") for i in range(0, 20, 4)} | {(1, "n")} | {(3, f"f{i}") for i in range(20)}
     assert facts.facts(Corpus(spark, SMALL).chunks, facts.LOOKED_UP).columns == ["fact_id", *facts.LOOKED_UP]
+
+
+def test_pages_are_placed_where_documents_are_read(spark):
+    """Words are not shuffled; whole pages have the statistics that word boxes by rows give."""
+    odd = [(-1, None), (-2, ""), (-3, " \n\t\n  "), (-4, "\n" * 85 + "a\u00e4\U0001f600 b  c\n"), (-5, "x " * 3000 + "\n" + "y" * 700), (None, "no id"), (-6, "z\r\n z")]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    whole = triage.placed_stats(sp.page_boxes(docs, most=5000))
+    assert "Exchange" not in plan(whole)
+    told = lambda df: sorted(map(str, df.collect()))
+    assert told(whole) == told(triage.page_stats(sp.word_boxes(docs))) != []
+
+
+def test_tokens_are_compared_with_few_words(spark):
+    """Texts vote as each kind's words do by themselves; a word can count for two languages."""
+    docs = spark.createDataFrame([(1, "que que der Tax the los"), (2, None)], "doc_id long, text string")
+    assert [(r.code, round(r.confidence, 6)) for r in triage.language(docs).orderBy("doc_id").collect()] == [("es", round(3 / 7, 6)), ("und", triage.TriageRules().fallback_confidence)]
+    filters = plan(triage.domains(docs)).count("tax")
+    assert filters == 2, plan(triage.domains(docs))
