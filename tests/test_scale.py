@@ -6,9 +6,10 @@ import time
 from pyspark.sql import Row
 
 from folioflow.config import ChunkRules, ExtractionRules
-from folioflow.operators import chunking, facts, language_profiles, payloads, retrieval, triage
+from folioflow.operators import chunking, facts, indexing, language_profiles, payloads, retrieval, triage
 from folioflow.plans.pipeline import Corpus
 from folioflow.sources import pages as sp
+from folioflow.sources import sinks
 from folioflow.streaming import escalation
 
 SMALL = "/root/testdata/sf0.001"
@@ -147,3 +148,23 @@ def test_tokens_are_compared_with_few_words(spark):
     assert [(r.code, round(r.confidence, 6)) for r in triage.language(docs).orderBy("doc_id").collect()] == [("es", round(3 / 7, 6)), ("und", triage.TriageRules().fallback_confidence)]
     filters = plan(triage.domains(docs)).count("tax")
     assert filters == 2, plan(triage.domains(docs))
+
+
+def test_rows_of_a_task_do_not_grow_with_the_input(spark, monkeypatch):
+    """What is sorted, joined and grouped by document is dealt by its rows, and comes out the same."""
+
+    def told():
+        c = Corpus(spark, SMALL)
+        made = c.items, c.members, indexing.ranges(c.sections, c.members, c.tasks), indexing.entities(c.members, tasks=c.tasks)
+        rows = [sorted(map(str, df.select("doc_id", *names).collect())) for df, names in zip(made, (["block_id", "ord", "section"], ["section_id", "chunk_id", "content"], ["section_id", "page_start", "page_end", "n_chunks", "n_direct"], ["section_id", "rank", "entity", "score"]), strict=True)]
+        return c.tasks, [plan(df) for df in made], rows
+
+    tasks, _, rows = told()
+    assert tasks == 0
+    monkeypatch.setattr(sinks, "TASK_ROWS", 100)
+    tasks, plans, dealt = told()
+    assert tasks > 4 and tasks % spark.sparkContext.defaultParallelism == 0
+    for p in plans:
+        exchanges = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
+        assert exchanges and all(f"{tasks}), REPARTITION_BY_NUM" in line for line in exchanges), p
+    assert dealt == rows
