@@ -155,8 +155,10 @@ def test_rows_of_a_task_do_not_grow_with_the_input(spark, monkeypatch):
 
     def told():
         c = Corpus(spark, SMALL)
-        made = c.items, c.members, indexing.ranges(c.sections, c.members, c.tasks), indexing.entities(c.members, tasks=c.tasks)
-        rows = [sorted(map(str, df.select("doc_id", *names).collect())) for df, names in zip(made, (["block_id", "ord", "section"], ["section_id", "chunk_id", "content"], ["section_id", "page_start", "page_end", "n_chunks", "n_direct"], ["section_id", "rank", "entity", "score"]), strict=True)]
+        ordered = sinks.written(chunking.runs(c.items, chunking.READING), "items", many=True)
+        chunks = chunking.chunks(c.inputs.blocks, c.tables, c.cells, c.inputs.figures, c.rules.chunking, ordered, c.tasks)
+        made = c.items, chunks, c.members, indexing.ranges(c.sections, c.members, c.tasks), indexing.entities(c.members, tasks=c.tasks)
+        rows = [sorted(map(str, df.select("doc_id", *names).collect())) for df, names in zip(made, (["block_id", "ord", "section"], ["chunk_id", "content_hash", "label"], ["section_id", "chunk_id", "content"], ["section_id", "page_start", "page_end", "n_chunks", "n_direct"], ["section_id", "rank", "entity", "score"]), strict=True)]
         return c.tasks, [plan(df) for df in made], rows
 
     tasks, _, rows = told()
