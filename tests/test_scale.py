@@ -170,3 +170,15 @@ def test_rows_of_a_task_do_not_grow_with_the_input(spark, monkeypatch):
         exchanges = [line for line in p.splitlines() if "Exchange hashpartitioning" in line]
         assert exchanges and all(f"{tasks}), REPARTITION_BY_NUM" in line for line in exchanges), p
     assert dealt == rows
+
+
+def test_central_sentences_take_time_by_their_terms(spark):
+    """No pair of sentences is met, and weights beyond 64 bits count as they are."""
+    same = " ".join(f"t{i}" for i in range(1500))
+    texts = {"many": ". ".join(["none", *(f"{i} said" for i in range(8000)), "said 1 2 3"]), "heavy": ". ".join(["none", *(f"{same} x{i}" for i in range(1500))]), "empty": " . ?\n"}
+    rows = [("d", s, "1", 1, f"c-{s}", "section_text", text) for s, text in texts.items()] + [("d", "null", "1", 1, "c", "section_text", None)]
+    members = spark.createDataFrame(rows, "doc_id string, section_id string, sort_path string, n int, chunk_id string, chunk_type string, content string")
+    began = time.monotonic()
+    found = {r.section_id: (r.summary.split(". "), r.sources) for r in indexing.central_summaries(members).collect()}
+    assert time.monotonic() - began < 30
+    assert found == {"many": (["1 said", "2 said", "said 1 2 3"], ["c-many"]), "heavy": ([f"{same} x{i}" for i in range(3)], ["c-heavy"])}
