@@ -182,3 +182,24 @@ def test_central_sentences_take_time_by_their_terms(spark):
     found = {r.section_id: (r.summary.split(". "), r.sources) for r in indexing.central_summaries(members).collect()}
     assert time.monotonic() - began < 30
     assert found == {"many": (["1 said", "2 said", "said 1 2 3"], ["c-many"]), "heavy": ([f"{same} x{i}" for i in range(3)], ["c-heavy"])}
+
+
+def test_facts_stay_where_their_chunks_are(spark):
+    """What a chunk tells twice is one fact, by the later kind of extraction; no fact is shuffled for that."""
+    rows = [("d", f"c{i}", "section_text", "Revenue: 12\nrevenue: 12\nREVENUE:  12\nTax: 12", [1], "s", "h") for i in (1, 2)] + [("d", "c3", "table", None, [1], "s", "h"), ("d", "c4", "table", "A | B\nx | 1\nX | 1\n\ny", [1], "s", "h")]
+    made = spark.createDataFrame(rows, "doc_id string, chunk_id string, chunk_type string, content string, pages array<int>, section string, content_hash string")
+    found = sorted((r.source_chunk_id, r.fact_name, r.normalized_name, r.extraction) for r in facts.facts(made).collect())
+    assert found == [(c, n, n.lower(), e) for c in ("c1", "c2") for n, e in (("Revenue", "inline"), ("Tax", "key_value"))] + [("c4", "x B", "x b", "table")]
+    assert "Exchange" not in plan(Corpus(spark, SMALL).facts)
+
+
+def test_batches_of_new_documents_rewrite_nothing(spark, tmp_path):
+    path, df = str(tmp_path / "store"), spark.range(300).selectExpr("cast(id as int) doc_id", "concat('v', id) v")
+    files = lambda: {str(f) for f in tmp_path.rglob("*.parquet")}
+    stored = lambda: sorted((r.doc_id, r.v) for r in spark.read.parquet(path).collect())
+    sinks.overwrite_documents(df.where("doc_id % 2 = 0"), path)
+    before = files()
+    sinks.overwrite_documents(df.where("doc_id % 2 = 1"), path)
+    assert before < files() and stored() == [(i, f"v{i}") for i in range(300)]
+    sinks.overwrite_documents(df.where("doc_id % 5 = 0").withColumn("v", df.v.substr(1, 1)), path, df.where("doc_id = 7").select("doc_id"))
+    assert stored() == [(i, "v" if i % 5 == 0 else f"v{i}") for i in range(300) if i != 7]
