@@ -4,6 +4,7 @@ import json
 import time
 
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from folioflow.config import ChunkRules, ExtractionRules
 from folioflow.operators import chunking, facts, indexing, language_profiles, payloads, retrieval, triage
@@ -203,3 +204,16 @@ def test_batches_of_new_documents_rewrite_nothing(spark, tmp_path):
     assert before < files() and stored() == [(i, f"v{i}") for i in range(300)]
     sinks.overwrite_documents(df.where("doc_id % 5 = 0").withColumn("v", df.v.substr(1, 1)), path, df.where("doc_id = 7").select("doc_id"))
     assert stored() == [(i, "v" if i % 5 == 0 else f"v{i}") for i in range(300) if i != 7]
+
+
+def test_only_chunks_are_shuffled_to_look_facts_up(spark):
+    """Facts are taken where chunks meet requests: as many requests as a document has, its hits as by the facts' own join."""
+    c = Corpus(spark, SMALL)
+    docs = [r.doc_id for r in c.inputs.accounts.orderBy("doc_id").limit(4).collect()]
+    asked = spark.createDataFrame([(i, d, q) for i, (d, q) in enumerate((d, q) for d in [*docs, "none", None] for q in ("account balance", "Which order date is 2001?", "zzz", None))], "request_id int, doc_id string, query string")
+    told = lambda df: sorted(map(str, df.select("request_id", "doc_id", "query", "rank", "score", *c.facts.columns[2:]).collect()))
+    found = c.lookup(asked)
+    assert told(found) == told(retrieval.fact_lookup(asked, c.facts)) != []
+    for rows in (found, c.located_facts):
+        stages = plan(rows).split("Exchange hashpartitioning")
+        assert all("fact_id" not in s.splitlines()[0] for s in stages[1:]) and "fact_id" not in stages[-1], plan(rows)
