@@ -217,3 +217,17 @@ def test_only_chunks_are_shuffled_to_look_facts_up(spark):
     for rows in (found, c.located_facts):
         stages = plan(rows).split("Exchange hashpartitioning")
         assert all("fact_id" not in s.splitlines()[0] for s in stages[1:]) and "fact_id" not in stages[-1], plan(rows)
+
+
+def test_only_documents_that_are_asked_are_indexed(spark):
+    """A question that facts answer has no section indexed for it; the others' sections are as in the whole index."""
+    c = Corpus(spark, SMALL)
+    some = c.inputs.accounts.where("k % 4 = 2").select("doc_id", "k")
+    part = c.about(some.union(some))
+    told = lambda df: sorted(map(str, df.select("doc_id", "section_id", "title", "page_start", "page_end", "entities", "summary", "data_types").collect()))
+    assert told(part.page_index) == told(c.page_index.join(some, "doc_id", "left_semi")) != []
+    assert {r.doc_id for r in part.chunks.select("doc_id").distinct().collect()} == {r.doc_id for r in some.collect()}
+    asked = []
+    c.about = lambda documents: asked.append(documents.count()) or Corpus.about(c, documents)
+    c.answers(some.select(F.col("k").alias("request_id"), "doc_id", F.when(F.col("k") % 8 == 2, "What is the revenue?").otherwise("market segment").alias("query"))).collect()
+    assert asked == [some.where("k % 8 <> 2").count()]
